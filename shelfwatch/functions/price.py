@@ -7,12 +7,12 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfwatch.functions.text import SPACE_CLASS, blank_to_null, label_lookup
+from shelfwatch.functions.text import SPACE_CHARS, SPACE_CLASS, blank_to_null, label_lookup
 from shelfwatch.schema import CURRENCY_SYMBOLS, PRICE_BANDS
 
-_AMOUNT = r"(?U)[\d.,]+"
-_SYMBOL_RUN = rf"(?U)[^\d.,{SPACE_CLASS}]+"
-_TAGGED_AMOUNT = rf"(?U)([^\d.,{SPACE_CLASS}]*?)[{SPACE_CLASS}]*([\d.,]+)"
+_AMOUNT = r"[\p{Nd}.,]+"
+_SYMBOL_RUN = rf"(?U)[^\p{{Nd}}.,{SPACE_CLASS}]+"
+_TO_BLANK = " " * len(SPACE_CHARS)
 
 _DIGITS = [c for c in map(chr, range(128, 0x1FFFF)) if unicodedata.category(c) == "Nd"]
 _ASCII_FOR = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
@@ -35,13 +35,19 @@ def currency_code(symbol: Column) -> Column:
 def parse_price(text: Column) -> Column:
     """``struct(amount, currency)`` of a price tag whose symbol leads the amount.
 
-    Both are null when the text holds no readable amount.
+    The amount is the first run of digits, points and commas; its symbol is the
+    word that ends right before it, white space aside. Both are null when the text
+    holds no readable amount.
     """
-    amount = _number(F.regexp_extract(text, _TAGGED_AMOUNT, 2))
-    code = currency_code(F.regexp_extract(text, _TAGGED_AMOUNT, 1))
+    digits = F.regexp_extract(text, _AMOUNT, 0)
+    lead = F.translate(
+        F.call_function("substring_index", text, digits, F.lit(1)), SPACE_CHARS, _TO_BLANK
+    )
+    symbol = F.substring_index(F.rtrim(lead), " ", -1)
+    amount = _number(digits)
     return F.struct(
         amount.alias("amount"),
-        F.when(amount.isNotNull(), code).alias("currency"),
+        F.when(amount.isNotNull(), currency_code(symbol)).alias("currency"),
     )
 
 

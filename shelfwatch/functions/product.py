@@ -37,10 +37,14 @@ def star_label(stars: Column) -> Column:
     return F.concat(stars.cast("bigint").cast("string"), F.lit(" star"))
 
 
+def canonical_label(tidy: Column) -> Column:
+    """Label of an already collapsed availability text; unknown text is kept."""
+    return F.coalesce(label_lookup(AVAILABILITY_LABELS, F.lower(tidy)), tidy)
+
+
 def canonical_availability(text: Column) -> Column:
     """Canonical label of a known phrase; other text is kept, blank is null."""
-    tidy = blank_to_null(collapse(text))
-    return F.coalesce(label_lookup(AVAILABILITY_LABELS, F.lower(tidy)), tidy)
+    return canonical_label(blank_to_null(collapse(text)))
 
 
 def availability_status(text: Column) -> Column:
@@ -65,6 +69,9 @@ def source_product_id(url: Column) -> Column:
 
     Null when the URL has fewer than two non-empty parts.
     """
-    tail = r"([^/]+)/+([^/]+)/*\z"
-    before, last = F.regexp_extract(url, tail, 1), F.regexp_extract(url, tail, 2)
-    return blank_to_null(F.when(last.startswith("index"), before).otherwise(last))
+    trimmed = F.rtrim(url, F.lit("/"))
+    last = F.substring_index(trimmed, "/", -1)
+    head = F.substring(trimmed, F.lit(1), F.length(trimmed) - F.length(last))
+    before = F.substring_index(F.rtrim(head, F.lit("/")), "/", -1)
+    # With nothing before the last part there are fewer than two parts.
+    return F.when(before != "", F.when(last.startswith("index"), before).otherwise(last))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Every character Python counts as white space; Java's \s and Spark's trim know fewer.
 SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-# The same set as the inside of a regular-expression class (Java and RE2).
-SPACE_CLASS = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The same set as the inside of a regular-expression class; needs the (?U) flag.
+SPACE_CLASS = r"\s\x1c-\x1f"
 
 
 def strip(text: Column) -> Column:
@@ -22,7 +22,7 @@ def blank_to_null(text: Column) -> Column:
 
 def collapse(text: Column) -> Column:
     """Turn every run of white space into one space and strip; null stays null."""
-    return F.trim(F.regexp_replace(text, f"[{SPACE_CLASS}]+", " "))
+    return F.trim(F.regexp_replace(text, f"(?U)[{SPACE_CLASS}]+", " "))
 
 
 def clean_text(text: Column) -> Column:
@@ -43,5 +43,5 @@ def label_lookup(table: dict[str, object], key: Column) -> Column:
 
 def number_or_null(text: Column) -> Column:
     """Plain decimal text as a double; anything else is null, never an error."""
-    plain = rf"(?i)\A[{SPACE_CLASS}]*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)[{SPACE_CLASS}]*\z"
+    plain = rf"(?iU)\A[{SPACE_CLASS}]*[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|inf|infinity)[{SPACE_CLASS}]*\z"
     return F.when(text.rlike(plain), strip(text).try_cast("double"))

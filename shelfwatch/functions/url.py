@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 
 from shelfwatch.functions.text import SPACE_CLASS, blank_to_null, strip
 
-_HTTP_URL = rf"(?i)\Ahttps?://[^{SPACE_CLASS}]+\z"
+_HTTP_URL = rf"(?iU)\Ahttps?://[^{SPACE_CLASS}]+\z"
 
 
 def is_http_url(url: Column) -> Column:
-    """True for an http(s) URL without white space, once stripped."""
-    return F.coalesce(strip(url).rlike(_HTTP_URL), F.lit(False))
+    """True for an http(s) URL without white space; strip it first."""
+    return F.coalesce(url.rlike(_HTTP_URL), F.lit(False))
 
 
 def page_key(url: Column) -> Column:

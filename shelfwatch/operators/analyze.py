@@ -54,7 +54,7 @@ def kpis(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     Each distinct count and the median is an aggregation of its own over the one
     column it needs, so nothing is expanded and no value set sits in one task.
     """
-    summary = summarize(df) if summary is None else summary
+    summary = materialize(summarize(df), "summary") if summary is None else summary
     status = F.col("availability_status")
     totals = summary.agg(
         _total("n").alias("total_products"),

@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.functions.price import price_amount, price_currency
-from shelfwatch.functions.product import canonical_availability, rating_in_scale
+from shelfwatch.functions.product import canonical_label, rating_in_scale
 from shelfwatch.functions.text import blank_to_null, collapse, number_or_null
 from shelfwatch.functions.url import clean_url
 from shelfwatch.operators.dedup import first_per_key
 from shelfwatch.sources.records import add_missing_columns, normalize_headers, snake_case
 
-_COLLAPSED = ["name", "currency", "category", "image_url", "source_product_id"]
+_COLLAPSED = [
+    "name",
+    "currency",
+    "category",
+    "availability",
+    "image_url",
+    "source_product_id",
+]
 
 
 @dataclass(frozen=True)
@@ -51,32 +58,45 @@ def _timestamp(df: DataFrame, name: str) -> Column:
 
 
 def _standardized(df: DataFrame) -> DataFrame:
-    """All per-row steps; the ``_bad_*`` flags feed the counters."""
+    """All per-row steps; the ``_bad_*`` flags feed the counters.
+
+    Done in three projections, so that a value several columns are made from is
+    worked out once.
+    """
     if isinstance(df.schema["price"].dataType, T.NumericType):
-        raw = F.nanvl(F.col("price").cast("double"), F.lit(None))
-        amount, tag_currency = raw, F.lit(None).cast("string")
+        raw, from_tag = F.nanvl(F.col("price").cast("double"), F.lit(None)), False
     else:
-        raw = F.col("price").cast("string")
-        amount, tag_currency = price_amount(raw), price_currency(raw)
-    rating = F.nanvl(_as_number(df, "rating"), F.lit(None))
-    shelf = _tidy(F.col("availability"))
-    label = canonical_availability(shelf)
-    return df.withColumns(
+        raw, from_tag = F.col("price").cast("string"), True
+    tidied = df.withColumns(
         {
-            **{c: _tidy(F.col(c)) for c in _COLLAPSED if c not in ("image_url", "currency")},
-            "currency": F.coalesce(_tidy(F.col("currency")), tag_currency),
-            "image_url": clean_url(_tidy(F.col("image_url"))),
+            **{c: _tidy(F.col(c)) for c in _COLLAPSED},
             "url": clean_url(F.col("url").cast("string")),
-            "raw_price": raw.cast("string"),
-            "price": amount,
-            "rating": rating_in_scale(rating),
-            "availability": label,
+            "_raw": raw,
+            "_stars": F.nanvl(_as_number(df, "rating"), F.lit(None)),
             "scraped_at": _timestamp(df, "scraped_at"),
-            "_bad_price": raw.isNotNull() & amount.isNull(),
-            "_bad_rating": F.coalesce(~rating.between(0, 5), F.lit(False)),
-            "_relabelled": F.coalesce(shelf != label, F.lit(False)),
         }
     )
+    raw, stars = F.col("_raw"), F.col("_stars")
+    labelled = tidied.withColumns(
+        {
+            "_label": canonical_label(F.col("availability")),
+            "_amount": price_amount(raw) if from_tag else raw,
+            "image_url": clean_url(F.col("image_url")),
+        }
+    )
+    tag_currency = price_currency(raw) if from_tag else F.lit(None).cast("string")
+    return labelled.withColumns(
+        {
+            "currency": F.coalesce(F.col("currency"), tag_currency),
+            "raw_price": raw.cast("string"),
+            "price": F.col("_amount"),
+            "rating": rating_in_scale(stars),
+            "availability": F.col("_label"),
+            "_bad_price": raw.isNotNull() & F.col("_amount").isNull(),
+            "_bad_rating": F.coalesce(~stars.between(0, 5), F.lit(False)),
+            "_relabelled": F.coalesce(F.col("availability") != F.col("_label"), F.lit(False)),
+        }
+    ).drop("_raw", "_stars", "_label", "_amount")
 
 
 def clean(df: DataFrame, order: str) -> Cleaned:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwatch.runtime import materialize
+
 # Slices per refinement step: the tables of slice totals stay this small.
 SLICES = 65536
 
@@ -45,15 +47,16 @@ def values_at_ranks(
 
     Equal values are counted together first. Two passes over the counts then
     narrow each rank to a coarse slice and to one of 65 536 equal parts of it, and
-    only the distinct values of that part are put in order. The counts are one
-    shuffle, shared by all passes; what is ordered in one place is the slice
-    totals, whose number is fixed, and the last part.
+    only the distinct values of that part are put in order. The counts are written
+    once for all passes; what is ordered in one place is the slice totals, whose
+    number is fixed, and the last part.
     """
-    counted = (
+    counted = materialize(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).alias("v"))
         .agg(F.count("*").alias("n"))
-        .withColumn("slice", coarse(F.col("v")))
+        .withColumn("slice", coarse(F.col("v"))),
+        "counted",
     )
     totals = counted.groupBy("slice").agg(
         F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")

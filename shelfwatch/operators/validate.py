@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwatch.functions.text import strip
+from shelfwatch.functions.text import blank_to_null, strip
 from shelfwatch.functions.url import is_http_url
 from shelfwatch.schema import ISSUE_SCHEMA, RATING_MAX, RATING_MIN, RECORD_COLUMNS
 
@@ -20,7 +20,7 @@ WARNING = "warning"
 
 @dataclass(frozen=True)
 class _Cell:
-    """One input cell seen through the two questions the rules ask of it."""
+    """One input cell seen through the questions the rules ask of it."""
 
     absent: Column
     number: Column
@@ -34,12 +34,11 @@ def _cell(df: DataFrame, name: str) -> _Cell:
     no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     if isinstance(dtype, T.VariantType):
         kind = F.schema_of_variant(col)
-        is_text = kind == "STRING"
         is_number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
         return _Cell(
             col.isNull() | F.is_variant_null(col),
             F.when(is_number, F.try_variant_get(col, "$", "double")),
-            F.when(is_text, F.try_variant_get(col, "$", "string")),
+            F.when(kind == "STRING", F.try_variant_get(col, "$", "string")),
             F.to_json(col),
         )
     if isinstance(dtype, T.NumericType):
@@ -49,6 +48,22 @@ def _cell(df: DataFrame, name: str) -> _Cell:
     return _Cell(col.isNull(), no_number, no_text, col.cast("string"))
 
 
+_TEXTS = [
+    "name",
+    "url",
+    "currency",
+    "category",
+    "availability",
+    "image_url",
+    "source_product_id",
+]
+_NUMBERS = ["price", "rating"]
+
+
+def _tidy(field: str) -> Column:
+    return F.col(f"_tidy_{field}")
+
+
 def _issue(kind: str, field: str, *message: str | Column) -> Column:
     parts = [p if isinstance(p, Column) else F.lit(p) for p in message]
     return F.struct(
@@ -66,75 +81,73 @@ def _optional(field: str, cell: _Cell, *bad: tuple[Column, str]) -> Column:
     return issue
 
 
-def validate(df: DataFrame) -> DataFrame:
-    """Check every record and add ``issues`` and ``is_valid``.
-
-    The contract columns come back repaired: text stripped, unusable optional
-    values null. Other columns pass through. All rules are column expressions, so
-    the whole check is one projection without a shuffle.
-    """
-    cells = {f: _cell(df, f) for f in RECORD_COLUMNS}
-    name, url = cells["name"], cells["url"]
-    no_name = F.coalesce(strip(name.text), F.lit("")) == ""
-    no_url = F.coalesce(strip(url.text), F.lit("")) == ""
-    bad_url = ~no_url & ~is_http_url(url.text)
-
+def _issues(cells: dict[str, _Cell]) -> Column:
+    """The issue array, in rule order."""
+    price, rating = _tidy("price"), _tidy("rating")
+    product_id = cells["source_product_id"]
     found = [
-        F.when(no_name, _issue(MISSING_REQUIRED, "name", "required but empty")),
-        F.when(no_url, _issue(MISSING_REQUIRED, "url", "required but empty")).when(
-            bad_url, _issue(INVALID_VALUE, "url", "no http(s) address: ", url.shown)
+        F.when(_tidy("name").isNull(), _issue(MISSING_REQUIRED, "name", "required but empty")),
+        F.when(_tidy("url").isNull(), _issue(MISSING_REQUIRED, "url", "required but empty")).when(
+            ~F.col("_url_ok"),
+            _issue(INVALID_VALUE, "url", "no http(s) address: ", cells["url"].shown),
         ),
-    ]
-    repaired = {
-        "name": F.when(no_name, name.text).otherwise(strip(name.text)),
-        "url": F.when(no_url | bad_url, url.text).otherwise(strip(url.text)),
-    }
-
-    price, rating = cells["price"], cells["rating"]
-    found.append(
         _optional(
-            "price",
-            price,
-            (price.number.isNull(), "not a number"),
-            (price.number < 0, "below zero"),
-        )
-    )
-    repaired["price"] = F.when(price.number >= 0, price.number)
-    in_scale = rating.number.between(RATING_MIN, RATING_MAX)
-    found.append(
+            "price", cells["price"], (price.isNull(), "not a number"), (price < 0, "below zero")
+        ),
         _optional(
             "rating",
-            rating,
-            (rating.number.isNull(), "not a number"),
-            (~in_scale, "outside the scale"),
-        )
-    )
-    repaired["rating"] = F.when(in_scale, rating.number)
+            cells["rating"],
+            (rating.isNull(), "not a number"),
+            (~rating.between(RATING_MIN, RATING_MAX), "outside the scale"),
+        ),
+        *[
+            _optional(f, cells[f], (_tidy(f).isNull(), "empty or not text"))
+            for f in ("currency", "category", "availability")
+        ],
+        _optional("image_url", cells["image_url"], (~F.col("_image_ok"), "no http(s) address")),
+        F.when(
+            product_id.absent, _issue(WARNING, "source_product_id", "absent, URL is the only key")
+        ),
+    ]
+    none = F.array().cast(T.ArrayType(ISSUE_SCHEMA))
+    return F.concat(*[F.when(i.isNotNull(), F.array(i)).otherwise(none) for i in found])
 
-    for field in ("currency", "category", "availability"):
-        cell = cells[field]
-        tidy = F.nullif(strip(cell.text), F.lit(""))
-        found.append(_optional(field, cell, (tidy.isNull(), "empty or not text")))
-        repaired[field] = tidy
 
-    image = cells["image_url"]
-    image_ok = is_http_url(image.text)
-    found.append(_optional("image_url", image, (~image_ok, "no http(s) address")))
-    repaired["image_url"] = F.when(image_ok, strip(image.text))
+def validate(df: DataFrame) -> DataFrame:
+    """Check every record and add ``issues`` and ``is_valid``.
 
-    product_id = cells["source_product_id"]
-    found.append(
-        F.when(product_id.absent, _issue(WARNING, "source_product_id", "absent, URL is the only key"))
+    The contract columns come back repaired: text stripped, unusable optional
+    values null. Other columns pass through. All rules are column expressions
+    without a shuffle; stripping, testing and repairing are separate projections,
+    so each value is worked out once and the generated code stays small.
+    """
+    cells = {f: _cell(df, f) for f in RECORD_COLUMNS}
+    tidied = df.select(
+        "*",
+        *[blank_to_null(strip(cells[f].text)).alias(f"_tidy_{f}") for f in _TEXTS],
+        *[cells[f].number.alias(f"_tidy_{f}") for f in _NUMBERS],
     )
-    repaired["source_product_id"] = F.nullif(strip(product_id.text), F.lit(""))
-    stamp = cells["scraped_at"]
-    repaired["scraped_at"] = F.coalesce(stamp.text, stamp.shown)
-
-    issues = F.filter(F.array(*found), lambda i: i.isNotNull()).cast(T.ArrayType(ISSUE_SCHEMA))
-    return df.select(
+    tested = tidied.select(
+        "*",
+        is_http_url(_tidy("url")).alias("_url_ok"),
+        is_http_url(_tidy("image_url")).alias("_image_ok"),
+    )
+    price, rating, stamp = _tidy("price"), _tidy("rating"), cells["scraped_at"]
+    repaired = {
+        "name": F.coalesce(_tidy("name"), cells["name"].text),
+        "url": F.when(F.col("_url_ok"), _tidy("url")).otherwise(cells["url"].text),
+        "price": F.when(price >= 0, price),
+        "rating": F.when(rating.between(RATING_MIN, RATING_MAX), rating),
+        "image_url": F.when(F.col("_image_ok"), _tidy("image_url")),
+        "scraped_at": F.coalesce(stamp.text, stamp.shown),
+        **{
+            f: _tidy(f) for f in ("currency", "category", "availability", "source_product_id")
+        },
+    }
+    return tested.select(
         *[repaired.get(c, F.col(c)).alias(c) for c in df.columns],
-        issues.alias("issues"),
-        (~no_name & ~no_url & ~bad_url).alias("is_valid"),
+        _issues(cells).alias("issues"),
+        (_tidy("name").isNotNull() & F.col("_url_ok")).alias("is_valid"),
     )
 
 

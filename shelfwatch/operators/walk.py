@@ -40,9 +40,8 @@ def walk_listings(seeds: DataFrame, links: DataFrame, max_pages: int = 0) -> Wal
     )
     known = pages.select("page")
     start = seeds.select("seed", page_key(F.col("start_url")).alias("page"))
-    live = materialize(
-        start.join(known, "page", "left_semi").select("seed", F.lit(0).cast("bigint").alias("depth"), "page"),
-        "walk",
+    live = start.join(known, "page", "left_semi").select(
+        "seed", F.lit(0).cast("bigint").alias("depth"), "page"
     )
     jumps = pages.filter(F.col("next_page").isNotNull()).select(
         "page", F.col("next_page").alias("target")
@@ -66,11 +65,9 @@ def walk_listings(seeds: DataFrame, links: DataFrame, max_pages: int = 0) -> Wal
         longer = live.unionByName(reached).groupBy("seed", "page").agg(F.min("depth").alias("depth"))
         steps *= 2
         visited = materialize(longer, "walk")
-        full = visited.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") == steps)
-        if max_pages and steps >= max_pages:
-            full = full.limit(0)
-        running = materialize(full.select("seed"), "running")
-        if running.isEmpty():
+        # Depths have no gaps, so the walks still going are those with the last depth.
+        running = visited.filter(F.col("depth") == steps - 1).select("seed")
+        if (max_pages and steps >= max_pages) or running.isEmpty():
             finished.append(visited)
             break
         finished.append(visited.join(running, "seed", "left_anti"))

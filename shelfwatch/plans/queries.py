@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfwatch.functions import price as fp
 from shelfwatch.functions import product as fprod
 from shelfwatch.functions import url as furl
-from shelfwatch.functions.text import clean_text
+from shelfwatch.functions.text import clean_text, strip
 from shelfwatch.operators import analyze as an
 from shelfwatch.operators import report
 from shelfwatch.operators.clean import clean
@@ -134,7 +134,7 @@ def url_normalise(spark: SparkSession, folder: str) -> DataFrame:
         "page_id",
         furl.clean_url(padded).alias("clean_url"),
         furl.page_key(F.col("url")).alias("page_key"),
-        furl.is_http_url(padded).alias("is_listing_url"),
+        furl.is_http_url(strip(padded)).alias("is_listing_url"),
     )
 
 
@@ -299,7 +299,10 @@ def validate_split(spark: SparkSession, folder: str) -> DataFrame:
 def validate_issues(spark: SparkSession, folder: str) -> DataFrame:
     return (
         validate(ad.dirty_records(spark, folder))
-        .select(F.explode("issues").alias("i"))
+        # The outer form: a plain explode makes the planner test the array first, which
+        # builds every issue list twice.
+        .select(F.explode_outer("issues").alias("i"))
+        .filter(F.col("i").isNotNull())
         .groupBy(F.col("i.issue_type").alias("issue_type"), F.col("i.field_name").alias("field_name"))
         .agg(F.count("*").alias("n"))
     )

@@ -92,13 +92,13 @@ def _read_card(html: str, nodes: list[markup.Node], base: str, rules: ListingRul
     stock = markup.first(nodes, rules.stock)
     rating = markup.first(nodes, rules.rating)
     card = {
-        "href": link and link.attrs.get("href"),
-        "title": link and link.attrs.get("title"),
-        "alt": image and image.attrs.get("alt"),
+        "href": link and link.get("href"),
+        "title": link and link.get("title"),
+        "alt": image and image.get("alt"),
         "price": price and markup.text_of(html, price),
         "stock": stock and markup.text_of(html, stock),
-        "rating": rating and rating.attrs.get("class"),
-        "image": image and image.attrs.get("src"),
+        "rating": rating and rating.get("class"),
+        "image": image and image.get("src"),
     }
     try:
         card["url"] = urljoin(base, card["href"]) if card["href"] else None
@@ -120,18 +120,17 @@ def _read_page(base: str, html: str | None, rules: ListingRules) -> dict:
     cards = []
     for at, node in enumerate(nodes):
         if markup.matches(node, rules.card):
-            inside = [n for n in nodes[at + 1 :] if n.start < node.end]
-            cards.append(_read_card(html, inside, base, rules))
+            cards.append(_read_card(html, markup.descendants(nodes, at), base, rules))
     links = markup.select(nodes, rules.links) or markup.select(nodes, rules.links_fallback)
     onward = markup.first(nodes, rules.next_link)
-    href = " ".join((onward and onward.attrs.get("href") or "").split()) or None
+    href = " ".join((onward and onward.get("href") or "").split()) or None
     return {
         "cards": cards,
         "links": [
             {
-                "href": n.attrs.get("href"),
+                "href": n.get("href"),
                 "text": markup.text_of(html, n),
-                "url": _resolved(base, n.attrs.get("href")),
+                "url": _resolved(base, n.get("href")),
             }
             for n in links
         ],

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
 from functools import lru_cache
 from html import unescape
 
@@ -15,16 +14,29 @@ _VOID = {"img", "br", "input", "hr", "meta", "link", "source", "wbr"}
 _BLOCKS = {"p", "div", "ul", "ol", "li", "article", "section", "nav", "h1", "h2", "h3", "h4", "form"}
 
 
-@dataclass
+_CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+
+
 class Node:
-    """One element: its tag, attributes, ancestors and text span in the page."""
+    """One element: its tag, ancestors, attribute text and text span in the page."""
+
+    __slots__ = ("tag", "raw", "parent", "start", "end", "classes")
+
+    def __init__(self, tag: str, raw: str, parent: Node | None, start: int):
+        self.tag, self.raw, self.parent = tag, raw, parent
+        self.start = self.end = start
+        found = _CLASS.search(raw) if raw else None
+        self.classes = set((found[1] or found[2] or found[3] or "").split()) if found else _NO_CLASSES
+
+    def get(self, name: str) -> str | None:
+        """Value of an attribute, entities resolved; the first of repeated ones."""
+        for found, double, single, bare in _ATTRIBUTE.findall(self.raw):
+            if found.lower() == name:
+                return unescape(double or single or bare)
+        return None
 
-    tag: str
-    attrs: dict[str, str]
-    parent: Node | None
-    start: int
-    end: int = -1
-    classes: set[str] = field(default_factory=set)
+
+_NO_CLASSES: set[str] = set()
 
 
 @lru_cache(maxsize=256)
@@ -45,13 +57,6 @@ def _tag_scanner(tags: frozenset[str]) -> re.Pattern[str]:
     )
 
 
-def _attributes(text: str) -> dict[str, str]:
-    found: dict[str, str] = {}
-    for name, double, single, bare in _ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), unescape(double or single or bare))
-    return found
-
-
 def read_nodes(html: str, selectors: tuple[str, ...]) -> list[Node]:
     """Elements of the tags the selectors mention, in document order.
 
@@ -79,9 +84,7 @@ def read_nodes(html: str, selectors: tuple[str, ...]) -> list[Node]:
         top = open_nodes[-1] if open_nodes else None
         if top and ((top.tag == "p" and tag in _BLOCKS) or (top.tag == tag == "li")):
             close(len(open_nodes) - 1, m.start())
-        attrs = _attributes(m[3])
-        parent = open_nodes[-1] if open_nodes else None
-        node = Node(tag, attrs, parent, m.end(), m.end(), set(attrs.get("class", "").split()))
+        node = Node(tag, m[3], open_nodes[-1] if open_nodes else None, m.end())
         nodes.append(node)
         if tag not in _VOID:
             node.end = len(html)
@@ -112,6 +115,14 @@ def first(nodes: list[Node], selector: str) -> Node | None:
     return next((n for n in nodes if matches(n, selector)), None)
 
 
+def descendants(nodes: list[Node], at: int) -> list[Node]:
+    """The elements inside the one at position *at*; they follow it directly."""
+    end, stop = nodes[at].end, at + 1
+    while stop < len(nodes) and nodes[stop].start < end:
+        stop += 1
+    return nodes[at + 1 : stop]
+
+
 def text_of(html: str, node: Node) -> str:
     """Text content: the element's span without tags, entities resolved."""
     return unescape(_ANY_TAG.sub("", html[node.start : node.end]))
