@@ -48,11 +48,14 @@ def _mean(total: str, count: str) -> Column:
     return money(F.sum(total) / F.nullif(F.sum(count), F.lit(0)))
 
 
-def kpis(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+def kpis(
+    df: DataFrame, summary: DataFrame | None = None, unique_urls: bool = False
+) -> DataFrame:
     """The headline figures as one row; an empty input gives zeros and nulls.
 
     Each distinct count and the median is an aggregation of its own over the one
     column it needs, so nothing is expanded and no value set sits in one task.
+    With *unique_urls* (cleaned rows) counting rows is enough for the URLs.
     """
     summary = materialize(summarize(df), "summary") if summary is None else summary
     status = F.col("availability_status")
@@ -68,8 +71,11 @@ def kpis(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
         ),
         money(F.max("max_price") - F.min("min_price")).alias("price_span"),
     )
-    urls = df.groupBy("url").agg(F.lit(1)).agg(F.count("url").alias("unique_products"))
-    shelves = summary.groupBy("category").agg(F.lit(1)).agg(F.count("category").alias("categories"))
+    if unique_urls:
+        urls = summary.agg(_total("n").alias("unique_products"))
+    else:
+        urls = df.select("url").distinct().agg(F.count("url").alias("unique_products"))
+    shelves = summary.select("category").distinct().agg(F.count("category").alias("categories"))
     middle = exact_median(df, "price").select(money(F.col("median")).alias("median_price"))
     pieces = [totals, urls, shelves, most_common_currency(summary), middle]
     rows = pieces[0]
@@ -205,7 +211,11 @@ class Analysis:
 
 
 def analyze(
-    df: DataFrame, changes: DataFrame, top_n: int = 10, order: str = "url"
+    df: DataFrame,
+    changes: DataFrame,
+    top_n: int = 10,
+    order: str = "url",
+    unique_urls: bool = False,
 ) -> Analysis:
     """Every table over one dataset; *changes* comes from :func:`price_changes`.
 
@@ -213,7 +223,7 @@ def analyze(
     """
     summary = materialize(summarize(df), "summary")
     has_data = not summary.isEmpty()
-    headline = kpis(df, summary)
+    headline = kpis(df, summary, unique_urls)
     return Analysis(
         has_data,
         headline if has_data else headline.limit(0),

@@ -335,6 +335,20 @@ FROM ends e JOIN links l ON l.page = e.page LEFT JOIN links x ON x.page = split_
     "listing_walk_visits": "WITH RECURSIVE "
     + _WALK
     + "\nSELECT seed, depth::BIGINT AS depth, url FROM walk WHERE depth < 20",
+    "dedup_two_key": """WITH RECURSIVE arrivals AS MATERIALIZED (
+  SELECT event_id, row_number() OVER (ORDER BY event_id) AS nr,
+    'https://shop.example/u/' || user_id || '#' || event_type AS url, 'https://shop.example/u/' || user_id AS page,
+    CASE WHEN event_type = 'signup' THEN '' ELSE 'k' || regexp_extract(props, '[0-9]+') END AS source_product_id
+  FROM events),
+seen AS (
+  SELECT 0::BIGINT AS nr, []::VARCHAR[] AS pages, []::VARCHAR[] AS ids, false AS kept
+  UNION ALL
+  SELECT nr, CASE WHEN fresh THEN list_append(pages, page) ELSE pages END,
+    CASE WHEN fresh AND source_product_id <> '' THEN list_append(ids, source_product_id) ELSE ids END, fresh
+  FROM (SELECT a.nr, a.page, a.source_product_id, s.pages, s.ids, NOT list_contains(s.pages, a.page)
+      AND NOT (a.source_product_id <> '' AND list_contains(s.ids, a.source_product_id)) AS fresh
+    FROM seen s JOIN arrivals a ON a.nr = s.nr + 1))
+SELECT event_id, url, source_product_id FROM arrivals JOIN seen USING (nr) WHERE kept""",
     "dedup_in_run": _with(_OBS)
     + """SELECT event_id, url, source_product_id FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY event_id) AS rn FROM obs) WHERE rn = 1""",

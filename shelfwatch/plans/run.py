@@ -103,7 +103,7 @@ def run_batch(
         return _close(store, outcome, FAILED, crawl_stats, now)
 
     changes = price_changes(dataset, store.movement(outcome.run_id))
-    outcome.analysis = analyze(dataset, changes, top_n, order)
+    outcome.analysis = analyze(dataset, changes, top_n, order, unique_urls=True)
     report_failed = False
     if report_dir:
         try:

@@ -7,6 +7,7 @@ folders no reader looks at, and running it again overwrites them.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,12 +64,17 @@ def summarize_runs(events: DataFrame) -> DataFrame:
 class CatalogStore:
     """One catalogue under a root folder that every executor can reach.
 
-    There is one writer at a time; readers may come and go.
+    There is one writer at a time; readers may come and go. With *buckets* the
+    snapshot is written in that many buckets of ``url``: the next upsert then joins
+    it where it lies and shuffles only the new batch. Take a number that gives
+    buckets of a few hundred megabytes. It may change between runs, since each
+    version records its own.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 0):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # -- layout ----------------------------------------------------------------
     def _path(self, table: str, run_id: int | None = None, event: str | None = None) -> str:
@@ -100,7 +106,8 @@ class CatalogStore:
         )
 
     def _log(self, run_id: int, event: str, status: str, now: datetime, counters: dict) -> None:
-        numbers = [F.lit(int(counters.get(c, 0))).cast("bigint").alias(c) for c in RUN_COUNTERS]
+        names = ["buckets", *RUN_COUNTERS]
+        numbers = [F.lit(int(counters.get(c, 0))).cast("bigint").alias(c) for c in names]
         row = self.spark.range(1).select(
             _instant(now).alias("at"), F.lit(status).alias("status"), *numbers
         )
@@ -134,18 +141,46 @@ class CatalogStore:
     def is_stored(self, run_id: int) -> bool:
         return not self._stored_runs().filter(F.col("run_id") == run_id).isEmpty()
 
-    def _version(self, before: int | None = None) -> int:
-        """Newest committed snapshot version, optionally older than a run."""
-        stored = self._stored_runs()
+    def _version(self, before: int | None = None) -> tuple[int, int]:
+        """Newest committed snapshot, optionally older than a run, and its buckets."""
+        stored = self._events().filter(F.col("event") == STORED)
         if before is not None:
             stored = stored.filter(F.col("run_id") < before)
-        return stored.agg(F.max("run_id").alias("id")).first()["id"] or 0
+        newest = stored.orderBy(F.desc("run_id")).select("run_id", "buckets").first()
+        return (newest["run_id"], newest["buckets"]) if newest else (0, 0)
 
     def _snapshot(self, version: int) -> DataFrame:
         return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self._path("products", version))
 
     def snapshot(self, before: int | None = None) -> DataFrame:
-        return self._snapshot(self._version(before))
+        version, _ = self._version(before)
+        return self._snapshot(version)
+
+    # A bucketed layout is known to the planner through a table entry only. The
+    # entries are external: they hold no data and are made again where missing.
+    def _entry(self, version: int) -> str:
+        return f"shelfwatch_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_{version}"
+
+    def _bucketed_snapshot(self, before: int) -> DataFrame:
+        version, buckets = self._version(before)
+        if not buckets:
+            return self._snapshot(version)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SNAPSHOT_SCHEMA)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self._entry(version)} ({columns}) USING parquet "
+            f"CLUSTERED BY (url) SORTED BY (url) INTO {buckets} BUCKETS "
+            f"LOCATION '{self._path('products', version)}'"
+        )
+        return self.spark.table(self._entry(version))
+
+    def _write_snapshot(self, rows: DataFrame, version: int) -> None:
+        path, writer = self._path("products", version), rows.write.mode("overwrite")
+        if not self.buckets:
+            writer.parquet(path)
+            return
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(version)}")
+        bucketed = writer.bucketBy(self.buckets, "url").sortBy("url").option("path", path)
+        bucketed.saveAsTable(self._entry(version), format="parquet")
 
     def products(self) -> DataFrame:
         """The current catalogue by category (unset first) and name."""
@@ -198,13 +233,13 @@ class CatalogStore:
         if self.is_stored(run_id):
             return self._rows_of_run(run_id)
         merged = upsert(
-            self.snapshot(before=run_id),
+            self._bucketed_snapshot(run_id),
             batch,
             run_id,
             _instant(now),
             None if unique_urls else order,
         )
-        merged.write.mode("overwrite").parquet(self._path("products", run_id))
+        self._write_snapshot(merged, run_id)
         history = batch.select(
             F.col(order).cast("bigint").alias("seq"),
             "source_product_id",
@@ -218,7 +253,7 @@ class CatalogStore:
         broken = constraint_violations(self._snapshot(run_id)).limit(5).collect()
         if broken:
             raise ConstraintError("; ".join(f"{b['constraint']}: {b['key']} ({b['n']})" for b in broken))
-        self._log(run_id, STORED, "stored", now, {})
+        self._log(run_id, STORED, "stored", now, {"buckets": self.buckets})
         return self._rows_of_run(run_id)
 
     def _rows_of_run(self, run_id: int) -> int:

@@ -130,6 +130,29 @@ def test_replayed_run_changes_nothing(spark, store):
     assert again == 3 and store.count_products() == 3 and store.history().count() == 3
 
 
+def test_bucketed_snapshot_is_not_shuffled_again(spark, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "bucketed"), buckets=3)
+    store.init()
+    write(store, batch(spark, *FIRST), 0)
+    old, _ = store._version()
+    joined = store._bucketed_snapshot(old + 1).alias("o").join(
+        batch(spark, FIRST[0]).alias("n"), F.col("o.url") == F.col("n.url"), "full"
+    )
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    # A reader without the table entry, and a writer with another number of buckets.
+    spark.sql(f"DROP TABLE {store._entry(old)}")
+    again = CatalogStore(spark, store.root, buckets=2)
+    write(again, batch(spark, record(1, "Lamp", "lamp_1", 48.0), record(2, "New", "new_4", 1.0)), 1)
+    plain = CatalogStore(spark, store.root)
+    run = write(plain, batch(spark, record(1, "Lamp", "lamp_1", 47.0)), 2)
+    assert plain.count_products() == 4
+    prices = {r.url.split("/")[-2]: r.price for r in plain.products().collect()}
+    assert prices == {"lamp_1": 47.0, "desk_2": 53.74, "chair_3": None, "new_4": 1.0}
+    previous = {r.source_product_id: r.previous_price for r in plain.previous_prices(run).collect()}
+    assert previous == {"lamp_1": 48.0, "desk_2": 53.74, "new_4": 1.0}
+
+
 def test_constraint_report(spark):
     rows = spark.createDataFrame(
         [("A", "u1", "1"), (None, "u1", "1"), ("B", "u2", None), ("C", None, None)],
