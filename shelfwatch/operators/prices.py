@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwatch.functions.price import round_half_even
 from shelfwatch.schema import SNAPSHOT_SCHEMA
 
 
@@ -96,26 +97,54 @@ def upsert(
     )
 
 
-def constraint_violations(snapshot: DataFrame) -> DataFrame:
-    """``constraint, key, n`` of every broken rule: required columns and unique keys."""
+def movement(snapshot: DataFrame, run_id: int) -> DataFrame:
+    """Price changes of a run, read off the snapshot it wrote.
+
+    The upsert left the price known before the run next to the new one, so this is
+    a filter: no join and no shuffle. Unchanged prices are listed with 0.0.
+    """
+    return snapshot.filter(
+        (F.col("touched_run") == run_id)
+        & F.col("price").isNotNull()
+        & F.col("prior_price").isNotNull()
+    ).select(
+        "name",
+        "category",
+        F.col("prior_price").alias("previous_price"),
+        F.col("price").alias("current_price"),
+        round_half_even(F.col("price") - F.col("prior_price")).alias("change"),
+    )
+
+
+def repeated_keys(rows: DataFrame, column: str) -> DataFrame:
+    """``constraint, key, n`` of the values that occur more than once; null may."""
+    return (
+        rows.filter(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("key"))
+        .agg(F.count("*").alias("n"))
+        .filter("n > 1")
+        .select(F.lit(f"unique {column}").alias("constraint"), "key", "n")
+    )
 
-    def repeated(column: str) -> DataFrame:
-        return (
-            snapshot.filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("key"))
-            .agg(F.count("*").alias("n"))
-            .filter("n > 1")
-            .select(F.lit(f"unique {column}").alias("constraint"), "key", "n")
-        )
 
-    empty = (
-        snapshot.select(F.explode(F.array(*[_null_flag(c) for c in ("name", "url")])).alias("key"))
+def missing_values(rows: DataFrame, *columns: str) -> DataFrame:
+    """``constraint, key, n`` of the required columns that are null somewhere."""
+    return (
+        rows.select(F.explode(F.array(*[_null_flag(c) for c in columns])).alias("key"))
         .filter(F.col("key").isNotNull())
         .groupBy("key")
         .agg(F.count("*").alias("n"))
         .select(F.lit("required").alias("constraint"), "key", "n")
     )
-    return empty.unionByName(repeated("url")).unionByName(repeated("source_product_id"))
+
+
+def constraint_violations(rows: DataFrame) -> DataFrame:
+    """``constraint, key, n`` of every broken rule: required columns and unique keys."""
+    return (
+        missing_values(rows, "name", "url")
+        .unionByName(repeated_keys(rows, "url"))
+        .unionByName(repeated_keys(rows, "source_product_id"))
+    )
 
 
 def _null_flag(column: str) -> Column:

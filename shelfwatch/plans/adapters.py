@@ -168,7 +168,10 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "part").select(
         page_no.alias("page_no"), F.col("p_partkey"), card.alias("card")
     )
-    filled = rows.groupBy("page_no").agg(
+    # A fixed number of partitions: reading the pages is work for the processor, which
+    # a split by the few bytes of the compressed shuffle would leave to one task.
+    spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page_no")
+    filled = spread.groupBy("page_no").agg(
         F.array_join(
             F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", "card"))), lambda c: c.card),
             "\n",

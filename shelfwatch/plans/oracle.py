@@ -324,6 +324,11 @@ UNION ALL SELECT 'https://shop.example/index.html', NULL, NULL""",
     "collect_catalogue": _with(_CARDS)
     + """SELECT name, url, price, currency, 'Listing ' || (page_no % 10) AS category, availability, rating, image_url,
   source_product_id, '2024-05-01T00:00:00+00:00' AS scraped_at FROM card WHERE error IS NULL""",
+    "collect_stats": _with(_CARDS)
+    + """SELECT 10::BIGINT AS categories_found, 10::BIGINT AS categories_scraped,
+  count(DISTINCT page_no) AS pages_visited,
+  greatest(10 - count(DISTINCT page_no), 0) AS pages_failed, count(error) AS parser_errors,
+  0::BIGINT AS duplicates_in_run, count(*) - count(error) AS records_scraped FROM card""",
     "listing_walk": "WITH RECURSIVE "
     + _WALK
     + """,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.operators import report
-from shelfwatch.operators.analyze import Analysis, analyze, price_changes
+from shelfwatch.operators.analyze import Analysis, analyze
 from shelfwatch.operators.clean import clean
 from shelfwatch.operators.derive import add_derived_columns
 from shelfwatch.operators.validate import accepted, rejected, validate
@@ -102,7 +102,7 @@ def run_batch(
         outcome.error = f"storing failed: {failure}"
         return _close(store, outcome, FAILED, crawl_stats, now)
 
-    changes = price_changes(dataset, store.movement(outcome.run_id))
+    changes = store.price_changes(outcome.run_id)
     outcome.analysis = analyze(dataset, changes, top_n, order, unique_urls=True)
     report_failed = False
     if report_dir:

@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwatch.operators.prices import constraint_violations, previous_prices, upsert
+from shelfwatch.operators.prices import (
+    missing_values,
+    movement,
+    previous_prices,
+    repeated_keys,
+    upsert,
+)
 from shelfwatch.schema import (
     HISTORY_SCHEMA,
     PRODUCT_COLUMNS,
@@ -250,7 +256,15 @@ class CatalogStore:
             _instant(now).alias("captured_at"),
         )
         history.write.mode("overwrite").parquet(self._path("price_history", run_id))
-        broken = constraint_violations(self._snapshot(run_id)).limit(5).collect()
+        written = self._snapshot(run_id)
+        # Rows the run did not touch were checked before; a shared id needs them all.
+        touched = written.filter(F.col("touched_run") == run_id)
+        checks = missing_values(touched, "name", "url").unionByName(
+            repeated_keys(written, "source_product_id")
+        )
+        if unique_urls:
+            checks = checks.unionByName(repeated_keys(touched, "url"))
+        broken = checks.limit(5).collect()
         if broken:
             raise ConstraintError("; ".join(f"{b['constraint']}: {b['key']} ({b['n']})" for b in broken))
         self._log(run_id, STORED, "stored", now, {"buckets": self.buckets})
@@ -264,9 +278,6 @@ class CatalogStore:
         """Where a run keeps its cleaned rows for the reports."""
         return self._path(DATASET, run_id)
 
-    def movement(self, run_id: int) -> DataFrame:
-        """``url, previous_price`` for the products touched by a committed run."""
-        rows = self._snapshot(run_id)
-        return rows.filter(
-            (F.col("touched_run") == run_id) & F.col("prior_price").isNotNull()
-        ).select("url", F.col("prior_price").alias("previous_price"))
+    def price_changes(self, run_id: int) -> DataFrame:
+        """Price movement of a committed run against the prices known before it."""
+        return movement(self._snapshot(run_id), run_id)

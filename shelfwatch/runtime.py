@@ -22,6 +22,8 @@ def build_session(app: str = "shelfwatch", master: str | None = None, **conf: ob
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # The JVM never compiles a method beyond 8000 bytes; smaller pieces run faster.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():

@@ -95,8 +95,12 @@ def read_nodes(html: str, selectors: tuple[str, ...]) -> list[Node]:
 def matches(node: Node, selector: str) -> bool:
     """Whether the element and its ancestors satisfy a descendant selector."""
     steps = compile_selector(selector)
-    tag, classes = steps[-1]
-    if node.tag != tag or not classes <= node.classes:
+    return node.tag == steps[-1][0] and _fits(node, steps)
+
+
+def _fits(node: Node, steps: tuple[tuple[str, frozenset[str]], ...]) -> bool:
+    """The part of a match behind the tag name: classes, then ancestors inside out."""
+    if not steps[-1][1] <= node.classes:
         return False
     above, left = node.parent, len(steps) - 2
     while left >= 0 and above is not None:
@@ -108,11 +112,23 @@ def matches(node: Node, selector: str) -> bool:
 
 
 def select(nodes: list[Node], selector: str) -> list[Node]:
-    return [n for n in nodes if matches(n, selector)]
+    steps = compile_selector(selector)
+    tag = steps[-1][0]
+    return [n for n in nodes if n.tag == tag and _fits(n, steps)]
 
 
 def first(nodes: list[Node], selector: str) -> Node | None:
-    return next((n for n in nodes if matches(n, selector)), None)
+    steps = compile_selector(selector)
+    tag = steps[-1][0]
+    for node in nodes:
+        if node.tag == tag and _fits(node, steps):
+            return node
+    return None
+
+
+def text_of(html: str, node: Node) -> str:
+    """Text content: the element's span without tags, entities resolved."""
+    return unescape(_ANY_TAG.sub("", html[node.start : node.end]))
 
 
 def descendants(nodes: list[Node], at: int) -> list[Node]:
@@ -121,8 +137,3 @@ def descendants(nodes: list[Node], at: int) -> list[Node]:
     while stop < len(nodes) and nodes[stop].start < end:
         stop += 1
     return nodes[at + 1 : stop]
-
-
-def text_of(html: str, node: Node) -> str:
-    """Text content: the element's span without tags, entities resolved."""
-    return unescape(_ANY_TAG.sub("", html[node.start : node.end]))

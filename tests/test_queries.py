@@ -10,7 +10,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from oracle_check import compare, duck
 
 FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
-SLOW = {"monitor_batches", "monitor_stream", "collect_catalogue"}
+SLOW = {"monitor_batches", "monitor_stream", "collect_catalogue", "collect_stats"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
