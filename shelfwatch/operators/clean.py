@@ -58,7 +58,7 @@ def _timestamp(df: DataFrame, name: str) -> Column:
 
 
 def _standardized(df: DataFrame) -> DataFrame:
-    """All per-row steps; the ``_bad_*`` flags feed the counters.
+    """All per-row steps but the URL; the ``_bad_*`` flags feed the counters.
 
     Done in three projections, so that a value several columns are made from is
     worked out once.
@@ -70,7 +70,6 @@ def _standardized(df: DataFrame) -> DataFrame:
     tidied = df.withColumns(
         {
             **{c: _tidy(F.col(c)) for c in _COLLAPSED},
-            "url": clean_url(F.col("url").cast("string")),
             "_raw": raw,
             "_stars": F.nanvl(_as_number(df, "rating"), F.lit(None)),
             "scraped_at": _timestamp(df, "scraped_at"),
@@ -103,16 +102,18 @@ def clean(df: DataFrame, order: str) -> Cleaned:
     """Clean raw records; *order* names the unique column giving arrival order.
 
     Of several rows with one URL the first to arrive stays, even when it is then
-    dropped for having no name.
+    dropped for having no name. Only the URL is cleaned before that choice: what
+    the shuffle carries are raw rows, and only the rows that stay are worked on.
     """
     named = normalize_headers(df)
     full, notes = add_missing_columns(named)
     order = snake_case(order)
-    rows = _standardized(full)
-    kept = first_per_key(rows, ["url"], order).dropna(subset=["name", "url"])
+    keyed = full.withColumn("url", clean_url(F.col("url").cast("string")))
+    kept = first_per_key(keyed, ["url"], order).filter(F.col("url").isNotNull())
+    frame = _standardized(kept).filter(F.col("name").isNotNull())
     return Cleaned(
-        kept.drop("_bad_price", "_bad_rating", "_relabelled"),
-        _counters(rows, order),
+        frame.drop("_bad_price", "_bad_rating", "_relabelled"),
+        _counters(_standardized(keyed), order),
         notes,
     )
 
