@@ -177,9 +177,9 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
             "\n",
         ).alias("cards")
     )
-    last = rows.agg(F.max("page_no").alias("last_page"))
+    last_page = rows.agg(F.max("page_no")).first()[0]
     onward = F.when(
-        F.col("page_no") + LISTINGS <= F.col("last_page"),
+        F.col("page_no") + LISTINGS <= F.lit(last_page),
         html(
             '<li class="next"><a href="page-',
             text(F.col("page_no") + LISTINGS),
@@ -189,11 +189,7 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
     side = "".join(
         f'<li><a href="list/page-{i}.html"> Listing {i} </a></li>' for i in range(LISTINGS)
     )
-    # One row with the number of the last page, sent to every task.
-    numbered = filled.withColumn("_all", F.lit(1)).join(
-        F.broadcast(last.withColumn("_all", F.lit(1))), "_all"
-    )
-    pages = numbered.select(
+    pages = filled.select(
         page_url(F.col("page_no")).alias("url"),
         html(
             '<html><body><ol class="row">',
@@ -203,7 +199,7 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
             "</ul></body></html>",
         ).alias("html"),
     )
-    home = last.select(
+    home = spark.range(1).select(
         F.lit(f"{SHOP}/index.html").alias("url"),
         F.lit(
             '<html><body><div class="side_categories"><ul><li><a href="category/books_1/index.html">All'
