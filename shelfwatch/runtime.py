@@ -31,6 +31,10 @@ def build_session(app: str = "shelfwatch", master: str | None = None, **conf: ob
     return builder.getOrCreate()
 
 
+# Folders made for local sessions without a checkpoint folder, by application.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -42,9 +46,10 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfwatch-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="shelfwatch-")
+    return _LOCAL_SCRATCH[app]
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from shelfwatch.operators import analyze as an
 from shelfwatch.operators.dedup import first_per_key
 from shelfwatch.operators.validate import validate
 from shelfwatch.plans.queries import QUERIES
+from shelfwatch.runtime import scratch_dir
 from shelfwatch.sources.records import to_records
 
 FOLDER = "/root/testdata/sf0.001"
@@ -41,6 +42,23 @@ def settings(spark, **conf):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+class _Session:
+    """Just enough of a session to ask for its scratch folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+
+
+def test_scratch_folder():
+    assert scratch_dir(_Session("yarn", "hdfs:///scratch/")) == "hdfs:///scratch"
+    with pytest.raises(RuntimeError):
+        scratch_dir(_Session("spark://head:7077"))
+    local = _Session("local[2]")
+    assert os.path.isdir(scratch_dir(local)) and scratch_dir(local) == scratch_dir(local)
+
+
 @needs_tables
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join(spark, name):
