@@ -8,6 +8,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle_check import compare, duck
+from shelfwatch.plans.oracle import ORACLE
+from shelfwatch.plans.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
 SLOW = {"monitor_batches", "monitor_stream", "collect_catalogue", "collect_stats"}
@@ -22,14 +24,15 @@ def con():
 
 
 def test_every_sql_has_its_query():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
 def test_query(spark, con, name):
     problem, _ = compare(spark, con, name, queries()[name], oracle_sql()[name], FOLDER)
     assert problem is None
