@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import quality, toxicity
+from shelfwatch.llm import decontaminate, packing, quality, secrets, toxicity
+from shelfwatch.llm.token_counts import count_tokens
+from shelfwatch.runtime import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +37,34 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document; the cache of a call starts empty, so all texts are encoded."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cache = Scratch(spark, "token-cache").path("counts")
+    return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), cache)
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs))
+    return found.select("doc_id", *[c.alias(n) for n, c in secrets.digest().items()])
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of benchmark items in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        decontaminate.items_digest().alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; fold 2 of 4 is held out of training."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,9 +75,22 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    table = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_token_counts": op2_token_counts,
+    "op3_secrets": op3_secrets,
+    "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {}
