@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import decontaminate, packing, quality, secrets, toxicity
+from shelfwatch.llm import decontaminate, packing, quality, secrets, simhash, toxicity
 from shelfwatch.llm.token_counts import count_tokens
 from shelfwatch.runtime import Scratch
 
@@ -75,6 +75,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints of 3-word shingles differ in at most 3 bits."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.group(simhash.add_fingerprints(docs)).select(
+        "doc_id", simhash.hex_print().alias("fingerprint"), "component_id"
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
 
