@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import decontaminate, packing, quality, secrets, simhash, toxicity
+from shelfwatch.llm import decontaminate, embedding_join, packing, quality, secrets, simhash, toxicity
 from shelfwatch.llm.token_counts import count_tokens
 from shelfwatch.runtime import Scratch
 
@@ -75,6 +75,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of vectors with a cosine of at least 0.9."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embedding_join.join(rows).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints of 3-word shingles differ in at most 3 bits."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op6_embeddings": op6_embeddings,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
