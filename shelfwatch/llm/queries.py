@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import decontaminate, embedding_join, packing, quality, secrets, simhash, toxicity
+from shelfwatch.llm import decontaminate, embedding_join, packing, quality, secrets, simhash, toxicity, warc
 from shelfwatch.llm.token_counts import count_tokens
 from shelfwatch.runtime import Scratch
 
@@ -81,6 +81,31 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.join(rows).select("vec_id", "n_links", "component_id", "kept")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as WARC records, read back and assembled."""
+    job = Scratch(spark, "warc")
+    path = job.path("archive")
+    warc.write(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    captures = warc.assemble(warc.read(spark, path, with_payload=False))
+    rows = job.write(
+        captures.select(
+            "record_id",
+            F.col("metadata.fields")["page-id"].cast("bigint").alias("page_id"),
+            F.col("capture.payload_bytes").alias("payload_bytes"),
+            F.col("capture.payload_digest").alias("payload_digest"),
+            F.col("capture.type").alias("record_type"),
+            F.col("capture.refers_to").alias("source"),
+        ),
+        "captures",
+    )
+    responses = rows.filter("record_type = 'response'").select(
+        F.col("record_id").alias("source"), F.col("page_id").alias("refers_to")
+    )
+    return rows.join(responses, "source", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints of 3-word shingles differ in at most 3 bits."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -105,8 +130,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_embeddings": op6_embeddings,
+    "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM p
+            WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)""",
+}
