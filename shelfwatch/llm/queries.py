@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import decontaminate, embedding_join, packing, quality, secrets, simhash, toxicity, warc
+from shelfwatch.llm import decontaminate, embedding_join, licenses, packing, quality, secrets, simhash, toxicity, warc
 from shelfwatch.llm.token_counts import count_tokens
 from shelfwatch.runtime import Scratch
 
@@ -81,6 +81,20 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.join(rows).select("vec_id", "n_links", "component_id", "kept")
 
 
+def document_path() -> Column:
+    """A path for a document: source, language, and a folder of 500 ids (every seventh is above it)."""
+    folder = F.floor(F.col("doc_id") / 500).cast("string")
+    return F.concat_ws(
+        "/", "source", "lang", F.when(F.col("doc_id") % 7 != 0, folder), F.col("doc_id").cast("string")
+    )
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license of every document: its own, or that of the nearest license file above it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", document_path().alias("path"), "text")
+    return licenses.scan(docs)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as WARC records, read back and assembled."""
     job = Scratch(spark, "warc")
@@ -130,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_embeddings": op6_embeddings,
+    "op7_licenses": op7_licenses,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
