@@ -41,10 +41,11 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark; ``n_chars`` follows the text where it was known."""
-    clean = secrets.redact(docs.select(*DOCUMENT), secrets.fit(docs))
-    length = F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast("bigint"))
-    return clean.withColumn("n_chars", length).select(*DOCUMENT)
+    """All documents, secrets replaced by a mark; ``n_chars`` changes as far as the text does."""
+    before = docs.select(*DOCUMENT, F.char_length("text").alias("length"))
+    clean = secrets.redact(before, secrets.fit(docs))
+    change = F.coalesce(F.char_length("text") - F.col("length"), F.lit(0))
+    return clean.withColumn("n_chars", F.col("n_chars") + change).select(*DOCUMENT)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
