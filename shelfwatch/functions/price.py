@@ -76,5 +76,13 @@ def round_half_even(value: Column, digits: int = 2) -> Column:
 
 
 def money(value: Column) -> Column:
-    """Two-decimal figure of a report."""
-    return F.round(value, 2)
+    """Two-decimal figure of a report, rounded from the exact binary value.
+
+    ``57.025`` is stored a little below that and becomes 57.02; rounding its
+    shortest decimal form, as ``round`` does, would give 57.03.
+    """
+    number = value.cast("double")
+    plain = F.isnan(number) | (F.abs(number) == float("inf"))
+    return F.when(plain, number).otherwise(
+        F.call_function("format_number", number, F.lit("0.00")).cast("double")
+    )

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwatch.functions.text import blank_to_null
 from shelfwatch.functions.url import page_key
-from shelfwatch.runtime import materialize
+from shelfwatch.runtime import Scratch
+
+#: Undecided rows that one task may go through in arrival order.
+LAST_ROWS = 100_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: str, descending: bool = False) -> DataFrame:
@@ -36,47 +43,74 @@ def dedup_two_keys(
 ) -> TwoKeyResult:
     """Drop a row if its page or its id was already *kept*, in arrival order.
 
-    A dropped row blocks nothing, and an absent id matches nothing. The rule is
-    greedy, so it is worked out in rounds: a row first for both of its keys among
-    the undecided rows is certain to stay, which settles every row sharing a key
-    with it. Copies of one (page, id) pair are folded before the first round, so
-    the rounds only see narrow rows and each pair once; real catalogues, whose id
-    is derived from the page, are done after one round.
+    A dropped row blocks nothing; an absent page or id matches nothing, so a row
+    with neither stays. The rule is greedy, so it is worked out in rounds: a row
+    first for both of its keys among the undecided rows is certain to stay, which
+    settles every row sharing a key with it. Copies of one (page, id) pair are
+    folded before the first round, so the rounds only see narrow rows and each pair
+    once; real catalogues, whose id is derived from the page, are done after one
+    round. Rows that wait for each other in a long chain would take a round a link:
+    once at most ``LAST_ROWS`` are undecided, one task goes through them in order.
     """
+    job = Scratch(df.sparkSession, "dedup")
     keyed = df.select(
         F.col(order).alias("ord"),
         page_key(F.col(url)).alias("page"),
         blank_to_null(F.col(identity)).alias("pid"),
     )
-    pairs = keyed.groupBy("page", "pid").agg(F.min("ord").alias("ord"))
-    undecided = materialize(pairs, "pairs")
-    winners = None
-    while not undecided.isEmpty():
-        stay = materialize(_certain(undecided), "stay")
-        winners = stay if winners is None else winners.unionByName(stay)
-        undecided = materialize(
-            undecided.join(stay.select("page"), "page", "left_anti").join(
-                stay.select("pid").dropna(), "pid", "left_anti"
-            ),
-            "undecided",
+    has_key = F.col("page").isNotNull() | F.col("pid").isNotNull()
+    pairs = keyed.filter(has_key).groupBy("page", "pid").agg(F.min("ord").alias("ord"))
+    undecided = job.write(pairs, "pairs")
+    left = undecided.count()
+    winners = [keyed.filter(~has_key).select("ord")]
+    while left > LAST_ROWS:
+        stay = job.write(_certain(undecided), "stay")
+        winners.append(stay.select("ord"))
+        rest = (
+            undecided.join(stay.select("ord"), "ord", "left_anti")
+            .join(stay.select("page").dropna(), "page", "left_anti")
+            .join(stay.select("pid").dropna(), "pid", "left_anti")
         )
-    if winners is None:
-        return TwoKeyResult(df, df.select(order).limit(0))
+        before, undecided = undecided, job.write(rest, "undecided")
+        job.drop(before)
+        left = undecided.count()
+    if left:
+        winners.append(job.write(_in_order(undecided), "last"))
+    kept = reduce(DataFrame.unionByName, winners).select(F.col("ord").alias(order))
     # Few rows go in practice: the planner can then broadcast the dropped numbers
     # (it knows their size on disk) and the wide rows are never shuffled.
-    dropped = materialize(
-        df.select(order).join(winners.select(F.col("ord").alias(order)), order, "left_anti"),
-        "dropped",
-    )
+    dropped = job.write(df.select(order).join(kept, order, "left_anti"), "dropped")
     return TwoKeyResult(df.join(dropped, order, "left_anti"), dropped)
 
 
 def _certain(rows: DataFrame) -> DataFrame:
-    """Rows that come first for their page and for their id."""
-    first_on_page = rows.groupBy("page").agg(F.min("ord").alias("ord")).select("ord")
-    with_id = rows.filter(F.col("pid").isNotNull())
-    first_of_id = with_id.groupBy("pid").agg(F.min("ord").alias("ord")).select("ord")
-    no_id = rows.filter(F.col("pid").isNull()).select("ord")
-    return rows.join(first_on_page, "ord", "left_semi").join(
-        first_of_id.unionByName(no_id), "ord", "left_semi"
-    )
+    """Rows that come first for their page and for their id; an absent key is no bar."""
+    first = rows
+    for key in ("page", "pid"):
+        least = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("ord").alias("least"))
+        first = (
+            first.join(least, key, "left")
+            .filter(F.col("least").isNull() | (F.col("least") == F.col("ord")))
+            .drop("least")
+        )
+    return first
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """The rows that stay, found one after the other; for at most ``LAST_ROWS`` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages: set[str] = set()
+        ids: set[str] = set()
+        for b in batches:
+            stay = []
+            for page, pid in zip(b.column("page").to_pylist(), b.column("pid").to_pylist()):
+                free = page not in pages and pid not in ids
+                stay.append(free)
+                if free:
+                    pages.update([page] if page is not None else [])
+                    ids.update([pid] if pid is not None else [])
+            yield pa.RecordBatch.from_arrays([b.column("ord").filter(pa.array(stay, pa.bool_()))], ["ord"])
+
+    schema = T.StructType([rows.schema["ord"]])
+    return rows.select("ord", "page", "pid").coalesce(1).sortWithinPartitions("ord").mapInArrow(run, schema)

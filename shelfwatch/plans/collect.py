@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,16 @@ from shelfwatch.runtime import materialize
 from shelfwatch.schema import RECORD_COLUMNS
 from shelfwatch.sources.listings import ListingRules, cards, links, read_listings
 
-# Arrival order as one integer: category, page of the category, card of the page.
-_CATEGORY_BITS, _PAGE_BITS, _CARD_BITS = 20, 27, 16
+
+STATS = (
+    "categories_found",
+    "categories_scraped",
+    "pages_visited",
+    "pages_failed",
+    "parser_errors",
+    "duplicates_in_run",
+    "records_scraped",
+)
 
 
 class NoCategoriesError(ValueError):
@@ -29,25 +38,40 @@ class Collected:
 
     records: DataFrame
     walks: DataFrame
-    stats: dict[str, int]
+    counters: DataFrame
 
+    @property
+    def stats(self) -> dict[str, int]:
+        """The counters (one row, worked out when asked for) by name."""
+        return self.counters.first().asDict()
 
-def arrival(category: Column, page: Column, card: Column) -> Column:
-    """The three positions packed in sort order; a position out of range raises."""
-    fits = (
-        (category < 1 << _CATEGORY_BITS) & (page < 1 << _PAGE_BITS) & (card < 1 << _CARD_BITS)
-    )
-    packed = (
-        F.shiftleft(category.cast("bigint"), _PAGE_BITS + _CARD_BITS)
-        + F.shiftleft(page.cast("bigint"), _CARD_BITS)
-        + card.cast("bigint")
-    )
-    return F.when(fits, packed).otherwise(F.raise_error("position too large for the arrival order"))
 
+@dataclass(frozen=True)
+class Arrival:
+    """Arrival order as one integer: category, page of the category, card of the page.
+
+    Each position gets the bits that the largest one at hand needs.
+    """
+
+    page_bits: int
+    card_bits: int
 
-def _position(order: Column) -> tuple[Column, Column]:
-    page = F.shiftright(order, _CARD_BITS).bitwiseAND((1 << _PAGE_BITS) - 1)
-    return F.shiftright(order, _PAGE_BITS + _CARD_BITS), page
+    @classmethod
+    def of(cls, rows: DataFrame) -> Arrival:
+        top = rows.agg(*[F.max(c).alias(c) for c in ("seed", "depth", "card_pos")]).first()
+        bits = [int(top[c] or 0).bit_length() for c in ("seed", "depth", "card_pos")]
+        if sum(bits) > 63:
+            raise OverflowError("categories times pages times cards exceed a 64-bit number")
+        return cls(bits[1], bits[2])
+
+    def number(self) -> Column:
+        high = F.shiftleft(F.col("seed").cast("bigint"), self.page_bits + self.card_bits)
+        return high + F.shiftleft(F.col("depth").cast("bigint"), self.card_bits) + F.col("card_pos")
+
+    def position(self, order: Column) -> tuple[Column, Column]:
+        """Category and page of an arrival number."""
+        page = F.shiftright(order, self.card_bits).bitwiseAND((1 << self.page_bits) - 1)
+        return F.shiftright(order, self.page_bits + self.card_bits), page
 
 
 def collect_products(
@@ -81,15 +105,16 @@ def collect_products(
     walks = walk_listings(seeds, listings.select("url", "next_url"), max_pages)
     visits = materialize(walks.visits, "visits")
     on_page = cards(listings, "page_key")
-    rows = materialize(
+    found_cards = materialize(
         visits.select("seed", "depth", F.col("page").alias("page_key"))
         .join(on_page, "page_key")
         .join(seeds.select("seed", "category"), "seed")
-        .withColumn("ord", arrival(F.col("seed"), F.col("depth"), F.col("card_pos")))
         .withColumn("scraped_at", F.lit(now.isoformat(timespec="seconds")))
-        .select("ord", *RECORD_COLUMNS, "error"),
+        .select("seed", "depth", "card_pos", *RECORD_COLUMNS, "error"),
         "cards",
     )
+    arrival = Arrival.of(found_cards)
+    rows = found_cards.select(arrival.number().alias("ord"), *RECORD_COLUMNS, "error")
     good = rows.filter(F.col("error").isNull()).drop("error")
     unique = dedup_two_keys(good, "ord")
     records, dropped, summary = unique.kept, unique.dropped, walks.summary
@@ -98,17 +123,27 @@ def collect_products(
     if last is not None:
         records = records.filter(F.col("ord") <= last)
         dropped = dropped.filter(F.col("ord") < last)
-        counts, summary = _cut(counts, summary, last)
-    stats = {
-        "categories_found": n_found,
-        "categories_scraped": summary.count(),
-        "pages_visited": counts["visits"].count(),
-        "pages_failed": summary.agg(F.sum("pages_failed")).first()[0] or 0,
-        "parser_errors": counts["errors"].count(),
-        "duplicates_in_run": dropped.count(),
-        "records_scraped": records.count(),
-    }
-    return Collected(records, summary, stats)
+        counts, summary = _cut(counts, summary, last, arrival)
+    summary = materialize(summary, "walks")
+    seen = [
+        _named("categories_found", F.count("*"), found),
+        _named("categories_scraped", F.count("*"), summary),
+        _named("pages_failed", F.sum("pages_failed"), summary),
+        _named("pages_visited", F.count("*"), counts["visits"]),
+        _named("parser_errors", F.count("*"), counts["errors"]),
+        _named("duplicates_in_run", F.count("*"), dropped),
+        _named("records_scraped", F.count("*"), records),
+    ]
+    # One row a counter, folded to one row.
+    counters = reduce(DataFrame.unionByName, seen).agg(
+        *[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in STATS]
+    )
+    return Collected(records, summary, counters)
+
+
+def _named(name: str, value: Column, table: DataFrame) -> DataFrame:
+    total = table.agg(F.coalesce(value, F.lit(0)).alias("n"))
+    return total.select(F.lit(name).alias("name"), "n")
 
 
 def _limit_position(records: DataFrame, limit: int) -> int | None:
@@ -122,17 +157,16 @@ def _limit_position(records: DataFrame, limit: int) -> int | None:
 
 
 def _cut(
-    counts: dict[str, DataFrame], summary: DataFrame, last: int
+    counts: dict[str, DataFrame], summary: DataFrame, last: int, arrival: Arrival
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Keep what happened up to the page on which the limit was reached.
 
     That page is still read to its end; its walk stops early there.
     """
-    at_category, at_page = last >> (_PAGE_BITS + _CARD_BITS), (last >> _CARD_BITS) & (
-        (1 << _PAGE_BITS) - 1
-    )
+    at_category = last >> (arrival.page_bits + arrival.card_bits)
+    at_page = (last >> arrival.card_bits) & ((1 << arrival.page_bits) - 1)
     seed, depth = F.col("seed"), F.col("depth")
-    error_seed, error_page = _position(F.col("ord"))
+    error_seed, error_page = arrival.position(F.col("ord"))
     seen = (seed < at_category) | ((seed == at_category) & (depth <= at_page))
     errors_seen = (error_seed < at_category) | (
         (error_seed == at_category) & (error_page <= at_page)

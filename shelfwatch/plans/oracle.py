@@ -105,8 +105,8 @@ _STANDARD = """standard AS (
 
 _SUMMARY = """agg AS (
   SELECT category, count(*) AS product_count,
-    count(*) FILTER (availability_status = 'Available') AS in_stock, round(avg(price), 2) AS avg_price,
-    round(min(price), 2) AS min_price, round(max(price), 2) AS max_price, round(avg(rating), 2) AS avg_rating
+    count(*) FILTER (availability_status = 'Available') AS in_stock, format('{:.2f}', avg(price))::DOUBLE AS avg_price,
+    format('{:.2f}', min(price))::DOUBLE AS min_price, format('{:.2f}', max(price))::DOUBLE AS max_price, format('{:.2f}', avg(rating))::DOUBLE AS avg_rating
   FROM cat GROUP BY category)"""
 
 _KPIS = """kpi AS (
@@ -114,11 +114,11 @@ _KPIS = """kpi AS (
     count(DISTINCT category) AS categories,
     (SELECT currency FROM cat WHERE currency IS NOT NULL GROUP BY currency
       ORDER BY count(*) DESC, currency LIMIT 1) AS currency,
-    round(avg(price), 2) AS avg_price, round(median(price), 2) AS median_price,
-    round(min(price), 2) AS min_price, round(max(price), 2) AS max_price, round(avg(rating), 2) AS avg_rating,
+    format('{:.2f}', avg(price))::DOUBLE AS avg_price, format('{:.2f}', median(price))::DOUBLE AS median_price,
+    format('{:.2f}', min(price))::DOUBLE AS min_price, format('{:.2f}', max(price))::DOUBLE AS max_price, format('{:.2f}', avg(rating))::DOUBLE AS avg_rating,
     count(*) FILTER (availability_status = 'Available') AS in_stock,
     count(*) FILTER (availability_status = 'Unavailable') AS out_of_stock,
-    round(max(price) - min(price), 2) AS price_span
+    format('{:.2f}', max(price) - min(price))::DOUBLE AS price_span
   FROM cat)"""
 
 _BAND = """CASE WHEN {0} >= 0 AND {0} < 10 THEN '0-10' WHEN {0} >= 10 AND {0} < 20 THEN '10-20'
@@ -410,7 +410,7 @@ UNION ALL SELECT 'unique source_product_id', user_id::VARCHAR, count(*) FROM eve
 GROUP BY user_id HAVING count(*) > 1""",
     "history_append": _with(_OBS)
     + f"""SELECT CASE WHEN run_id = {_LAST} THEN 2 ELSE 1 END::BIGINT AS run_id, count(*) AS n, count(price) AS priced,
-  count(DISTINCT url) AS urls, round(sum(price), 2) AS total,
+  count(DISTINCT url) AS urls, format('{{:.2f}}', sum(price))::DOUBLE AS total,
   CASE WHEN run_id = {_LAST} THEN '2024-02-02 00:00:00' ELSE '2024-02-01 00:00:00' END AS captured_at
 FROM obs GROUP BY ALL""",
     "snapshot_ordered": _with(_OBS, _PREVIOUS, _SNAPSHOT.format("'2024-02-01 00:00:00'", "'2024-02-02 00:00:00'"))

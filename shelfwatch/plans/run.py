@@ -15,13 +15,15 @@ from shelfwatch.operators.clean import clean
 from shelfwatch.operators.derive import add_derived_columns
 from shelfwatch.operators.validate import accepted, rejected, validate
 from shelfwatch.plans.collect import collect_products
-from shelfwatch.plans.store import CatalogStore, utc_now
+from shelfwatch.plans.store import CatalogStore, ConstraintError, LateRunError, utc_now
 from shelfwatch.runtime import materialize
 from shelfwatch.sources.records import to_records
 
 log = logging.getLogger(__name__)
 
 SUCCESS, PARTIAL, NO_DATA, FAILED = "success", "partial", "no_data", "failed"
+#: A batch that breaks a rule of the store: it can never be stored, so it is not tried again.
+REFUSED = "refused"
 
 
 @dataclass
@@ -43,7 +45,7 @@ class RunOutcome:
 
     @property
     def ok(self) -> bool:
-        return self.status != FAILED
+        return self.status not in (FAILED, REFUSED)
 
 
 def run_status(accepted: int, rejected: int, failed: bool = False, report_failed: bool = False) -> str:
@@ -65,15 +67,51 @@ def run_batch(
     run_id: int | None = None,
     crawl_stats: dict[str, int] | None = None,
     now: datetime | None = None,
+    key: str | None = None,
 ) -> RunOutcome:
     """Take one batch of raw records through the whole run.
 
-    *order* is the unique integer column of *records* giving arrival order. A
-    storage failure fails the run and stores nothing; a report failure leaves the
-    stored data and makes the run ``partial``.
+    *order* is the unique integer column of *records* giving arrival order. The
+    store is made if it is not there. A failure before the data is stored fails the
+    run and stores nothing, and the run is closed in the log whatever happens; a
+    batch that breaks a rule of the store is ``refused``. A report failure leaves
+    the stored data and the other reports, and makes the run ``partial``. With *key*
+    a batch that comes again is the same run.
     """
     now = now or utc_now()
-    outcome = RunOutcome(store.start_run(run_id, now))
+    outcome = RunOutcome(0)
+    try:
+        store.init()
+        outcome.run_id = store.start_run(run_id, now, key)
+    except Exception as failure:  # without a log there is nothing to close
+        outcome.error = f"opening the store failed: {failure}"
+        return outcome
+    try:
+        dataset = _prepare(store, outcome, records, order)
+        if dataset is None:
+            outcome.error = "the batch holds no valid record"
+            return _close(store, outcome, NO_DATA, crawl_stats, now)
+        outcome.records_stored = store.write_batch(
+            dataset, outcome.run_id, order, now, unique_urls=True
+        )
+    except Exception as failure:  # any failure up to here ends the run
+        outcome.error = f"storing failed: {failure}"
+        refused = isinstance(failure, (ConstraintError, LateRunError))
+        return _close(store, outcome, REFUSED if refused else FAILED, crawl_stats, now)
+
+    changes = store.price_changes(outcome.run_id)
+    outcome.analysis = analyze(dataset, changes, top_n, order, unique_urls=True)
+    report_failed = False
+    if report_dir:
+        report_failed = not _write_reports(outcome, store, dataset.drop(order), report_dir, source, now)
+    status = run_status(
+        outcome.records_accepted, outcome.records_rejected, report_failed=report_failed
+    )
+    return _close(store, outcome, status, crawl_stats, now)
+
+
+def _prepare(store: CatalogStore, outcome: RunOutcome, records: DataFrame, order: str) -> DataFrame | None:
+    """Validate and clean; the cleaned rows as a table of the run, or None without any."""
     checked = materialize(validate(to_records(records, keep=(order,))), "checked")
     verdict = checked.agg(
         F.count("*").alias("found"), F.count_if("is_valid").alias("good")
@@ -83,9 +121,7 @@ def run_batch(
     outcome.records_rejected = verdict["found"] - verdict["good"]
     outcome.rejected = rejected(checked)
     if not outcome.records_accepted:
-        outcome.error = "the batch holds no valid record"
-        return _close(store, outcome, NO_DATA, crawl_stats, now)
-
+        return None
     cleaned = clean(accepted(checked), order)
     counters = cleaned.counters.first()
     outcome.details = {
@@ -93,27 +129,7 @@ def run_batch(
         "invalid_prices_in_cleaning": counters["invalid_prices"],
         "invalid_ratings_in_cleaning": counters["invalid_ratings"],
     }
-    try:
-        dataset = _keep_dataset(store, add_derived_columns(cleaned.frame), outcome.run_id)
-        outcome.records_stored = store.write_batch(
-            dataset, outcome.run_id, order, now, unique_urls=True
-        )
-    except Exception as failure:  # any storage failure ends the run
-        outcome.error = f"storing failed: {failure}"
-        return _close(store, outcome, FAILED, crawl_stats, now)
-
-    changes = store.price_changes(outcome.run_id)
-    outcome.analysis = analyze(dataset, changes, top_n, order, unique_urls=True)
-    report_failed = False
-    if report_dir:
-        try:
-            _write_reports(outcome, dataset.drop(order), report_dir, source, now)
-        except Exception as failure:  # stored data stays
-            outcome.error, report_failed = f"report failed: {failure}", True
-    status = run_status(
-        outcome.records_accepted, outcome.records_rejected, report_failed=report_failed
-    )
-    return _close(store, outcome, status, crawl_stats, now)
+    return _keep_dataset(store, add_derived_columns(cleaned.frame), outcome.run_id)
 
 
 def run_pages(
@@ -130,7 +146,11 @@ def run_pages(
         for k in ("rules", "max_categories", "max_pages", "max_products")
         if k in options
     }
-    run_id = store.start_run(options.pop("run_id", None), now)
+    try:
+        store.init()
+        run_id = store.start_run(options.pop("run_id", None), now, options.get("key"))
+    except Exception as failure:
+        return RunOutcome(0, error=f"opening the store failed: {failure}")
     try:
         collected = collect_products(pages, overview_url, now, **limits)
     except Exception as failure:  # any collection failure ends the run
@@ -156,15 +176,35 @@ def _keep_dataset(store: CatalogStore, rows: DataFrame, run_id: int) -> DataFram
 
 
 def _write_reports(
-    outcome: RunOutcome, dataset: DataFrame, folder: str, source: str, now: datetime
-) -> None:
+    outcome: RunOutcome, store: CatalogStore, dataset: DataFrame, folder: str, source: str, now: datetime
+) -> bool:
+    """Write the CSV and the report tables, each whether or not the other fails."""
+    errors = []
+    try:
+        outcome.csv_path = report.write_products_csv(dataset, folder, now)
+    except Exception as failure:  # stored data and the tables stay
+        errors.append(f"CSV report failed: {failure}")
+    try:
+        base = f"{folder.rstrip('/')}/run_id={outcome.run_id}"
+        for name, table in report_tables(outcome, store, dataset, source, now).items():
+            table.write.mode("overwrite").parquet(f"{base}/{name}")
+        outcome.report_path = base
+    except Exception as failure:
+        errors.append(f"table report failed: {failure}")
+    outcome.error = "; ".join(errors) or outcome.error
+    return not errors
+
+
+def report_tables(
+    outcome: RunOutcome, store: CatalogStore, dataset: DataFrame, source: str, now: datetime
+) -> dict[str, DataFrame]:
+    """The report's tables by name; price changes are one of them only if there are any."""
     analysis = outcome.analysis
-    outcome.csv_path = report.write_products_csv(dataset, folder, now)
-    base = f"{folder.rstrip('/')}/run_id={outcome.run_id}"
     extra = {
         "run_id": outcome.run_id,
         "records_rejected": outcome.records_rejected,
         "duplicates_removed_in_cleaning": outcome.details["duplicates_removed_in_cleaning"],
+        "database": store.root,
     }
     kpis = materialize(analysis.kpis, "kpis")
     tables = {
@@ -182,9 +222,7 @@ def _write_reports(
     changes = materialize(analysis.price_changes, "changes")
     if not changes.isEmpty():
         tables["price_changes"] = changes
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{base}/{name}")
-    outcome.report_path = base
+    return tables
 
 
 def _close(

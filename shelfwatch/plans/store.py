@@ -7,8 +7,8 @@ folders no reader looks at, and running it again overwrites them.
 
 from __future__ import annotations
 
-import hashlib
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from shelfwatch.operators.prices import (
     repeated_keys,
     upsert,
 )
+from shelfwatch.runtime import remove_folder
 from shelfwatch.schema import (
     HISTORY_SCHEMA,
     PRODUCT_COLUMNS,
@@ -38,6 +39,10 @@ class ConstraintError(ValueError):
     """A batch would break a key or a required column; nothing of it is stored."""
 
 
+class LateRunError(ValueError):
+    """A run older than the newest stored one; storing it would hide its rows."""
+
+
 def utc_now() -> datetime:
     """The run's clock: UTC, whole seconds, taken once on the driver."""
     return datetime.now(timezone.utc).replace(microsecond=0)
@@ -70,17 +75,18 @@ def summarize_runs(events: DataFrame) -> DataFrame:
 class CatalogStore:
     """One catalogue under a root folder that every executor can reach.
 
-    There is one writer at a time; readers may come and go. With *buckets* the
-    snapshot is written in that many buckets of ``url``: the next upsert then joins
-    it where it lies and shuffles only the new batch. Take a number that gives
-    buckets of a few hundred megabytes. It may change between runs, since each
-    version records its own.
+    There is one writer at a time; readers may come and go. The snapshot lies in
+    *parts* by a hash of ``url``, and a run rewrites the parts that its batch
+    touches; the newest committed version of each part makes up the catalogue. A
+    small batch so costs a few parts and not the whole catalogue. The number is
+    fixed when the store is made: take one that gives parts of a few hundred
+    megabytes.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 0):
+    def __init__(self, spark: SparkSession, root: str, parts: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
+        self._wanted_parts = parts
 
     # -- layout ----------------------------------------------------------------
     def _path(self, table: str, run_id: int | None = None, event: str | None = None) -> str:
@@ -94,14 +100,19 @@ class CatalogStore:
         return self.spark.read.schema(full).parquet(self._path(table))
 
     def init(self) -> None:
-        """Create the three tables where they are missing."""
-        empty = self.spark.createDataFrame([], SNAPSHOT_SCHEMA)
-        empty.write.mode("ignore").parquet(self._path("products", 0))
+        """Create what is missing of the store's tables."""
+        layout = self.spark.range(1).select(F.lit(self._wanted_parts).alias("parts"))
+        layout.coalesce(1).write.mode("ignore").parquet(self._path("layout"))
         history = self.spark.createDataFrame([], HISTORY_SCHEMA)
         history.write.mode("ignore").parquet(self._path("price_history", 0))
         events = self.spark.createDataFrame([], RUN_EVENT_SCHEMA)
         events.write.mode("ignore").parquet(self._path("run_log", 0, STARTED))
 
+    @cached_property
+    def parts(self) -> int:
+        """Number of parts of the snapshot, as the store was made."""
+        return self.spark.read.schema("parts int").parquet(self._path("layout")).first()["parts"]
+
     # -- run log ---------------------------------------------------------------
     def _events(self) -> DataFrame:
         return self._table(
@@ -111,20 +122,47 @@ class CatalogStore:
             T.StructField("event", T.StringType()),
         )
 
-    def _log(self, run_id: int, event: str, status: str, now: datetime, counters: dict) -> None:
-        names = ["buckets", *RUN_COUNTERS]
-        numbers = [F.lit(int(counters.get(c, 0))).cast("bigint").alias(c) for c in names]
+    def _log(
+        self,
+        run_id: int,
+        event: str,
+        status: str,
+        now: datetime,
+        counters: dict | None = None,
+        key: str | None = None,
+        parts: list[int] | None = None,
+    ) -> None:
+        numbers = [
+            F.lit(int((counters or {}).get(c) or 0)).cast("bigint").alias(c) for c in RUN_COUNTERS
+        ]
         row = self.spark.range(1).select(
-            _instant(now).alias("at"), F.lit(status).alias("status"), *numbers
+            _instant(now).alias("at"),
+            F.lit(status).alias("status"),
+            F.lit(key).cast("string").alias("key"),
+            F.array(*[F.lit(n) for n in parts or []]).cast("array<int>").alias("parts"),
+            *numbers,
         )
         row.coalesce(1).write.mode("overwrite").parquet(self._path("run_log", run_id, event))
 
-    def start_run(self, run_id: int | None = None, now: datetime | None = None) -> int:
-        """Register a run as ``running`` and return its id."""
+    def start_run(
+        self, run_id: int | None = None, now: datetime | None = None, key: str | None = None
+    ) -> int:
+        """Register a run as ``running`` and return its id.
+
+        Without *run_id* the run gets the next free one. A run started before under
+        the same *key* is taken up again under its id, so a batch that comes twice
+        is one run whatever ids others have taken; one already stored is left as it
+        is in the log.
+        """
+        if run_id is None and key is not None:
+            known = self._events().filter((F.col("event") == STARTED) & (F.col("key") == key))
+            run_id = known.agg(F.min("run_id").alias("id")).first()["id"]
         if run_id is None:
             newest = self._events().agg(F.max("run_id").alias("id")).first()["id"]
             run_id = (newest or 0) + 1
-        self._log(run_id, STARTED, "running", now or utc_now(), {})
+        elif self.is_stored(run_id):
+            return run_id
+        self._log(run_id, STARTED, "running", now or utc_now(), key=key)
         return run_id
 
     def finish_run(
@@ -147,46 +185,41 @@ class CatalogStore:
     def is_stored(self, run_id: int) -> bool:
         return not self._stored_runs().filter(F.col("run_id") == run_id).isEmpty()
 
-    def _version(self, before: int | None = None) -> tuple[int, int]:
-        """Newest committed snapshot, optionally older than a run, and its buckets."""
+    def _versions(self, before: int | None = None) -> dict[int, int]:
+        """The newest committed run of each part, optionally older than a run."""
         stored = self._events().filter(F.col("event") == STORED)
         if before is not None:
             stored = stored.filter(F.col("run_id") < before)
-        newest = stored.orderBy(F.desc("run_id")).select("run_id", "buckets").first()
-        return (newest["run_id"], newest["buckets"]) if newest else (0, 0)
+        # As many rows as the snapshot has parts.
+        newest = stored.select("run_id", F.explode("parts").alias("part")).groupBy("part")
+        return {r["part"]: r["run"] for r in newest.agg(F.max("run_id").alias("run")).collect()}
 
-    def _snapshot(self, version: int) -> DataFrame:
-        return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self._path("products", version))
+    def _part_path(self, run_id: int, part: int) -> str:
+        return f"{self._path('products', run_id)}/part={part}"
 
-    def snapshot(self, before: int | None = None) -> DataFrame:
-        version, _ = self._version(before)
-        return self._snapshot(version)
-
-    # A bucketed layout is known to the planner through a table entry only. The
-    # entries are external: they hold no data and are made again where missing.
-    def _entry(self, version: int) -> str:
-        return f"shelfwatch_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_{version}"
-
-    def _bucketed_snapshot(self, before: int) -> DataFrame:
-        version, buckets = self._version(before)
-        if not buckets:
-            return self._snapshot(version)
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SNAPSHOT_SCHEMA)
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._entry(version)} ({columns}) USING parquet "
-            f"CLUSTERED BY (url) SORTED BY (url) INTO {buckets} BUCKETS "
-            f"LOCATION '{self._path('products', version)}'"
-        )
-        return self.spark.table(self._entry(version))
+    def _read_parts(self, versions: dict[int, int]) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], SNAPSHOT_SCHEMA)
+        paths = [self._part_path(run, part) for part, run in sorted(versions.items())]
+        return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(*paths)
 
-    def _write_snapshot(self, rows: DataFrame, version: int) -> None:
-        path, writer = self._path("products", version), rows.write.mode("overwrite")
-        if not self.buckets:
-            writer.parquet(path)
-            return
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(version)}")
-        bucketed = writer.bucketBy(self.buckets, "url").sortBy("url").option("path", path)
-        bucketed.saveAsTable(self._entry(version), format="parquet")
+    def snapshot(self, before: int | None = None) -> DataFrame:
+        return self._read_parts(self._versions(before))
+
+    def _written(self, run_id: int) -> DataFrame:
+        """The parts a run wrote, as rows of the snapshot."""
+        path = self._path("products", run_id)
+        return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
+
+    def remove_superseded(self, before: int) -> list[str]:
+        """Delete the versions that no snapshot from run *before* on needs; returns their folders."""
+        current = self._versions(before + 1)
+        stored = self._events().filter((F.col("event") == STORED) & (F.col("run_id") <= before))
+        pairs = stored.select("run_id", F.explode("parts").alias("part")).distinct().collect()
+        old = [self._part_path(r["run_id"], r["part"]) for r in pairs if current[r["part"]] != r["run_id"]]
+        for path in old:
+            remove_folder(self.spark, path)
+        return old
 
     def products(self) -> DataFrame:
         """The current catalogue by category (unset first) and name."""
@@ -233,19 +266,33 @@ class CatalogStore:
 
         Returns the number of rows of the batch. A broken constraint raises
         :class:`ConstraintError` and leaves the run invisible. A run that is
-        already stored is left as it is, so a replayed batch changes nothing.
+        already stored is left as it is, so a replayed batch changes nothing; one
+        older than the newest stored run raises :class:`LateRunError`, since its
+        rows would not be seen.
         """
         now = now or utc_now()
         if self.is_stored(run_id):
             return self._rows_of_run(run_id)
+        later = self._stored_runs().filter(F.col("run_id") > run_id)
+        if not later.isEmpty():
+            raise LateRunError(f"run {run_id} comes after a newer run was stored")
+        versions = self._versions()
+        part = F.pmod(F.xxhash64("url"), F.lit(self.parts)).cast("int")
+        # At most as many numbers as the snapshot has parts.
+        touched = sorted(r["part"] for r in batch.select(part.alias("part")).distinct().collect())
         merged = upsert(
-            self._bucketed_snapshot(run_id),
+            self._read_parts({p: versions[p] for p in touched if p in versions}),
             batch,
             run_id,
             _instant(now),
             None if unique_urls else order,
         )
-        self._write_snapshot(merged, run_id)
+        placed = merged.withColumn("part", part).hint("rebalance", "part")
+        empty = self.spark.createDataFrame([], SNAPSHOT_SCHEMA)
+        if touched:
+            placed.write.mode("overwrite").partitionBy("part").parquet(self._path("products", run_id))
+        else:
+            empty.write.mode("overwrite").parquet(self._path("products", run_id))
         history = batch.select(
             F.col(order).cast("bigint").alias("seq"),
             "source_product_id",
@@ -256,19 +303,34 @@ class CatalogStore:
             _instant(now).alias("captured_at"),
         )
         history.write.mode("overwrite").parquet(self._path("price_history", run_id))
-        written = self._snapshot(run_id)
-        # Rows the run did not touch were checked before; a shared id needs them all.
+        after = self._written(run_id) if touched else empty
+        rest = self._read_parts({p: r for p, r in versions.items() if p not in touched})
+        self._check(after, rest, run_id, unique_urls)
+        self._log(run_id, STORED, "stored", now, parts=touched)
+        return self._rows_of_run(run_id)
+
+    def _check(self, written: DataFrame, rest: DataFrame, run_id: int, unique_urls: bool) -> None:
+        """Raise if the run broke a rule; the table of all violations stays in the store."""
+        # Rows the run did not touch were checked before, so a new clash of ids
+        # involves a row it touched: only those ids are looked for elsewhere.
         touched = written.filter(F.col("touched_run") == run_id)
+        ids = touched.select("source_product_id").dropna().distinct()
+        everywhere = written.select("source_product_id").unionByName(rest.select("source_product_id"))
         checks = missing_values(touched, "name", "url").unionByName(
-            repeated_keys(written, "source_product_id")
+            repeated_keys(everywhere.join(ids, "source_product_id", "left_semi"), "source_product_id")
         )
         if unique_urls:
             checks = checks.unionByName(repeated_keys(touched, "url"))
-        broken = checks.limit(5).collect()
-        if broken:
-            raise ConstraintError("; ".join(f"{b['constraint']}: {b['key']} ({b['n']})" for b in broken))
-        self._log(run_id, STORED, "stored", now, {"buckets": self.buckets})
-        return self._rows_of_run(run_id)
+        path = self._path("violations", run_id)
+        checks.write.mode("overwrite").parquet(path)
+        broken = self.spark.read.schema(checks.schema).parquet(path)
+        n = broken.count()
+        if n:
+            worst = broken.orderBy("constraint", "key").first()
+            raise ConstraintError(
+                f"{n} broken rule(s), all listed in {path}; "
+                f"the first is {worst['constraint']}: {worst['key']} ({worst['n']})"
+            )
 
     def _rows_of_run(self, run_id: int) -> int:
         path = self._path("price_history", run_id)
@@ -280,4 +342,4 @@ class CatalogStore:
 
     def price_changes(self, run_id: int) -> DataFrame:
         """Price movement of a committed run against the prices known before it."""
-        return movement(self._snapshot(run_id), run_id)
+        return movement(self._written(run_id), run_id)

@@ -81,7 +81,8 @@ RUN_COUNTERS = [
 RUN_EVENT_SCHEMA = _struct(
     at=_TS,
     status=_S,
-    buckets=_L,
+    key=_S,
+    parts=T.ArrayType(T.IntegerType()),
     **{name: _L for name in RUN_COUNTERS},
 )
 RUN_COLUMNS = ["id", "started_at", "finished_at", "status", *RUN_COUNTERS]

@@ -6,15 +6,20 @@ import re
 from functools import lru_cache
 from html import unescape
 
-_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_VALUE = r"""(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>"'][^\s>]*))"""
+_ATTRIBUTE = re.compile(rf"""([^\s=/"'<>]+)(?:\s*=\s*{_VALUE})?""")
+# The inside of a tag. A quote opens a value only after an equals sign, and a value
+# or tag that is never closed takes the rest of the page, once.
+_INSIDE = r"""(?:[^>=]|=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|=(?!\s*["']))*+"""
 _SKIPPED = r"<!--.*?(?:-->|\Z)|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)"
-_ANY_TAG = re.compile(rf"""{_SKIPPED}|</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>""", re.S | re.I)
+_ANY_TAG = re.compile(rf"""{_SKIPPED}|</?[a-zA-Z]{_INSIDE}(?:>|\Z)""", re.S | re.I)
 _VOID = {"img", "br", "input", "hr", "meta", "link", "source", "wbr"}
 # Opening one of these ends an open paragraph.
 _BLOCKS = {"p", "div", "ul", "ol", "li", "article", "section", "nav", "h1", "h2", "h3", "h4", "form"}
 
 
-_CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_LISTS = {"ul", "ol"}
+_CLASS = re.compile(rf"""\bclass\s*=\s*{_VALUE}""", re.I)
 
 
 class Node:
@@ -51,44 +56,58 @@ def compile_selector(selector: str) -> tuple[tuple[str, frozenset[str]], ...]:
 
 @lru_cache(maxsize=64)
 def _tag_scanner(tags: frozenset[str]) -> re.Pattern[str]:
-    names = "|".join(sorted(tags))
+    names = "|".join(sorted(tags | _BLOCKS))
     return re.compile(
-        rf"""{_SKIPPED}|<(/?)({names})(?=[\s/>])((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S | re.I
+        rf"""{_SKIPPED}|<(/?)({names})(?=[\s/>])({_INSIDE})(?:>|\Z)""", re.S | re.I
     )
 
 
 def read_nodes(html: str, selectors: tuple[str, ...]) -> list[Node]:
     """Elements of the tags the selectors mention, in document order.
 
-    Markup need not be well formed: paragraphs and list items close by
-    themselves, and an end tag closes everything opened inside its element.
+    Markup need not be well formed: a block ends an open paragraph, a list item the
+    one before it in its list, a link an open link, and an end tag everything
+    opened inside its element. Blocks count whether selectors name them or not.
     """
     tags = frozenset(tag for s in selectors for tag, _ in compile_selector(s))
     nodes: list[Node] = []
     open_nodes: list[Node] = []
+    standing: dict[str, list[int]] = {}  # places of the open elements of a tag
+    items = [0]  # open list items of each open list, outside any list first
 
     def close(depth: int, at: int) -> None:
         while len(open_nodes) > depth:
-            open_nodes.pop().end = at
+            node = open_nodes.pop()
+            node.end = at
+            standing[node.tag].pop()
+            if node.tag in _LISTS:
+                items.pop()
+            elif node.tag == "li":
+                items[-1] -= 1
 
     for m in _tag_scanner(tags).finditer(html):
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(open_nodes) - 1, -1, -1):
-                if open_nodes[i].tag == tag:
-                    close(i, m.start())
-                    break
+            if standing.get(tag):
+                close(standing[tag][-1], m.start())
             continue
-        top = open_nodes[-1] if open_nodes else None
-        if top and ((top.tag == "p" and tag in _BLOCKS) or (top.tag == tag == "li")):
-            close(len(open_nodes) - 1, m.start())
+        if tag in _BLOCKS and standing.get("p"):
+            close(standing["p"][-1], m.start())
+        if (tag == "li" and items[-1]) or (tag == "a" and standing.get("a")):
+            close(standing[tag][-1], m.start())
         node = Node(tag, m[3], open_nodes[-1] if open_nodes else None, m.end())
-        nodes.append(node)
+        if tag in tags:
+            nodes.append(node)
         if tag not in _VOID:
             node.end = len(html)
+            standing.setdefault(tag, []).append(len(open_nodes))
             open_nodes.append(node)
+            if tag in _LISTS:
+                items.append(0)
+            elif tag == "li":
+                items[-1] += 1
     return nodes
 
 

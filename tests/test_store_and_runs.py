@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import RECORD_DDL, record
@@ -12,7 +13,7 @@ from shelfwatch.operators import report
 from shelfwatch.operators.derive import add_derived_columns
 from shelfwatch.operators.prices import constraint_violations, previous_prices
 from shelfwatch.plans.run import run_batch, run_pages, run_status
-from shelfwatch.plans.store import CatalogStore, ConstraintError
+from shelfwatch.plans.store import CatalogStore, ConstraintError, LateRunError
 from shelfwatch.schema import CSV_REPORT_COLUMNS, PRODUCT_COLUMNS
 from shelfwatch.streaming.monitor import Monitor
 from test_listings import ROOT, card, page, pages, sidebar
@@ -130,27 +131,50 @@ def test_replayed_run_changes_nothing(spark, store):
     assert again == 3 and store.count_products() == 3 and store.history().count() == 3
 
 
-def test_bucketed_snapshot_is_not_shuffled_again(spark, tmp_path):
-    store = CatalogStore(spark, str(tmp_path / "bucketed"), buckets=3)
-    store.init()
-    write(store, batch(spark, *FIRST), 0)
-    old, _ = store._version()
-    joined = store._bucketed_snapshot(old + 1).alias("o").join(
-        batch(spark, FIRST[0]).alias("n"), F.col("o.url") == F.col("n.url"), "full"
-    )
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
-    # A reader without the table entry, and a writer with another number of buckets.
-    spark.sql(f"DROP TABLE {store._entry(old)}")
-    again = CatalogStore(spark, store.root, buckets=2)
-    write(again, batch(spark, record(1, "Lamp", "lamp_1", 48.0), record(2, "New", "new_4", 1.0)), 1)
-    plain = CatalogStore(spark, store.root)
-    run = write(plain, batch(spark, record(1, "Lamp", "lamp_1", 47.0)), 2)
-    assert plain.count_products() == 4
-    prices = {r.url.split("/")[-2]: r.price for r in plain.products().collect()}
-    assert prices == {"lamp_1": 47.0, "desk_2": 53.74, "chair_3": None, "new_4": 1.0}
-    previous = {r.source_product_id: r.previous_price for r in plain.previous_prices(run).collect()}
-    assert previous == {"lamp_1": 48.0, "desk_2": 53.74, "new_4": 1.0}
+def _folders(root, run):
+    return sorted(p.name for p in (root / "catalog" / "products" / f"run_id={run}").glob("part=*"))
+
+
+def test_small_batch_rewrites_its_part_only(spark, store, tmp_path):
+    many = [record(i, f"P{i}", f"p_{i}", 1.0 + i) for i in range(60)]
+    first = write(store, batch(spark, *many), 0)
+    assert len(_folders(tmp_path, first)) > 10
+    run = write(store, batch(spark, record(1, "P7 new", "p_7", 3.0)), 1)
+    assert len(_folders(tmp_path, run)) == 1
+    assert store.count_products() == 60 and store.snapshot(before=run).filter("price = 3.0").count() == 1
+    assert {r.price for r in store.products().filter("name = 'P7 new'").collect()} == {3.0}
+    previous = {r.source_product_id: r.previous_price for r in store.previous_prices(run).collect()}
+    assert previous["p_7"] == 8.0 and len(previous) == 60
+    # A writer that asks for another number of parts gets the store's own.
+    other = CatalogStore(spark, store.root, parts=3)
+    other.init()
+    assert other.parts == 16
+    gone = store.remove_superseded(run)
+    assert len(gone) == 1 and store.count_products() == 60
+
+
+def test_id_clash_with_an_untouched_part(spark, store):
+    write(store, batch(spark, *[record(i, f"P{i}", f"p_{i}", 1.0) for i in range(40)]), 0)
+    run = store.start_run()
+    clash = [record(i, "N", f"new_{i}", 1.0, source_product_id=f"p_{i}") for i in range(9)]
+    with pytest.raises(ConstraintError, match="9 broken"):
+        store.write_batch(batch(spark, *clash), run, "ord")
+    listed = spark.read.parquet(f"{store.root}/violations/run_id={run}")
+    assert listed.count() == 9 and store.count_products() == 40
+
+
+def test_late_run_is_refused(spark, store):
+    early = store.start_run(now=DAY)
+    write(store, batch(spark, FIRST[1]), 1)
+    with pytest.raises(LateRunError):
+        store.write_batch(batch(spark, FIRST[0]), early, "ord")
+    out = run_batch(store, batch(spark, FIRST[0]), "ord", run_id=early)
+    assert out.status == "refused" and not out.ok and store.count_products() == 1
+
+
+def test_a_key_names_a_run(spark, store):
+    one = store.start_run(key="a/0")
+    assert store.start_run(key="b/0") == one + 1 and store.start_run(key="a/0") == one
 
 
 def test_constraint_report(spark):
@@ -199,7 +223,9 @@ def test_two_runs_and_reports(spark, store, sample, tmp_path):
     board = [(r.label, r.value) for r in tables["dashboard"].orderBy("pos").collect()]
     assert board[0] == ("Total products", "3") and board[9] == ("Average rating", "n/a") and len(board) == 10
     notes = [(r.label, r.value) for r in tables["metadata"].orderBy("pos").collect()]
-    assert [label for label, _ in notes[5:]] == ["duplicates_removed_in_cleaning", "records_rejected", "run_id"]
+    assert [label for label, _ in notes[5:]] == [
+        "database", "duplicates_removed_in_cleaning", "records_rejected", "run_id",
+    ]
     assert notes[0] == ("Generated at (UTC)", "2024-05-02 00:00:00 UTC") and notes[4][1] == "false"
     assert tables["price_changes"].count() == 2 and tables["cheapest"].first().price == 44.10
     log = store.runs().collect()
@@ -226,8 +252,33 @@ def test_no_valid_record(spark, store):
 def test_storage_failure_fails_the_run(spark, store):
     rows = batch(spark, FIRST[0], record(2, "Other", "other_9", 1.0, source_product_id="lamp_1"))
     out = run_batch(store, rows, "ord")
-    assert out.status == "failed" and not out.ok and "lamp_1" in out.error
-    assert store.count_products() == 0 and store.runs().first().status == "failed"
+    assert out.status == "refused" and not out.ok and "lamp_1" in out.error
+    assert store.count_products() == 0 and store.runs().first().status == "refused"
+
+
+def test_run_on_a_fresh_folder(spark, sample, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "new"))
+    assert run_batch(store, sample, "ord").status == "success" and store.count_products() == 3
+
+
+def test_failure_in_cleaning_closes_the_run(spark, store, sample, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("no cleaning today")
+
+    monkeypatch.setattr("shelfwatch.plans.run.clean", broken)
+    out = run_batch(store, sample, "ord")
+    assert out.status == "failed" and "no cleaning" in out.error
+    assert store.runs().first().status == "failed"
+
+
+def test_csv_failure_leaves_the_tables(spark, store, sample, tmp_path, monkeypatch):
+    def broken(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr("shelfwatch.operators.report.write_products_csv", broken)
+    out = run_batch(store, sample, "ord", report_dir=str(tmp_path / "r"))
+    assert out.status == "partial" and "disk full" in out.error and out.csv_path is None
+    assert spark.read.parquet(f"{out.report_path}/dashboard").count() == 10
 
 
 def test_report_failure_keeps_the_data(spark, store, sample, tmp_path):
@@ -296,8 +347,49 @@ def test_monitor_runs_each_batch_once(spark, store, tmp_path):
     assert changes == {"Lamp": -3.77}
     stream = spark.readStream.schema(schema).json(landing)
     assert monitor.run(stream, str(tmp_path / "offsets")) == []
-    replay = Monitor(store, "ord").run(stream, str(tmp_path / "other-offsets"))
-    assert len(replay) == 1 and store.count_products() == 3 and store.history().count() == 5
+    # Another checkpoint is another stream: its batch is stored, not taken for a replay.
+    other = Monitor(store, "ord").run(stream, str(tmp_path / "other-offsets"))
+    assert [o.run_id for o in other] == [3] and store.count_products() == 3 and store.history().count() > 5
+
+
+def test_monitor_meets_a_store_with_runs(spark, store, tmp_path):
+    run_batch(store, batch(spark, FIRST[0]), "ord")
+    landing = str(tmp_path / "landing")
+    batch(spark, FIRST[1]).write.json(landing)
+    stream = spark.readStream.schema(batch(spark, *FIRST).schema).json(landing)
+    (out,) = Monitor(store, "ord").run(stream, str(tmp_path / "offsets"))
+    assert (out.run_id, out.status) == (2, "success") and store.count_products() == 2
+
+
+def test_monitor_stops_at_a_failure_and_takes_the_batch_up_again(spark, store, tmp_path, monkeypatch):
+    landing = str(tmp_path / "landing")
+    batch(spark, *FIRST).write.json(landing)
+    stream = spark.readStream.schema(batch(spark, *FIRST).schema).json(landing)
+    monitor, write_batch = Monitor(store, "ord"), store.write_batch
+
+    def broken(*_, **__):
+        raise OSError("store is away")
+
+    monkeypatch.setattr(store, "write_batch", broken)
+    with pytest.raises(StreamingQueryException, match="store is away"):
+        monitor.run(stream, str(tmp_path / "offsets"))
+    assert store.count_products() == 0
+    monkeypatch.setattr(store, "write_batch", write_batch)
+    (out,) = monitor.run(stream, str(tmp_path / "offsets"))
+    assert (out.run_id, out.status) == (1, "success") and store.count_products() == 3
+    assert [r.status for r in store.runs().collect()] == ["success"]
+
+
+def test_monitor_passes_over_a_refused_batch(spark, store, tmp_path):
+    landing, schema = tmp_path / "landing", batch(spark, *FIRST).schema
+    rows = [[FIRST[0], record(2, "Other", "other_9", 1.0, source_product_id="lamp_1")], [FIRST[1]]]
+    for i, part in enumerate(rows):
+        batch(spark, *part).coalesce(1).write.json(str(landing / f"d{i}"))
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    stream = stream.option("maxFilesPerTrigger", 1).json(str(landing))
+    out = Monitor(store, "ord", keep=1).run(stream, str(tmp_path / "offsets"))
+    assert sorted(r.status for r in store.runs().collect()) == ["refused", "success"]
+    assert len(out) == 1 and store.count_products() == 1
 
 
 def test_monitor_stops_after_a_number_of_runs(spark, store, tmp_path):
