@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwatch.functions.text import SPACE_CLASS, blank_to_null, strip
 
@@ -29,24 +25,69 @@ def clean_url(url: Column) -> Column:
     return blank_to_null(page_key(strip(url)))
 
 
-def _join_urls(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if h is None or b is None else _resolve(b, h) for b, h in zip(base, href)],
-        dtype=object,
-    )
+_PARTS = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+
+
+class _Parts:
+    """Scheme, authority, path, query and fragment of a URL, and which are there."""
+
+    def __init__(self, url: Column):
+        self.scheme, self.authority, self.path, self.query, self.fragment = (
+            F.regexp_extract(url, _PARTS, k) for k in range(1, 6)
+        )
+        self.has_authority = url.rlike(r"(?s)^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//")
 
 
-def _resolve(base: str, href: str) -> str | None:
-    try:
-        return urljoin(base, href)
-    except ValueError:
-        return None
+def _without_dots(steps: Column) -> Column:
+    """Path steps with ``.`` dropped and ``..`` taking the step before it along."""
+    walked = F.aggregate(
+        steps,
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(step == ".", done)
+        .otherwise(F.concat(done, F.array(step))),
+    )
+    closed = F.when(
+        F.element_at(steps, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))
+    ).otherwise(walked)
+    path = F.array_join(closed, "/")
+    return F.when(path == "", "/").otherwise(path)
 
 
 def resolve_url(base: Column, href: Column) -> Column:
-    """Absolute form of *href* on page *base*, null if either is null or broken.
+    """Absolute form of *href* on page *base*, null if either is null.
 
-    Spark has no reference-resolution built in, so this is an Arrow-batched UDF
-    around the standard library; the jobs here call it on links only.
+    For web addresses: a path without a slash in front starts from the directory of
+    the base, empty steps inside it are dropped, and a reference that is empty but
+    for its fragment keeps the query of the base.
     """
-    return F.pandas_udf(_join_urls, T.StringType())(base, href)
+    old, new = _Parts(base), _Parts(href)
+    other_scheme = (new.scheme != "") & (F.lower(new.scheme) != F.lower(old.scheme))
+    folder = F.split(F.regexp_replace(old.path, "[^/]*$", ""), "/")
+    joined = F.concat(F.slice(folder, 1, F.greatest(F.size(folder) - 1, F.lit(0))), F.split(new.path, "/"))
+    inside = F.filter(
+        joined, lambda step, i: (step != "") | (i == 0) | (i == F.size(joined) - 1)
+    )
+    steps = F.when(new.path.startswith("/"), F.split(new.path, "/")).otherwise(inside)
+    path = F.when(new.path == "", old.path).otherwise(_without_dots(steps))
+    path = F.when(old.has_authority & path.rlike("^[^/]"), F.concat(F.lit("/"), path)).otherwise(path)
+    query = F.when((new.path == "") & (new.query == ""), old.query).otherwise(new.query)
+    resolved = F.concat(
+        F.lower(old.scheme),
+        F.when(old.scheme != "", ":").otherwise(""),
+        F.when(old.has_authority, F.concat(F.lit("//"), old.authority)).otherwise(""),
+        path,
+        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
+        F.when(new.fragment != "", F.concat(F.lit("#"), new.fragment)).otherwise(""),
+    )
+    with_host = F.concat(
+        F.lower(old.scheme), F.lit("://"), F.regexp_replace(href, "^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//", "")
+    )
+    return (
+        F.when(base.isNull() | href.isNull(), F.lit(None))
+        .when(href == "", base)
+        .when(base == "", href)
+        .when(other_scheme, href)
+        .when(new.has_authority, with_host)
+        .otherwise(resolved)
+    )

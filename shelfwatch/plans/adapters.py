@@ -123,10 +123,11 @@ CARDS_PER_PAGE = 20
 LISTINGS = 10
 
 
-def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
+def listing_pages(spark: SparkSession, folder: str, more: tuple[str, ...] = ()) -> DataFrame:
     """Listing markup made from ``part``: 20 cards a page, pages dealt to 10 listings.
 
-    The overview page links the listings. A part of Brand#3 has no title on its
+    The overview page links the listings, and the addresses in *more*; one that ends
+    in ``?again`` is served the first listing's pages a second time. A part of Brand#3 has no title on its
     link, one of Brand#5 neither title nor picture text, one of Brand#8 no price.
     """
     brand, size = F.col("p_brand"), F.col("p_size")
@@ -188,7 +189,7 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
     ).otherwise("")
     side = "".join(
         f'<li><a href="list/page-{i}.html"> Listing {i} </a></li>' for i in range(LISTINGS)
-    )
+    ) + "".join(f'<li><a href="{url}"> More {i} </a></li>' for i, url in enumerate(more))
     pages = filled.select(
         page_url(F.col("page_no")).alias("url"),
         html(
@@ -206,7 +207,10 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
             f"</a><ul>{side}</ul></li></ul></div></body></html>"
         ).alias("html"),
     )
-    return pages.unionByName(home)
+    copy = pages.filter(F.col("url") == page_url(F.lit(0))).withColumn(
+        "url", F.concat("url", F.lit("?again"))
+    )
+    return pages.unionByName(home).unionByName(copy) if more else pages.unionByName(home)
 
 
 def page_url(number: Column) -> Column:

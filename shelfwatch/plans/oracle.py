@@ -200,6 +200,15 @@ card AS (
       ': product is missing a title or a link' END AS error
   FROM made)"""
 
+_LIMITED = """ordered AS (
+  SELECT *, row_number() OVER (ORDER BY page_no % 10, page_no // 10, card_pos) AS rn FROM card
+  WHERE error IS NULL AND page_no % 10 < 4 AND page_no // 10 < 2)"""
+
+_LOGGED = f"""logged AS (
+  SELECT CASE WHEN run_id = {_LAST} THEN 2 ELSE 1 END::BIGINT AS id, count(*) AS found,
+    count(*) FILTER (category <> 'error') AS good FROM obs GROUP BY 1
+  UNION ALL SELECT 3, 0, 0)"""
+
 _WALK = """links AS (
   SELECT page_id, 'https://shop.example/walk/' || page_id AS page, page_id // 25 AS listing,
     CASE WHEN page_id % 25 <> 24 THEN 'https://shop.example/walk/' || (page_id + 1)
@@ -311,8 +320,20 @@ parts AS (SELECT page_url, nr, regexp_extract(tag, '>([^<]*)<', 1) AS name,
 kept AS (SELECT page_url, url, min(nr) AS nr, arg_min(trim(name), nr) AS name FROM parts
   WHERE name <> '' AND NOT regexp_matches(url, '/the$') GROUP BY page_url, url)
 SELECT page_url, row_number() OVER (PARTITION BY page_url ORDER BY nr) AS pos, name, url FROM kept""",
-    "link_resolve": r"""SELECT page_id, regexp_extract(url, '^https?://[^/]+') || '/top/z' AS rooted,
-  'https://other.example/q' AS absolute, true AS dots_removed, true AS query_kept FROM pages""",
+    "link_resolve": r"""WITH parts AS (
+  SELECT page_id, url, regexp_extract(url, '^https?://[^/]+') AS host,
+    regexp_replace(regexp_extract(url, '^https?://[^/]+([^?#]*)', 1), '[^/]*$', '') AS folder FROM pages)
+SELECT page_id, host || '/top/z' AS rooted, 'https://other.example/q' AS absolute,
+  host || regexp_replace(folder, '[^/]+/$', '') || 'x/y' AS upward,
+  regexp_extract(url, '^[^?#]*') || '?p=2' AS queried FROM parts""",
+    "link_resolve_hrefs": r"""WITH hrefs AS (
+  SELECT page_id, regexp_extract(url, '^https?://[^/]+') AS host,
+    regexp_replace(regexp_extract(url, '^https?://[^/]+([^?#]*)', 1), '[^/]*$', '') AS folder,
+    regexp_extract_all(html, 'href="([^"]*)"', 1) AS found FROM pages),
+each AS (SELECT page_id, host, folder, unnest(found) AS href, generate_subscripts(found, 1) - 1 AS nr FROM hrefs)
+SELECT page_id, nr, CASE WHEN href LIKE '/%' THEN host || href WHEN href LIKE 'http%' THEN href
+    ELSE host || folder || href END AS target,
+  host || folder || 'b' || href AS below FROM each""",
     "product_extract": _with(_CARDS)
     + """SELECT page_url, card_pos, card_total, name, url, price, currency, availability, rating, image_url,
   source_product_id, error FROM card""",
@@ -329,6 +350,23 @@ UNION ALL SELECT 'https://shop.example/index.html', NULL, NULL""",
   count(DISTINCT page_no) AS pages_visited,
   greatest(10 - count(DISTINCT page_no), 0) AS pages_failed, count(error) AS parser_errors,
   0::BIGINT AS duplicates_in_run, count(*) - count(error) AS records_scraped FROM card""",
+    "collect_shared": _with(_CARDS)
+    + """SELECT 12::BIGINT AS categories_found, 12::BIGINT AS categories_scraped,
+  count(DISTINCT page_no) + count(DISTINCT page_no) FILTER (page_no % 10 = 0) AS pages_visited,
+  1 + greatest(10 - count(DISTINCT page_no), 0) AS pages_failed,
+  count(error) + count(error) FILTER (page_no % 10 = 0) AS parser_errors,
+  count(*) FILTER (page_no % 10 = 0 AND error IS NULL) AS duplicates_in_run,
+  count(*) - count(error) AS records_scraped FROM card""",
+    "collect_limited": _with(_CARDS, _LIMITED)
+    + "SELECT 'Listing ' || (page_no % 10) AS category, url, price, rating FROM ordered WHERE rn <= 45",
+    "collect_limited_walks": _with(_CARDS, _LIMITED)
+    + """SELECT listing + 1 AS seed,
+  CASE WHEN listing = at_listing THEN at_depth + 1 ELSE least(pages, 2) END AS pages_visited,
+  0::BIGINT AS pages_failed, NULL::VARCHAR AS failed_url, 0::BIGINT AS duplicates_detected,
+  coalesce(listing = at_listing, false) OR pages > 2 AS stopped_early, false AS stopped_on_failure
+FROM (SELECT page_no % 10 AS listing, count(DISTINCT page_no) AS pages FROM card GROUP BY 1)
+  LEFT JOIN (SELECT page_no % 10 AS at_listing, page_no // 10 AS at_depth FROM ordered WHERE rn = 45) ON true
+WHERE listing < 4 AND (at_listing IS NULL OR listing <= at_listing)""",
     "listing_walk": "WITH RECURSIVE "
     + _WALK
     + """,
@@ -354,6 +392,9 @@ seen AS (
       AND NOT (a.source_product_id <> '' AND list_contains(s.ids, a.source_product_id)) AS fresh
     FROM seen s JOIN arrivals a ON a.nr = s.nr + 1))
 SELECT event_id, url, source_product_id FROM arrivals JOIN seen USING (nr) WHERE kept""",
+    "dedup_chain": """SELECT event_id, 'https://shop.example/c/' || (event_id // 2) AS url,
+  CASE WHEN event_id % 64 <> 0 THEN 'k' || ((event_id + 1) // 2) END AS source_product_id
+FROM events WHERE event_id % 2 = 0""",
     "dedup_in_run": _with(_OBS)
     + """SELECT event_id, url, source_product_id FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY event_id) AS rn FROM obs) WHERE rn = 1""",
@@ -417,6 +458,52 @@ FROM obs GROUP BY ALL""",
     + """SELECT source_product_id, name, url, price, currency, category, availability, rating, image_url,
   first_seen_at, last_seen_at FROM snap ORDER BY category NULLS FIRST, name""",
     "previous_prices_snapshot": _with(_OBS, _PREVIOUS) + "SELECT * FROM prev",
+    "store_runs": _with(_OBS, _LOGGED)
+    + """SELECT id, '2024-02-0' || id || ' 00:00:00' AS started_at,
+  CASE WHEN id < 3 THEN '2024-02-0' || id || ' 00:00:00' END AS finished_at,
+  CASE WHEN id = 3 THEN 'running' WHEN good = 0 THEN 'no_data' WHEN found > good THEN 'partial'
+    ELSE 'success' END AS status,
+  0::BIGINT AS categories, 0::BIGINT AS pages_visited, 0::BIGINT AS pages_failed,
+  found AS records_found, good AS records_accepted, found - good AS records_rejected FROM logged""",
+    "run_by_id": _with(_OBS, _LOGGED)
+    + """SELECT id, '2024-02-02 00:00:00' AS started_at,
+  CASE WHEN good = 0 THEN 'no_data' WHEN found > good THEN 'partial' ELSE 'success' END AS status
+FROM logged WHERE id = 2""",
+    "history_rows": _with(_OBS)
+    + f"""SELECT event_id AS seq, source_product_id, name, url, price, currency,
+  CASE WHEN run_id = {_LAST} THEN '2024-02-02 00:00:00' ELSE '2024-02-01 00:00:00' END AS captured_at,
+  CASE WHEN run_id = {_LAST} THEN 2 ELSE 1 END::BIGINT AS run_id FROM obs""",
+    "snapshot_count": _with(_OBS) + "SELECT count(DISTINCT url) AS products FROM obs",
+    "analysis_bundle": _with(_OBS)
+    + f"""SELECT 'kpi total_products' AS "table", 'all' AS label, count(*)::DOUBLE AS value FROM obs
+UNION ALL SELECT 'kpi unique_products', 'all', count(DISTINCT url) FROM obs
+UNION ALL SELECT 'kpi avg_price', 'all', format('{{:.2f}}', avg(price))::DOUBLE FROM obs
+UNION ALL SELECT 'kpi median_price', 'all', format('{{:.2f}}', median(price))::DOUBLE FROM obs
+UNION ALL SELECT 'category', category, format('{{:.2f}}', avg(price))::DOUBLE FROM obs GROUP BY category
+UNION ALL SELECT 'availability', {_STATUS.format("availability")}, count(*) FROM obs GROUP BY 2
+UNION ALL SELECT 'rating', round_even(rating, 0)::BIGINT || ' star', count(*) FROM obs
+  WHERE rating IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'price', price_bucket, product_count FROM ({_band_counts("obs")})
+UNION ALL SELECT * FROM (SELECT 'top', url, rating FROM obs WHERE rating IS NOT NULL
+  ORDER BY rating DESC, price ASC NULLS LAST, event_id LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'cheapest', url, price FROM obs WHERE price IS NOT NULL
+  ORDER BY price, event_id LIMIT 10)""",
+    "report_sizes": _with(_OBS)
+    + f""", cleaned AS (
+  SELECT * FROM (SELECT *, CASE WHEN run_id = {_LAST} THEN 2 ELSE 1 END::BIGINT AS run,
+    row_number() OVER (PARTITION BY url, run_id = {_LAST} ORDER BY event_id) AS rn FROM obs) WHERE rn = 1),
+changed AS (SELECT count(*) AS n FROM cleaned c JOIN cleaned p ON p.url = c.url AND p.run = 1 AND c.run = 2
+  WHERE c.price IS NOT NULL AND p.price IS NOT NULL),
+sizes AS (SELECT run, count(*) AS n, count(DISTINCT coalesce(category, '')) AS groups,
+    count(DISTINCT {_STATUS.format("availability")}) AS states, count(DISTINCT round_even(rating, 0)) AS stars,
+    count(rating) AS rated, count(price) AS priced FROM cleaned GROUP BY run)
+SELECT run AS run_id, t.name AS "table", CASE t.name WHEN 'dashboard' THEN 10 WHEN 'product_data' THEN n
+    WHEN 'category_analysis' THEN groups WHEN 'chart_categories' THEN least(groups, 10)
+    WHEN 'chart_availability' THEN states WHEN 'chart_price' THEN 6 WHEN 'rating_distribution' THEN stars
+    WHEN 'top_rated' THEN least(rated, 10) WHEN 'cheapest' THEN least(priced, 10) ELSE 9 END::BIGINT AS n
+FROM sizes, (VALUES ('dashboard'), ('product_data'), ('category_analysis'), ('chart_categories'),
+  ('chart_availability'), ('chart_price'), ('rating_distribution'), ('top_rated'), ('cheapest'), ('metadata')) t(name)
+UNION ALL SELECT 2, 'price_changes', n FROM changed WHERE n > 0""",
     "run_log": _with(_OBS)
     + """SELECT run_id AS id, min(seen_at) AS started_at, max(seen_at) AS finished_at,
   CASE WHEN count(*) FILTER (category <> 'error') = 0 THEN 'no_data'
@@ -474,4 +561,8 @@ FROM obs""",
 FROM obs""",
     "monitor_batches": _RUN_CHANGES,
     "monitor_stream": _RUN_CHANGES,
+    "monitor_restart": _RUN_CHANGES,
+    "monitor_limited": _with(_OBS)
+    + f"""SELECT 1::BIGINT AS id, 'success' AS status, count(*) AS records_found, count(*) AS records_accepted,
+  count(DISTINCT url) AS products FROM obs WHERE run_id < {_LAST}""",
 }

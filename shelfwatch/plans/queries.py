@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from shelfwatch.operators.validate import accepted, errors, issue_summary, rejec
 from shelfwatch.operators.walk import walk_listings
 from shelfwatch.plans import adapters as ad
 from shelfwatch.plans.collect import collect_products
-from shelfwatch.plans.run import run_batch
+from shelfwatch.plans.run import report_tables, run_batch, run_status
 from shelfwatch.plans.store import FINISHED, STARTED, STORED, CatalogStore, summarize_runs
 from shelfwatch.runtime import scratch_dir
 from shelfwatch.schema import RECORD_COLUMNS, RUN_COUNTERS, SNAPSHOT_SCHEMA
@@ -204,16 +206,26 @@ def link_extract(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def link_resolve(spark: SparkSession, folder: str) -> DataFrame:
-    pages = ad.table(spark, folder, "pages").select("page_id", "url")
-    up, over = F.lit("../x/./y"), F.lit("?p=2")
-    return pages.select(
+    url = F.col("url")
+    return ad.table(spark, folder, "pages").select(
         "page_id",
-        furl.resolve_url(F.col("url"), F.lit("/top/z")).alias("rooted"),
-        furl.resolve_url(F.col("url"), F.lit("https://other.example/q")).alias("absolute"),
-        (furl.resolve_url(F.col("url"), up) == furl.resolve_url(F.col("url"), F.lit("../x/y"))).alias(
-            "dots_removed"
-        ),
-        furl.resolve_url(furl.page_key(F.col("url")), over).endswith("?p=2").alias("query_kept"),
+        furl.resolve_url(url, F.lit("/top/z")).alias("rooted"),
+        furl.resolve_url(url, F.lit("https://other.example/q")).alias("absolute"),
+        furl.resolve_url(url, F.lit("../x/./y")).alias("upward"),
+        furl.resolve_url(furl.page_key(url), F.lit("?p=2")).alias("queried"),
+    )
+
+
+@query
+def link_resolve_hrefs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every ``href`` of the pages in its absolute form."""
+    found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
+    rows = ad.table(spark, folder, "pages").select("page_id", "url", F.posexplode(found).alias("nr", "href"))
+    return rows.select(
+        "page_id",
+        F.col("nr").cast("bigint").alias("nr"),
+        furl.resolve_url(F.col("url"), F.col("href")).alias("target"),
+        furl.resolve_url(F.col("url"), F.concat(F.lit("a/../b"), F.col("href"))).alias("below"),
     )
 
 
@@ -255,6 +267,34 @@ def collect_stats(spark: SparkSession, folder: str) -> DataFrame:
     return found.counters
 
 
+@query
+def collect_shared(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of a collection with a listing met twice and one whose page is missing."""
+    now = datetime(2024, 5, 1, tzinfo=timezone.utc)
+    pages = ad.listing_pages(spark, folder, ("list/page-0.html?again", "list/gone.html"))
+    return collect_products(pages, f"{ad.SHOP}/index.html", now).counters
+
+
+LIMITS = {"max_categories": 4, "max_pages": 2, "max_products": 45}
+
+
+def _limited(spark: SparkSession, folder: str):
+    now = datetime(2024, 5, 1, tzinfo=timezone.utc)
+    return collect_products(ad.listing_pages(spark, folder), f"{ad.SHOP}/index.html", now, **LIMITS)
+
+
+@query
+def collect_limited(spark: SparkSession, folder: str) -> DataFrame:
+    """The records that limits on categories, pages and products let through."""
+    return _limited(spark, folder).records.select("category", "url", "price", "rating")
+
+
+@query
+def collect_limited_walks(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the limited walks came, and why they ended."""
+    return _limited(spark, folder).walks.drop("start_url")
+
+
 def _two_key_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Pages by user, ids by ``props``: neither key follows from the other."""
     k = F.regexp_extract("props", r"\d+", 0)
@@ -274,6 +314,18 @@ def dedup_two_key(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_two_keys(_two_key_rows(spark, folder), "event_id").kept
 
 
+@query
+def dedup_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows linked in chains of 64, by page and by id in turn: each waits for the one before."""
+    n = F.col("event_id")
+    rows = ad.table(spark, folder, "events").select(
+        "event_id",
+        F.concat(F.lit("https://shop.example/c/"), F.floor(n / 2)).alias("url"),
+        F.when(n % 64 != 0, F.concat(F.lit("k"), F.floor((n + 1) / 2))).alias("source_product_id"),
+    )
+    return dedup_two_keys(rows, "event_id").kept
+
+
 @query
 def dedup_in_run(spark: SparkSession, folder: str) -> DataFrame:
     rows = ad.observations(spark, folder).withColumn(
@@ -489,6 +541,48 @@ def previous_prices_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return store.previous_prices(2)
 
 
+def _logged(spark: SparkSession, folder: str) -> CatalogStore:
+    """A store whose run log has a run per part of the observations, and one still open."""
+    store = CatalogStore(spark, _scratch(spark, "catalog"))
+    store.init()
+    named = F.when(F.col("category") != "error", F.col("name"))
+    rows = ad.observations(spark, folder).withColumn("name", named)
+    last = _last_run(rows)
+    for part, day in ((F.col("run_id") < last, 1), (F.col("run_id") == last, 2)):
+        now = datetime(2024, 2, day, tzinfo=timezone.utc)
+        run = store.start_run(now=now)
+        verdict = validate(to_records(rows.filter(part)))
+        found, good = verdict.agg(F.count("*"), F.count_if("is_valid")).first()
+        counters = {"records_found": found, "records_accepted": good, "records_rejected": found - good}
+        store.finish_run(run, run_status(good, found - good), counters, now)
+    store.start_run(now=datetime(2024, 2, 3, tzinfo=timezone.utc))
+    return store
+
+
+@query
+def store_runs(spark: SparkSession, folder: str) -> DataFrame:
+    runs = _logged(spark, folder).runs()
+    return runs.withColumns({c: _utc_text(F.col(c)) for c in ("started_at", "finished_at")})
+
+
+@query
+def run_by_id(spark: SparkSession, folder: str) -> DataFrame:
+    return _logged(spark, folder).run(2).withColumn("started_at", _utc_text(F.col("started_at")))
+
+
+@query
+def history_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every stored observation with its run and place in the batch."""
+    store, _ = _stored(spark, folder)
+    return store.history().withColumn("captured_at", _utc_text(F.col("captured_at")))
+
+
+@query
+def snapshot_count(spark: SparkSession, folder: str) -> DataFrame:
+    store, _ = _stored(spark, folder)
+    return store.product_count()
+
+
 @query
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """The run log as readers see it, with one run per day of observations."""
@@ -572,6 +666,57 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def analysis_bundle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every table of the analysis in one list: table, label, value."""
+    rows = add_derived_columns(ad.observations(spark, folder))
+    changes = rows.limit(0).select(
+        "name", "category", F.col("price").alias("previous_price"), F.col("price").alias("current_price"),
+        F.col("price").alias("change"),
+    )
+    found = an.analyze(rows, changes, order="event_id")
+
+    def part(name: str, table: DataFrame, label: str, value: str) -> DataFrame:
+        return table.select(
+            F.lit(name).alias("table"), F.col(label).cast("string").alias("label"), F.col(value).cast("double").alias("value")
+        )
+
+    headline = found.kpis.withColumn("label", F.lit("all"))
+    parts = [part(f"kpi {c}", headline, "label", c) for c in ("total_products", "unique_products", "avg_price", "median_price")]
+    parts += [
+        part("category", found.by_category, "category", "avg_price"),
+        part("availability", found.availability, "availability", "product_count"),
+        part("rating", found.rating_distribution, "rating", "product_count"),
+        part("price", found.price_distribution, "price_bucket", "product_count"),
+        part("top", found.top_rated, "url", "rating"),
+        part("cheapest", found.cheapest, "url", "price"),
+        part("changes", found.price_changes, "name", "change"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def report_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """The report tables of two runs and their rows; price changes only where there are any."""
+    root = _scratch(spark, "reports")
+    store = CatalogStore(spark, f"{root}/catalog")
+    rows = ad.observations(spark, folder)
+    last = _last_run(rows)
+    sizes = []
+    for part in (F.col("run_id") < last, F.col("run_id") == last):
+        now = datetime(2024, 5, 1, tzinfo=timezone.utc)
+        outcome = run_batch(store, rows.filter(part), "event_id", f"{root}/reports", ad.SHOP, now=now)
+        dataset = spark.read.parquet(store.dataset_path(outcome.run_id))
+        for name in report_tables(outcome, store, dataset, ad.SHOP, now):
+            table = spark.read.parquet(f"{outcome.report_path}/{name}")
+            sizes.append(
+                table.agg(F.count("*").alias("n")).select(
+                    F.lit(outcome.run_id).cast("bigint").alias("run_id"), F.lit(name).alias("table"), "n"
+                )
+            )
+    return reduce(DataFrame.unionByName, sizes)
+
+
 # -- whole runs ----------------------------------------------------------------
 @query
 def monitor_batches(spark: SparkSession, folder: str) -> DataFrame:
@@ -600,3 +745,52 @@ def monitor_stream(spark: SparkSession, folder: str) -> DataFrame:
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landing")
         outcomes = monitor.run(stream, f"{root}/offsets")
     return outcomes[-1].analysis.price_changes
+
+
+def _landed(spark: SparkSession, folder: str, root: str) -> tuple[DataFrame, DataFrame]:
+    """The observations as two files that arrive one after the other, and the stream of them."""
+    rows = ad.observations(spark, folder).withColumn("scraped_at", _ntz("seen_at"))
+    rows = to_records(rows, keep=("event_id", "run_id"))
+    last = _last_run(rows)
+    for part in (F.col("run_id") < last, F.col("run_id") == last):
+        rows.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return rows, stream.parquet(f"{root}/landing")
+
+
+class _FailsOnce(CatalogStore):
+    """A store whose first write fails, as a lost connection would make it."""
+
+    failed = False
+
+    def write_batch(self, *args, **options):
+        if not self.failed:
+            self.failed = True
+            raise OSError("the store is away")
+        return super().write_batch(*args, **options)
+
+
+@query
+def monitor_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream whose first run fails, started again on its checkpoint: nothing is lost."""
+    root = _scratch(spark, "monitor")
+    _, stream = _landed(spark, folder, root)
+    monitor = Monitor(_FailsOnce(spark, f"{root}/catalog"), "event_id")
+    try:
+        monitor.run(stream, f"{root}/offsets")
+    except StreamingQueryException as failure:
+        if "the store is away" not in str(failure):
+            raise
+    return monitor.run(stream, f"{root}/offsets")[-1].analysis.price_changes
+
+
+@query
+def monitor_limited(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream stopped after one run: the log and the catalogue hold the first file only."""
+    root = _scratch(spark, "monitor")
+    _, stream = _landed(spark, folder, root)
+    store = CatalogStore(spark, f"{root}/catalog")
+    Monitor(store, "event_id").run(stream, f"{root}/offsets", max_runs=1)
+    return store.runs().select("id", "status", "records_found", "records_accepted").join(
+        store.product_count(), F.col("id") == 1
+    )

@@ -229,8 +229,12 @@ class CatalogStore:
             .orderBy(F.asc_nulls_first("category"), "name")
         )
 
+    def product_count(self) -> DataFrame:
+        """One row ``products``: the size of the catalogue."""
+        return self.snapshot().agg(F.count("*").alias("products"))
+
     def count_products(self) -> int:
-        return self.snapshot().count()
+        return self.product_count().first()["products"]
 
     def history(self) -> DataFrame:
         """All observations of committed runs, with ``run_id``."""

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+import time
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwatch.operators.dedup import dedup_two_keys, first_per_key
 from shelfwatch.operators.walk import walk_listings
@@ -234,3 +236,80 @@ def test_product_limit_stops_the_walk(shop, limit, pages_seen, errors, stopped):
 def test_collect_without_categories(spark, shop):
     with pytest.raises(NoCategoriesError):
         collect_products(shop, ROOT + "missing.html", NOW)
+
+
+# -- markup that is not well formed --------------------------------------------
+def _texts(html, selector):
+    nodes = markup.read_nodes(html, (selector,))
+    return [markup.text_of(html, n) for n in markup.select(nodes, selector)]
+
+
+def _hrefs(html, selector):
+    nodes = markup.read_nodes(html, (selector,))
+    return [n.get("href") for n in markup.select(nodes, selector)]
+
+
+def test_blocks_count_whether_selected_or_not():
+    assert _texts('<p class="price_color">£5<section>7</section>', "p.price_color") == ["£5"]
+    assert _hrefs('<li class="next"><ol><li>x</li></ol><a href=q>n</a>', "li.next a") == ["q"]
+    assert _hrefs('<li class="next">a<li><a href=q>n</a>', "li.next a") == []
+
+
+def test_quotes_open_after_an_equals_sign_only():
+    html = "<a href=it's>one</a> <a href=y>two</a> <a \"x href='z'>three</a>"
+    assert _hrefs(html, "a") == ["it's", "y", "z"] and _texts(html, "a") == ["one", "two", "three"]
+    assert _hrefs('<a href="never closed>one</a> <b>', "a") == ["never closed>one</a> <b>"]
+
+
+@pytest.mark.parametrize("piece", ['<a href="x', '<a href=">', "<li>", "<div><p>", "<a href=x ", "<!--", "</b>"])
+def test_reading_is_linear(piece):
+    def seconds(n):
+        html, begin = piece * n, time.process_time()
+        nodes = markup.read_nodes(html, ("li a", "p.x"))
+        for node in nodes[:50]:
+            markup.text_of(html[:2000], node)
+        return time.process_time() - begin
+
+    seconds(100)
+    assert seconds(40_000) < 5
+
+
+# -- two keys -------------------------------------------------------------------
+def _kept(spark, rows):
+    df = spark.createDataFrame(rows, "ord long, url string, source_product_id string")
+    return sorted(r.ord for r in dedup_two_keys(df, "ord").kept.collect())
+
+
+def _greedy(rows):
+    pages, ids, kept = set(), set(), []
+    for order, url, pid in sorted(rows):
+        url = url and url.split("#")[0]
+        if (url is None or url not in pages) and (not pid or pid not in ids):
+            kept.append(order)
+            pages |= {url} - {None}
+            ids |= {pid} - {None, ""}
+    return kept
+
+
+@pytest.mark.parametrize("last_rows", [0, 100_000])
+def test_chains_and_absent_keys(spark, monkeypatch, last_rows):
+    monkeypatch.setattr("shelfwatch.operators.dedup.LAST_ROWS", last_rows)
+    chain = [(n, f"u{n // 2}", f"k{(n + 1) // 2}") for n in range(9)]
+    assert _kept(spark, chain) == [0, 2, 4, 6, 8]
+    absent = [(1, None, None), (2, None, ""), (3, None, "a"), (4, None, "a"), (5, "u", None), (6, "u#x", "b"), (7, None, "b")]
+    assert _kept(spark, absent) == _greedy(absent) == [1, 2, 3, 5, 7]
+
+
+def test_any_rows_as_one_after_the_other(spark, monkeypatch):
+    rnd = random.Random(3)
+    rows = [(n, rnd.choice(["a", "b", "c", "d", "e", None]), rnd.choice(["x", "y", "z", "", None])) for n in range(60)]
+    assert _kept(spark, rows) == _greedy(rows)
+
+
+def test_a_page_with_very_many_cards(spark):
+    cards = "".join(card(f"item_{i}", f"P{i}") for i in range(70_000))
+    site = {"index.html": page(side=sidebar("home")), "list/home-1.html": page(cards)}
+    got = collect_products(pages(spark, site), ROOT + "index.html", NOW)
+    assert got.stats["records_scraped"] == 70_000
+    last = got.records.orderBy(F.desc("ord")).first()
+    assert last.source_product_id == "item_69999"

@@ -12,7 +12,6 @@ from shelfwatch.plans.oracle import ORACLE
 from shelfwatch.plans.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
-SLOW = {"monitor_batches", "monitor_stream", "collect_catalogue", "collect_stats"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
@@ -32,7 +31,7 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, con, name):
     problem, _ = compare(spark, con, name, queries()[name], oracle_sql()[name], FOLDER)
     assert problem is None
