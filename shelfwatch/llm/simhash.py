@@ -150,17 +150,12 @@ def _finer(mask: int, parts: int) -> list[int]:
 
 def links(prints: DataFrame, job: Scratch, radius: int = 3, shard_rows: int = 2000) -> DataFrame:
     """Links ``a, b`` that connect all distinct ``fingerprint`` within *radius* bits."""
-    spark, level = prints.sparkSession, [0]
-    open_rows, found = prints.select(F.col("fingerprint").alias("f"), F.lit(0).cast("bigint").alias("mask")), None
+    masks = _finer(0, radius + 1)
+    first = F.explode(F.array(*[F.lit(_signed(m)).cast("bigint") for m in masks]))
+    opened, found = prints.select(F.col("fingerprint").alias("f"), first.alias("mask")), None
     while True:
-        steps = [(_signed(m), _signed(x)) for m in level for x in _finer(m, radius + 1)]
-        level = [x % (1 << 64) for _, x in steps]
-        # At most 4^5 rows: the masks of a level.
-        table = F.broadcast(spark.createDataFrame(steps, "mask bigint, next bigint"))
-        rows = open_rows.join(table, "mask").select(
-            "f", F.col("next").alias("mask"), F.col("f").bitwiseAND(F.col("next")).alias("value")
-        )
-        last = BITS - level[0].bit_count() <= 15
+        rows = opened.withColumn("value", F.col("f").bitwiseAND(F.col("mask")))
+        last = BITS - masks[0].bit_count() <= 15
         large = None
         if not last:
             counts = rows.groupBy("mask", "value").count().filter(F.col("count") > shard_rows)
@@ -172,7 +167,12 @@ def links(prints: DataFrame, job: Scratch, radius: int = 3, shard_rows: int = 20
         found = here if found is None else found.unionByName(here)
         if large is None:
             return found
-        open_rows = job.write(rows.join(large, ["mask", "value"], "left_semi").select("f", "mask"), "open")
+        steps = [(_signed(m), _signed(x)) for m in masks for x in _finer(m, radius + 1)]
+        masks = [x % (1 << 64) for _, x in steps]
+        # At most 4^5 rows: the masks of a level.
+        table = F.broadcast(prints.sparkSession.createDataFrame(steps, "mask bigint, next bigint"))
+        again = rows.join(large, ["mask", "value"], "left_semi").select("f", "mask").join(table, "mask")
+        opened = job.write(again.select("f", F.col("next").alias("mask")), "open")
 
 
 def _shards(rows: DataFrame, radius: int) -> DataFrame:
@@ -211,16 +211,20 @@ def _shards(rows: DataFrame, radius: int) -> DataFrame:
 
 
 def group(rows: DataFrame, key: str = "doc_id", radius: int = 3, shard_rows: int = 2000) -> DataFrame:
-    """Add ``component_id`` to rows with a ``fingerprint``: the smallest key of the group."""
+    """Add ``component_id``, the smallest key of a row's group, to rows with a ``fingerprint``.
+
+    ``group_print``, one fingerprint of the group, tells groups apart where keys repeat.
+    """
     job = Scratch(rows.sparkSession, "simhash")
-    rows = job.write(rows.drop("component_id"), "fingerprints")
+    rows = job.write(rows.drop("component_id", "group_print"), "fingerprints")
     prints = job.write(rows.groupBy("fingerprint").agg(F.min(key).alias("least")), "distinct")
     joined = components(links(prints, job, radius, shard_rows), job)
     heads = prints.join(joined, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("head")
     )
     least = heads.groupBy("head").agg(F.min("least").alias("component_id"))
-    ids = job.write(heads.join(least, "head").select("fingerprint", "component_id"), "groups")
+    named = heads.join(least, "head").withColumnRenamed("head", "group_print")
+    ids = job.write(named.select("fingerprint", "component_id", "group_print"), "groups")
     return rows.join(ids, "fingerprint")
 
 
@@ -242,7 +246,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     if not kept.filter("count > 1").isEmpty():
         # Repeated ids: their rows may even differ, so the group of each row decides.
         out = add_fingerprints(out, text, shingle, keep_text=True)
-        ids = marked.select("fingerprint", "component_id").distinct()
+        ids = marked.select("fingerprint", "component_id", "group_print").distinct()
         out = out.join(ids, "fingerprint").filter(F.col(key).eqNullSafe(F.col("component_id")))
-        out = out.dropDuplicates(["component_id"])
+        out = out.dropDuplicates(["group_print"])
     return out.select(*names)
