@@ -149,18 +149,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
-
-ORACLE: dict[str, str] = {
-    "op8_warc": """
-        WITH p AS (
-            SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
-                   sha256(coalesce(html, '')) AS payload_digest
-            FROM pages),
-        f AS (
-            SELECT payload_digest, min(page_id) AS first_id FROM p
-            WHERE payload_bytes >= 100 GROUP BY payload_digest)
-        SELECT page_id, payload_bytes, payload_digest,
-               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
-        FROM p LEFT JOIN f USING (payload_digest)""",
-}
