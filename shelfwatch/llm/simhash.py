@@ -241,7 +241,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     marked = group(narrow, key, radius)
     first = marked.filter(F.col(key).eqNullSafe(F.col("component_id")))
     kept = job.write(first.groupBy(key, "component_id").count(), "kept")
-    chosen = kept.select(F.col(key).alias("__key"))
+    # Merged at every size: the ids that stay grow with the documents, so a broadcast of
+    # them, which the planner would choose for few, is no plan for many.
+    chosen = kept.select(F.col(key).alias("__key")).hint("merge")
     out = docs.join(chosen, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
     if not kept.filter("count > 1").isEmpty():
         # Repeated ids: their rows may even differ, so the group of each row decides.
