@@ -57,7 +57,10 @@ def kpis(
     column it needs, so nothing is expanded and no value set sits in one task.
     With *unique_urls* (cleaned rows) counting rows is enough for the URLs.
     """
-    summary = materialize(summarize(df), "summary") if summary is None else summary
+    if summary is None:
+        # Three passes follow; the columns they read are worked out once.
+        df = materialize(df.select(*_KPI_INPUT), "kpi-rows")
+        summary = materialize(summarize(df), "summary")
     status = F.col("availability_status")
     totals = summary.agg(
         _total("n").alias("total_products"),
@@ -84,6 +87,7 @@ def kpis(
     return rows.agg(*[F.max(c).alias(c) for c in _KPI_COLUMNS])
 
 
+_KPI_INPUT = ["url", "price", "rating", "category", "currency", "availability_status"]
 _KPI_COLUMNS = [
     "total_products",
     "unique_products",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.price import round_half_even
-from shelfwatch.schema import SNAPSHOT_SCHEMA
+from shelfwatch.schema import PRODUCT_VALUES, SNAPSHOT_SCHEMA
 
 
 def previous_prices(history: DataFrame, run_id: int, *order: str) -> DataFrame:
@@ -30,31 +30,19 @@ def previous_prices(history: DataFrame, run_id: int, *order: str) -> DataFrame:
     )
 
 
-_PRODUCT_VALUES = [
-    "source_product_id",
-    "name",
-    "price",
-    "currency",
-    "category",
-    "availability",
-    "rating",
-    "image_url",
-]
-
-
 def _one_row_per_url(batch: DataFrame, order: str | None) -> DataFrame:
     """Batch rows by URL: the last row's values, and the last price that is set."""
     price, product_id = F.col("price"), F.col("source_product_id")
     if order is None:
         return batch.select(
             "url",
-            *_PRODUCT_VALUES,
+            *PRODUCT_VALUES,
             price.alias("seen_price"),
             F.when(price.isNotNull(), product_id).alias("seen_id"),
         )
     priced = F.when(price.isNotNull(), F.col(order))
     rows = batch.groupBy("url").agg(
-        F.max_by(F.struct(*_PRODUCT_VALUES), order).alias("row"),
+        F.max_by(F.struct(*PRODUCT_VALUES), order).alias("row"),
         F.max_by("price", priced).alias("seen_price"),
         F.max_by("source_product_id", priced).alias("seen_id"),
     )
@@ -82,7 +70,7 @@ def upsert(
     known, known_id = F.col("old.known_price"), F.col("old.known_price_id")
     priced = F.col("new.seen_price").isNotNull()
     columns = {
-        **{c: pick(F.col(f"new.{c}"), c) for c in _PRODUCT_VALUES},
+        **{c: pick(F.col(f"new.{c}"), c) for c in PRODUCT_VALUES},
         "url": F.coalesce("new.url", "old.url"),
         "first_seen_at": F.coalesce(F.col("old.first_seen_at"), now),
         "last_seen_at": pick(now, "last_seen_at"),

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwatch.runtime import materialize
+from shelfwatch.runtime import Scratch
 
 # Slices per refinement step: the tables of slice totals stay this small.
 SLICES = 65536
+# Distinct values that may be put in order in one place.
+LAST_VALUES = 100_000
 
 
 def octave_slice(value: Column) -> Column:
@@ -45,57 +47,72 @@ def values_at_ranks(
 ) -> DataFrame:
     """The values at the 0-based *ranks* (an array made from the row count).
 
-    Equal values are counted together first. Two passes over the counts then
-    narrow each rank to a coarse slice and to one of 65 536 equal parts of it, and
-    only the distinct values of that part are put in order. The counts are written
-    once for all passes; what is ordered in one place is the slice totals, whose
-    number is fixed, and the last part.
+    Equal values are counted together first. Passes over the counts then narrow
+    each rank to a coarse slice, and to one of 65 536 equal parts of what is left,
+    until few distinct values are; only those are put in order. The counts are
+    written once for all passes; what is ordered in one place is the slice totals,
+    whose number is fixed, and the last part, which is small.
     """
-    counted = materialize(
+    job = Scratch(df.sparkSession, "ranks")
+    counted = job.write(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).alias("v"))
         .agg(F.count("*").alias("n"))
         .withColumn("slice", coarse(F.col("v"))),
         "counted",
     )
-    totals = counted.groupBy("slice").agg(
-        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
+    extent = [
+        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
+        F.count("*").alias("size"),
+    ]
     running = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.partitionBy()
     targets = (
-        totals.withColumns(
-            {"end": F.sum("n").over(running), "count": F.sum("n").over(everything)}
-        )
+        counted.groupBy("slice")
+        .agg(*extent)
+        .withColumns({"end": F.sum("n").over(running), "count": F.sum("n").over(everything)})
         .withColumn("rank", F.explode(F.array_distinct(ranks(F.col("count")))))
-        .filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n")))
-        .select("slice", "rank", "low", "high", (F.col("end") - F.col("n")).alias("base"))
-    )
-    span = F.col("high") - F.col("low")
-    part = F.when(span > 0, F.floor((F.col("v") - F.col("low")) / span * SLICES)).otherwise(0)
-    # At most one row per asked rank, so the copies sent out are a handful of rows.
-    inside = counted.join(F.broadcast(targets), "slice").withColumn("part", part)
-    in_rank = Window.partitionBy("rank").orderBy("part").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    parts = (
-        inside.groupBy("rank", "base", "part")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("end", F.col("base") + F.sum("n").over(in_rank))
-        .filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n")))
-        .select("rank", "part", (F.col("end") - F.col("n")).alias("start"))
+        .filter(_holds_rank())
+        .select("slice", "rank", "low", "high", "size", (F.col("end") - F.col("n")).alias("base"))
     )
+    targets = job.write(targets, "targets")
+    while (targets.agg(F.max("size")).first()[0] or 0) > LAST_VALUES:
+        span = F.col("high") - F.col("low")
+        part = F.when(span > 0, F.floor((F.col("v") - F.col("low")) / span * SLICES)).otherwise(0)
+        in_rank = Window.partitionBy("rank").orderBy("part").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        finer = (
+            _within(counted, targets)
+            .withColumn("part", part)
+            .groupBy("slice", "rank", "base", "part")
+            .agg(*extent)
+            .withColumn("end", F.col("base") + F.sum("n").over(in_rank))
+            .filter(_holds_rank())
+            .select("slice", "rank", "low", "high", "size", (F.col("end") - F.col("n")).alias("base"))
+        )
+        targets = job.write(finer, "targets")
     last = Window.partitionBy("rank").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        inside.join(F.broadcast(parts), ["rank", "part"])
-        .withColumn("end", F.col("start") + F.sum("n").over(last))
-        .filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n")))
+        _within(counted, targets)
+        .withColumn("end", F.col("base") + F.sum("n").over(last))
+        .filter(_holds_rank())
         .select("rank", F.col("v").alias("value"))
     )
 
 
+def _holds_rank() -> Column:
+    return (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n"))
+
+
+def _within(counted: DataFrame, targets: DataFrame) -> DataFrame:
+    """The counted values inside each target; one row per asked rank is sent out."""
+    sent = F.broadcast(targets.select("slice", "rank", "low", "high", "base"))
+    return counted.join(sent, "slice").filter(F.col("v").between(F.col("low"), F.col("high")))
+
+
 def exact_median(df: DataFrame, value: str) -> DataFrame:
     """One row ``median``: the middle value or the mean of the two middle ones."""
     middle = values_at_ranks(

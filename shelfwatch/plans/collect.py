@@ -88,9 +88,10 @@ def collect_products(
     *pages* is ``url, html``; a page that is not there failed to load. Each page
     is read once, whatever asks for it. A limit of 0 means none.
     """
-    listings = materialize(
-        first_per_key(read_listings(pages, rules), ["page_key"], "url"), "listings"
-    )
+    # Of several copies of a page the first address stays, then one by its content.
+    found_on = F.struct("url", F.xxhash64("cards", "links", "next_href"))
+    read = read_listings(pages, rules).withColumn("_copy", found_on)
+    listings = materialize(first_per_key(read, ["page_key"], "_copy").drop("_copy"), "listings")
     overview = listings.filter(F.col("page_key") == overview_url.split("#", 1)[0])
     found = materialize(links(overview, rules), "categories")
     n_found = found.count()

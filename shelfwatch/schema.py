@@ -11,6 +11,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
 
 
+# --- fixed values: column names of records, stored tables and the run log ------
 RECORD_SCHEMA = _struct(
     name=_S,
     url=_S,
@@ -23,27 +24,7 @@ RECORD_SCHEMA = _struct(
     source_product_id=_S,
     scraped_at=_S,
 )
-RECORD_COLUMNS = RECORD_SCHEMA.names
-
-ISSUE_SCHEMA = _struct(issue_type=_S, field_name=_S, message=_S)
-
-# What one product row of the stored snapshot holds. The columns after
-# last_seen_at are bookkeeping: which run touched the row last, the newest known
-# price, and the newest price known before that run.
-PRODUCT_COLUMNS = [
-    "source_product_id",
-    "name",
-    "url",
-    "price",
-    "currency",
-    "category",
-    "availability",
-    "rating",
-    "image_url",
-    "first_seen_at",
-    "last_seen_at",
-]
-SNAPSHOT_SCHEMA = _struct(
+_PRODUCT = dict(
     source_product_id=_S,
     name=_S,
     url=_S,
@@ -55,11 +36,6 @@ SNAPSHOT_SCHEMA = _struct(
     image_url=_S,
     first_seen_at=_TS,
     last_seen_at=_TS,
-    touched_run=_L,
-    known_price=_D,
-    known_price_id=_S,
-    prior_price=_D,
-    prior_price_id=_S,
 )
 HISTORY_SCHEMA = _struct(
     seq=_L,
@@ -78,6 +54,25 @@ RUN_COUNTERS = [
     "records_accepted",
     "records_rejected",
 ]
+RUN_COLUMNS = ["id", "started_at", "finished_at", "status", *RUN_COUNTERS]
+ISSUE_SCHEMA = _struct(issue_type=_S, field_name=_S, message=_S)
+# ------------------------------------------------------------------------------
+RECORD_COLUMNS = RECORD_SCHEMA.names
+PRODUCT_COLUMNS = list(_PRODUCT)
+#: What a batch overwrites of a stored product: all but its key and the two times.
+PRODUCT_VALUES = [c for c in PRODUCT_COLUMNS if c not in ("url", "first_seen_at", "last_seen_at")]
+
+# One row of the stored snapshot. The columns after the product's are bookkeeping:
+# which run touched the row last, the newest known price, and the newest price
+# known before that run.
+SNAPSHOT_SCHEMA = _struct(
+    **_PRODUCT,
+    touched_run=_L,
+    known_price=_D,
+    known_price_id=_S,
+    prior_price=_D,
+    prior_price_id=_S,
+)
 RUN_EVENT_SCHEMA = _struct(
     at=_TS,
     status=_S,
@@ -85,7 +80,6 @@ RUN_EVENT_SCHEMA = _struct(
     parts=T.ArrayType(T.IntegerType()),
     **{name: _L for name in RUN_COUNTERS},
 )
-RUN_COLUMNS = ["id", "started_at", "finished_at", "status", *RUN_COUNTERS]
 
 # --- fixed values: label sets, lookup tables and report column orders ---------
 CURRENCY_SYMBOLS = {"£": "GBP", "$": "USD", "€": "EUR", "₹": "INR", "¥": "JPY"}

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwatch.operators import analyze as an
+from shelfwatch.functions.price import money
 from shelfwatch.operators.ranks import exact_median, integer_slice, values_at_ranks
 
 DDL = (
@@ -134,6 +135,21 @@ def test_exact_median(spark, seed):
     assert exact_median(df, "p").first().median == pytest.approx(statistics.median(numbers), rel=1e-12)
 
 
+@pytest.mark.parametrize("last_values", [1, 7])
+def test_median_narrowed_to_few_values(spark, monkeypatch, last_values):
+    monkeypatch.setattr("shelfwatch.operators.ranks.LAST_VALUES", last_values)
+    numbers = [1.0 + i * 1e-9 for i in range(200)] + [1.001, 1.001, 1.005]
+    df = spark.createDataFrame([(n,) for n in numbers], "p double")
+    assert exact_median(df, "p").first().median == pytest.approx(statistics.median(numbers), rel=1e-15)
+
+
+def test_figures_are_rounded_from_their_binary_value(spark):
+    values = [57.025, 2.675, 0.125, -57.025, 1e15 + 0.3, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r.m for r in df.select("i", money(F.col("v")).alias("m")).orderBy("i").collect()]
+    assert got[:5] == [round(v, 2) for v in values[:5]] and got[5] != got[5] and got[6:] == [float("inf"), None]
+
+
 def test_nth_integer(spark):
     rnd = random.Random(9)
     numbers = [rnd.randrange(1 << 62) for _ in range(300)] + list(range(50))
