@@ -46,6 +46,11 @@ HEADLINE = [
     "run_log",
     "csv_roundtrip",
     "monitor_batches",
+    "monitor_stream",
+    "previous_prices_snapshot",
+    "history_append",
+    "dedup_chain",
+    "link_resolve_hrefs",
 ]
 
 
