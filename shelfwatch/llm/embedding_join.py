@@ -25,13 +25,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwatch.llm.components import components
 from shelfwatch.runtime import Scratch
 
 LEADING = 6
+#: Rows of a block multiplied at once.
+TILE = 512
 #: For the bounds only: sums in another order may differ by this much.
 SLACK = 1e-6
 
@@ -182,18 +184,13 @@ def _near_blocks(blocks: DataFrame, dim: int, epsilon: float, job: Scratch, fan:
     def side(level, name):
         return level.select(*[F.col(c).alias(f"{name}{c}") for c in ("place", "low", "high", "center", "radius")])
 
-    # Of the widest level there are at most *fan* intervals.
-    top = side(levels[-1], "l_").withColumn("one", F.lit(1)).join(
-        side(levels[-1], "r_").withColumn("one", F.lit(1)), "one"
-    )
-    pairs = None
-    for k in range(len(levels) - 1, -1, -1):
-        if pairs is not None:
-            parts = pairs.join(
-                side(levels[k], "l_").withColumn("pa", F.floor(F.col("l_place") / fan)), "pa"
-            ).join(side(levels[k], "r_").withColumn("pb", F.floor(F.col("r_place") / fan)), "pb")
-        else:
-            parts = top
+    # Of the widest level there are at most *fan* intervals, numbered from 0.
+    tops = [(i, j) for i in range(number) for j in range(i, number)]
+    pairs, step = blocks.sparkSession.createDataFrame(tops, "pa bigint, pb bigint"), 1
+    for level in reversed(levels):
+        left = side(level, "l_").withColumn("pa", F.floor(F.col("l_place") / step))
+        right = side(level, "r_").withColumn("pb", F.floor(F.col("r_place") / step))
+        parts, step = pairs.join(left, "pa").join(right, "pb"), fan
         pairs = parts.filter((F.col("l_place") <= F.col("r_place")) & ~_apart("l_", "r_", epsilon))
         pairs = job.write(pairs.select(F.col("l_place").alias("pa"), F.col("r_place").alias("pb")), "pairs")
     return pairs
@@ -216,12 +213,13 @@ def _compare(pairs: DataFrame, blocks: DataFrame, dim: int, cosine: float, block
     def meet(place_a, place_b, na, xa, nb, xb):
         a = _unit(xa.reshape(-1, dim).astype(np.float64))
         b = _unit(xb.reshape(-1, dim).astype(np.float64))
-        # Einsum of the few near the cut keeps the result free of the product's order of sums.
-        product = a @ b.T
-        near = product >= cosine
-        close = np.argwhere(np.abs(product - cosine) < 1e-9)
-        for i, j in close:
-            near[i, j] = exact(xa.reshape(-1, dim)[i], xb.reshape(-1, dim)[j]) >= cosine
+        near = np.empty((len(a), len(b)), bool)
+        for first in range(0, len(a), TILE):
+            product = a[first : first + TILE] @ b.T
+            near[first : first + TILE] = product >= cosine
+            # What lies at the cut is summed anew, free of the product's order of sums.
+            for i, j in np.argwhere(np.abs(product - cosine) < 1e-9):
+                near[first + i, j] = exact(xa.reshape(-1, dim)[first + i], xb.reshape(-1, dim)[j]) >= cosine
         if place_a == place_b:
             np.fill_diagonal(near, False)
         base_a, base_b = place_a * block, place_b * block
@@ -280,7 +278,7 @@ def _compare(pairs: DataFrame, blocks: DataFrame, dim: int, cosine: float, block
 
 
 def join(
-    rows: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.9, block: int = 1024
+    rows: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.9, block: int = 4096
 ) -> DataFrame:
     """Add ``n_links``, ``component_id`` and ``kept`` to each row; the vector goes."""
     spark = rows.sparkSession
@@ -302,7 +300,7 @@ def join(
     for row in distinct.groupBy(F.size("v").alias("dim")).count().orderBy("dim").collect():
         dim, number = row["dim"], row["count"]
         vectors = distinct.filter(F.size("v") == dim)
-        blocks = _blocks(vectors, dim, epsilon, block, max(1, -(-number // (8 * block))))
+        blocks = _blocks(vectors, dim, epsilon, block, max(1, -(-number // (4 * block))))
         blocks = job.write(blocks, "unnumbered")
         blocks = job.write(_numbered(blocks), "blocks")
         pairs = _near_blocks(blocks, dim, epsilon, job)
@@ -338,14 +336,16 @@ def join(
 def _numbered(blocks: DataFrame) -> DataFrame:
     """Number the blocks 0, 1, 2, ... along the order, by the counts of each task's blocks."""
     task = F.shiftright("place", 33)
-    sizes = blocks.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
-    # One row a task of the sort; their running sum is small whatever the table holds.
-    before = sizes.alias("s").join(
-        F.broadcast(sizes.select(F.col("task").alias("t2"), F.col("n").alias("n2"))), F.col("t2") < F.col("task"), "left"
-    ).groupBy("task").agg(F.coalesce(F.sum("n2"), F.lit(0)).alias("before"))
+    # One row a task of the sort, so their running sum is no work for more than one task.
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        blocks.groupBy(task.alias("task"))
+        .agg(F.count("*").alias("n"))
+        .select("task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    )
     return (
         blocks.withColumn("task", task)
-        .join(F.broadcast(before), "task")
+        .join(before, "task")
         .withColumn("place", F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1))
         .drop("task", "before")
     )
