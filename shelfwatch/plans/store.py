@@ -277,10 +277,9 @@ class CatalogStore:
         now = now or utc_now()
         if self.is_stored(run_id):
             return self._rows_of_run(run_id)
-        later = self._stored_runs().filter(F.col("run_id") > run_id)
-        if not later.isEmpty():
-            raise LateRunError(f"run {run_id} comes after a newer run was stored")
         versions = self._versions()
+        if max(versions.values(), default=0) > run_id:
+            raise LateRunError(f"run {run_id} comes after a newer run was stored")
         part = F.pmod(F.xxhash64("url"), F.lit(self.parts)).cast("int")
         # At most as many numbers as the snapshot has parts.
         touched = sorted(r["part"] for r in batch.select(part.alias("part")).distinct().collect())
@@ -325,12 +324,11 @@ class CatalogStore:
         )
         if unique_urls:
             checks = checks.unionByName(repeated_keys(touched, "url"))
-        path = self._path("violations", run_id)
-        checks.write.mode("overwrite").parquet(path)
-        broken = self.spark.read.schema(checks.schema).parquet(path)
-        n = broken.count()
+        n = checks.count()
         if n:
-            worst = broken.orderBy("constraint", "key").first()
+            path = self._path("violations", run_id)
+            checks.write.mode("overwrite").parquet(path)
+            worst = self.spark.read.schema(checks.schema).parquet(path).orderBy("constraint", "key").first()
             raise ConstraintError(
                 f"{n} broken rule(s), all listed in {path}; "
                 f"the first is {worst['constraint']}: {worst['key']} ({worst['n']})"
