@@ -5,11 +5,13 @@ models of byte pairs, one of random strings and one of ordinary identifiers, the
 judge every other long run of token characters by the log-likelihood ratio a
 transition; runs above the cut become ``random`` spans. Base spans always stay.
 
-The models are trained from labelled samples: the values that the patterns found
-are random, the other words ordinary. A bounded number of both is taken
-(``max_samples`` each). The cut lies above every ordinary sample, so clean texts
-stay clean; with too few samples of either kind there is no model and only the
-patterns speak. Scanning is one pass over whole texts, with no shuffle.
+The models are trained from samples whose label is known, never from the long runs
+that they are to judge: random are strings drawn over the usual key alphabets and
+lengths, ordinary are identifiers joined from words that are too short to be judged,
+those of the texts and a fixed list. Each kind is bounded by itself
+(``max_samples``). The cut is a high quantile of ordinary samples that the models
+have not seen. A table without words has no model, and only the patterns speak.
+Scanning is one pass over whole texts, with no shuffle.
 
 Null and empty texts have no spans. Repeated rows have equal spans. Offsets are
 code points, the end exclusive. Result columns replace input columns of the same
@@ -18,7 +20,10 @@ name; other columns pass through.
 
 from __future__ import annotations
 
+import random as rand
 import re
+import string
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +46,51 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(rb"[0-9a-f]{16,}")
 #: What a model judges.
 _CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
-LONGEST_SAMPLE = 128
+SHORTEST_RUN = 16
+#: What ordinary samples are joined from: whole words, too short to be a run that is judged.
+_WORD = re.compile(rb"(?<![A-Za-z0-9+/_=\x80-\xff-])[A-Za-z]{2,15}(?![A-Za-z0-9+/_=\x80-\xff-])")
+
+#: The usual alphabets of keys; digits alone are left to the hex pattern.
+ALPHABETS = {
+    "hex": "0123456789abcdef",
+    "upper_hex": "0123456789ABCDEF",
+    "base32": string.ascii_uppercase + "234567",
+    "base36": string.ascii_lowercase + string.digits,
+    "upper_base36": string.ascii_uppercase + string.digits,
+    "base62": string.ascii_letters + string.digits,
+    "base64": string.ascii_letters + string.digits + "+/",
+    "base64url": string.ascii_letters + string.digits + "-_",
+    "letters": string.ascii_letters,
+    "lower": string.ascii_lowercase,
+    "upper": string.ascii_uppercase,
+}
+LENGTHS = (16, 20, 24, 32, 40, 43, 48, 64)
+
+#: Words of identifiers, paths and addresses that texts may hold without their parts.
+WORDS = """
+access account action active address admin agent alert alias allow amount array asset async attribute author
+background balance base batch before begin binary block board body boolean border branch browser buffer build
+button byte cache call cancel category change channel char check child class clean clear click client clone close
+code collection color column command comment common company compare component config connect constant container
+content context control convert copy count country create current custom data database date day default delete
+description design detail device dialog digest directory display document domain down draw drop duration edit
+element email enable encode end engine entity entry error event example exception execute export extension factory
+field file filter find first flag float folder font footer format forward frame from function generate get global
+graph group handler hash header height hidden history home host html http https icon image import index info init
+input insert install instance integer interface internal item java key label language last layout length level
+library license limit line link list load local location lock log login loop main manager map master match max
+media member memory menu message meta method metric min mode model module month mouse move name native network new
+next node note null number object offset open operator option order output package page panel parameter parent
+parse path pattern payment person phone photo platform player plugin point policy position post prefix preview
+previous price process product profile project property provider proxy public python query queue random range read
+record redirect refresh region register release remote remove render replace report request require reset resource
+response result return role root route row rule run save scan schema scope script scroll search section select
+send sequence server service session set setting shadow shape share shop show side sign simple site size sort
+source space split stack standard start state static status step stop storage store stream string style submit
+success summary support switch system table target task template test text theme thread time title toggle tool
+total trace track transaction transform tree trigger type unit unknown update upload url user util valid value
+vector version video view visible wait warning web week widget width window word worker wrapper write year zone
+""".split()
 
 
 def base_spans(body: bytes) -> list[tuple[int, int, int]]:
@@ -84,72 +133,112 @@ class Markov:
         return float(self.ratio[codes[:-1], codes[1:]].mean())
 
 
+#: Part of clean identifiers that may lie above the cut.
+CLEAN = 0.999
+
+
 def train(random: list[bytes], ordinary: list[bytes], least: int = 20) -> Markov | None:
     """Add-one smoothed models of both kinds; None with fewer than *least* samples of one."""
     if min(len(random), len(ordinary)) < least:
         return None
 
     def logs(samples):
-        count = np.ones((256, 256))
-        for s in samples:
-            codes = np.frombuffer(b"\0" + s, np.uint8)
-            np.add.at(count, (codes[:-1], codes[1:]), 1)
+        codes = np.frombuffer(b"".join(b"\0" + s for s in samples), np.uint8).astype(np.int64)
+        count = np.bincount(codes[:-1] * 256 + codes[1:], minlength=1 << 16).reshape(256, 256) + 1.0
+        count[:, 0] = 1  # from one sample to the next
         return np.log(count / count.sum(axis=1, keepdims=True))
 
-    # Every fifth sample of each kind sets the cut on models of the others.
-    def judged(model, samples):
-        return np.array([model.judge(s) for s in samples[4::5] if len(s) >= 2])
-
-    trial = Markov(
-        logs([s for i, s in enumerate(random) if i % 5 != 4])
-        - logs([s for i, s in enumerate(ordinary) if i % 5 != 4]), 0.0,
-    )
-    high, low = judged(trial, ordinary), judged(trial, random)
-    top = float(high.max()) if len(high) else 0.0
-    middle = float(np.median(low)) if len(low) else top
-    # Halfway from the likeliest ordinary sample to a usual secret, and never below either zero.
-    return Markov(logs(random) - logs(ordinary), max(0.0, (top + max(top, middle)) / 2))
+    # Every fifth ordinary sample is held out and sets the cut, never below the zero of the ratio.
+    model = Markov(logs(random) - logs([s for i, s in enumerate(ordinary) if i % 5 != 4]), 0.0)
+    clean = [model.judge(s) for s in ordinary[4::5] if len(s) >= 2]
+    if clean:
+        model.cut = max(0.0, float(np.quantile(clean, CLEAN)))
+    return model
+
+
+def random_samples(n: int, seed: int = 1) -> list[bytes]:
+    """*n* random strings, the key alphabets and lengths in turn."""
+    rnd = rand.Random(seed)
+    names = list(ALPHABETS.values())
+    return [
+        "".join(rnd.choices(names[i % len(names)], k=LENGTHS[i // len(names) % len(LENGTHS)])).encode() for i in range(n)
+    ]
+
+
+def ordinary_samples(words: list[str], n: int, seed: int = 2) -> list[bytes]:
+    """*n* identifiers, paths, dates and rulers of at least 16 characters, joined from *words* and the fixed list."""
+    rnd = rand.Random(seed)
+
+    def number():
+        return "".join(rnd.choices(string.digits, k=rnd.randrange(1, 5)))
+
+    def date():
+        return f"{rnd.randrange(1900, 2100)}-{rnd.randrange(1, 13):02}-{rnd.randrange(1, 32):02}"
+
+    def one(style):
+        if style == 0:
+            return rnd.choice("-=_+/*") * rnd.randrange(16, 80)
+        if style == 1:
+            parts = [rnd.choice((number, date))() for _ in range(8)]
+            return rnd.choice("-/+_=").join(parts)[: rnd.randrange(16, 33)]
+        parts, size = [], rnd.randrange(SHORTEST_RUN, 49)
+        while sum(map(len, parts)) < size:
+            parts.append(rnd.choice(words if rnd.random() < 0.5 else WORDS))
+        if style == 2:
+            return date() + rnd.choice("-_/") + rnd.choice("-_/").join(parts)
+        if rnd.random() < 0.25:
+            parts.insert(rnd.randrange(1, len(parts) + 1), number())
+        if style == 3:
+            return "".join(w[:1].upper() + w[1:] for w in parts)
+        if style == 4:
+            return "".join([parts[0].lower(), *(w[:1].upper() + w[1:].lower() for w in parts[1:])])
+        if style in (5, 10):
+            return "_".join(parts).upper()
+        if style in (6, 7, 8, 9):
+            return "_-/="[style - 6].join(parts)
+        return "".join(parts) if style < 13 else "".join(parts).lower()
+
+    # Rulers and numbers come once in a while, joined words most of the time.
+    return [one(i % 16).encode() for i in range(n)]
+
+
+def short_words(body: bytes) -> set[bytes]:
+    """Words of a text outside its base spans that are shorter than any run that is judged."""
+    spans = base_spans(body)
+    return {m.group() for m in _WORD.finditer(body) if not (spans and _overlaps(m.start(), m.end(), spans))}
 
 
 def fit(
     docs: DataFrame, key: str = "doc_id", text: str = "text", max_rows: int = 20000, max_samples: int = 4000
 ) -> Markov | None:
-    """Train on up to *max_samples* distinct strings of each kind, from *max_rows* documents.
+    """Train on *max_samples* strings of each kind; the words of ordinary ones are from *max_rows* documents.
 
-    The documents are those with the lowest hashes of *key*.
+    The documents are those with the lowest hashes of *key*, and the words likewise.
     """
     chosen = docs.select(F.xxhash64(key).alias("h"), key).orderBy("h", key).limit(max_rows)
     # max_rows ids: a bound that the data cannot move.
     chosen = F.broadcast(chosen.select(F.col(key).alias("__key")).distinct())
     sample = docs.join(chosen, F.col(key).eqNullSafe(F.col("__key")), "left_semi").select(text)
 
+    def lowest(words):
+        return sorted(words, key=lambda w: (zlib.crc32(w), w))[:max_samples]
+
     def collect(batches):
+        seen: set[bytes] = set()
         for b in batches:
-            seen: dict[tuple[bytes, bool], None] = {}
             data, at = utf8(b.column(0))
             for a, e in zip(at[:-1], at[1:]):
-                body = data[a:e].tobytes()
-                spans = base_spans(body)
-                for s, kind, stop in spans:
-                    value = body[s:stop]
-                    if kind == 0:
-                        value = value[_ASSIGN.match(value.lower()).start(2) :]
-                    seen[value[:LONGEST_SAMPLE], True] = None
-                for m in _CANDIDATE.finditer(body):
-                    if not _overlaps(m.start(), m.end(), spans):
-                        seen[m.group()[:LONGEST_SAMPLE], False] = None
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in seen], pa.binary()), pa.array([k[1] for k in seen], pa.bool_())],
-                ["value", "secret"],
-            )
-
-    found = sample.mapInArrow(collect, "value binary, secret boolean").distinct()
-    rows = (
-        found.orderBy(F.xxhash64("value"), "value", "secret")
-        .limit(20 * max_samples)
-        .collect()
-    )
-    return train(*([bytes(r["value"]) for r in rows if r["secret"] == kind][:max_samples] for kind in (True, False)))
+                seen |= short_words(data[a:e].tobytes())
+                if len(seen) > 16 * max_samples:
+                    seen = set(lowest(seen))
+        yield pa.RecordBatch.from_arrays([pa.array(lowest(seen), pa.binary())], ["value"])
+
+    found = sample.mapInArrow(collect, "value binary").distinct()
+    rows = found.orderBy(F.crc32("value"), "value").limit(max_samples).collect()
+    if not rows:
+        return None
+    words = [bytes(r["value"]).decode() for r in rows]
+    return train(random_samples(max_samples), ordinary_samples(words, max_samples))
 
 
 def all_spans(body: bytes, model: Markov | None) -> list[tuple[int, int, int]]:

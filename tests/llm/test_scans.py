@@ -84,6 +84,24 @@ def test_models_find_what_patterns_miss(spark, corpus):
     assert gone == {1: "look at [SECRET] here", 2: rows[1][1], 3: "[SECRET]"}
 
 
+def test_unlabelled_secrets_do_not_hide_their_like(spark, corpus):
+    rnd = random.Random(4)
+
+    def key(name):
+        return "".join(rnd.choices(secrets.ALPHABETS[name], k=32))
+
+    # Every text holds keys that no pattern finds; the only labelled values are hex.
+    mixed = [n for n in secrets.ALPHABETS if n != "hex"]
+    rows = [(i, f"{t.replace('secret=', 'see ')} {key(mixed[i % len(mixed)])} token={key('hex')}") for i, t in corpus]
+    model = secrets.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    for name in mixed:
+        found = [model.judge(key(name).encode()) > model.cut for _ in range(200)]
+        assert sum(found) >= 198, name
+    plain = [w for i, t in corpus if i % 4 for w in t.split() if len(w) >= 16]
+    plain += ["getUserAccountSettings", "/usr/local/lib/python3/site-packages", "MAX_BUFFER_SIZE_BYTES", "=" * 40, "2024-05-01/2024-06-01"]
+    assert not [w for w in plain if model.judge(w.encode()) > model.cut]
+
+
 def test_likelihood_ratio_by_hand():
     model = secrets.train([b"xyxyxyxy"] * 30, [b"abababab"] * 30)
     assert model.judge(b"xyxy") > model.cut > model.judge(b"abab")
