@@ -14,6 +14,12 @@ Cauchy-Schwarz inequality a line needs one of a template's heaviest terms, those
 without which the rest of the template weighs too little. The list of these terms
 follows from the counted frequencies.
 
+Wrapped, commented and longer notices are found besides: windows of up to 16
+consecutive lines that hold terms, copyright statements left out, against the
+templates and ``NOTICES``, and whole texts against ``FULL_TEXTS``. Here every term
+has its counted document frequency. A window's line is its first. The best score of
+both ways counts.
+
 A null or empty text has no license of its own; a null path is a file in the root.
 Texts under one path are versions of a file, and the best counts. Of equal scores
 the template named first in the alphabet wins, then the first line. Several license
@@ -28,7 +34,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwatch.runtime import Scratch
@@ -50,6 +56,45 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version."
+_GNU_REST = " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details."
+_APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'
+_APACHE_REST = ' Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'
+# Longer wordings of notices, and the marks of SPDX.
+NOTICES = [
+    ("Apache-2.0", _APACHE),
+    ("Apache-2.0", _APACHE + _APACHE_REST),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    *[
+        (name, (_GNU + rest).format(*of))
+        for name, of in [
+            ("GPL-2.0", ("General Public License", "2")),
+            ("GPL-3.0", ("General Public License", "3")),
+            ("LGPL-3.0", ("Lesser General Public License", "3")),
+        ]
+        for rest in ("", _GNU_REST)
+    ],
+    ("MPL-2.0", TEMPLATES[-1][1] + " If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    *[(name, f"SPDX-License-Identifier: {name}") for name in sorted({n for n, _ in TEMPLATES})],
+    *[(name, f"SPDX-License-Identifier: {name}-or-later") for name in ("GPL-2.0", "GPL-3.0", "LGPL-3.0")],
+    *[(name, f"SPDX-License-Identifier: {name}-only") for name in ("GPL-2.0", "GPL-3.0", "LGPL-3.0")],
+]
+# Texts of whole license files. A notice is none: source files that begin with one are no license files.
+FULL_TEXTS = [
+    ("BSD-3-Clause", TEMPLATES[1][1][:-1] + """ provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("MIT", """MIT License
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+]
+#: Lines with terms that a window holds at most, and the sizes of windows.
+LONGEST = 16
+_COPYRIGHT = r"(?i)\b(?:copyright|\(c\))[^.\n]*[.]?"
+
 _BREAK = r"[^a-z0-9.\x{80}-\x{10FFFF}]+"
 
 
@@ -118,6 +163,96 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(F.coalesce(path, F.lit("")), "/*[^/]*$", "")
 
 
+def _bounded(
+    rows: DataFrame, keys: list[str], terms: str, vocabulary: DataFrame, heads: tuple[int, float], rest: tuple[int, float]
+) -> DataFrame:
+    """Keys of the rows whose terms allow a cosine of at least its cut to one of the templates.
+
+    The first ``heads[0]`` templates have one cut, the *rest* another: ``heads`` and ``rest`` tell which.
+
+    By Cauchy and Schwarz it is at most the length of the template's vector over these terms.
+    """
+    of, n = heads[0], heads[0] + rest[0]
+    sums = [F.sum(F.col("entries")[k] * F.col("entries")[k]).alias(f"s{k}") for k in range(n)]
+    known = rows.select(*keys, F.explode(F.array_distinct(terms)).alias("term"))
+    known = known.join(F.broadcast(vocabulary), "term").groupBy(*keys).agg(*sums)
+
+    def reach(ks, cut):
+        return F.greatest(F.lit(0.0), F.lit(0.0), *[F.col(f"s{k}") for k in ks]) >= (0.999 * cut) ** 2
+
+    known = known.select(*keys, reach(range(of), heads[1]).alias("heads"), reach(range(of, n), rest[1]).alias("rest"))
+    return known.filter("heads or rest")
+
+
+def _longer(
+    files: DataFrame, path: str, text: str, notices: list[tuple[str, str]], counted: dict[str, float],
+    header_cut: float, file_cut: float, job: Scratch,
+) -> DataFrame | None:
+    """path and best (minus, name, line) of windows of lines, and of whole texts under line -1."""
+    spark = files.sparkSession
+    bodies = [*notices, *FULL_TEXTS]
+    of = len(notices)
+    vectors = _vectors(bodies, counted)
+    vocabulary = _vocabulary(spark, counted, vectors)
+    known = sorted(counted)
+    key = ["path", "version"]
+    named = files.filter(F.col(text).isNotNull()).select(
+        F.coalesce(path, F.lit("")).alias("path"), F.xxhash64(text).alias("version"), F.col(text).alias("text")
+    )
+    found = named.select(*key, F.filter(_terms(F.col("text")), lambda t: t.isin(known)).alias("terms"))
+    able = job.write(_bounded(found, key, "terms", vocabulary, (of, header_cut), (len(FULL_TEXTS), file_cut)), "able")
+    if able.isEmpty():
+        return None
+    texts = job.write(named.join(able, key).dropDuplicates(key), "able-texts")
+    bare = F.regexp_replace("unit", _COPYRIGHT, " ")
+    lines = (
+        texts.filter("heads").select(*key, F.posexplode(F.split("text", "\n")).alias("line", "unit"))
+        .select(*key, "line", _terms(bare).alias("terms"))
+        .filter(F.size("terms") > 0)
+    )
+    # Windows over known terms only. One with a line that holds none at an end scores less
+    # than the window without that line.
+    hits = lines.select(*key, "line", F.filter("terms", lambda t: t.isin(known)).alias("hits"))
+    ahead = Window.partitionBy(*key).orderBy("line").rowsBetween(0, LONGEST - 1)
+    windows = (
+        hits.select(*key, "line", "hits", F.collect_list(F.struct("line", "hits")).over(ahead).alias("ahead"))
+        .filter(F.size("hits") > 0)
+        .select(*key, "line", "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("size"))
+        .filter(F.size(F.element_at("ahead", F.col("size"))["hits"]) > 0)
+        .select(*key, "line", "size", F.slice("ahead", F.lit(1), F.col("size")).alias("ahead"))
+        .select(*key, "line", "size", F.col("ahead.line").alias("parts"), F.flatten("ahead.hits").alias("terms"))
+    )
+    unit = [*key, "line", "size"]
+    some = _bounded(windows, [*unit, "parts"], "terms", vocabulary, (of, header_cut), (0, 1.0))
+    some = job.write(some.select(*unit, F.explode("parts").alias("part")), "windows")
+    parts = lines.withColumnRenamed("line", "part")
+    whole = texts.filter("rest").select(
+        *key, F.lit(-1).alias("line"), F.lit(0).alias("size"), _terms(F.col("text")).alias("terms")
+    )
+    units = some.join(parts, [*key, "part"]).select(*unit, "terms").unionByName(whole)
+    terms = job.write(
+        units.select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count("*").alias("n")),
+        "unit-terms",
+    )
+    # Document frequencies of the other terms of these units, over all texts.
+    others = job.write(terms.select("term").distinct().join(F.broadcast(vocabulary), "term", "left_anti"), "others")
+    seen = files.select(F.explode(F.array_distinct(_terms(F.col(text)))).alias("term"))
+    seen = seen.join(others, "term", "left_semi").groupBy("term").count()
+    total = files.count()
+    other = seen.select("term", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("count"))) + 1).alias("seen"))
+    weighed = terms.join(F.broadcast(vocabulary), "term", "left").join(job.write(other, "frequencies"), "term", "left")
+    w = F.col("n") * F.coalesce("weight", "seen")
+    sums = [F.sum(F.coalesce(w * F.col("entries")[k], F.lit(0.0))).alias(f"dot{k}") for k in range(len(bodies))]
+    scored = weighed.groupBy(*unit).agg(F.sum(w * w).alias("square"), *sums)
+    options = [
+        F.struct((-F.round(F.col(f"dot{k}") / F.sqrt("square"), 9)).alias("minus"), F.lit(name).alias("name"))
+        for k, (name, _) in enumerate(bodies)
+    ]
+    best = F.when(F.col("line") < 0, F.array_min(F.array(*options[of:]))).otherwise(F.array_min(F.array(*options[:of])))
+    scored = scored.select("path", "line", best.alias("b"))
+    return scored.select("path", F.struct("b.minus", "b.name", "line").alias("best"))
+
+
 def scan(
     files: DataFrame,
     path: str = "path",
@@ -130,8 +265,10 @@ def scan(
     spark = files.sparkSession
     job = Scratch(spark, "licenses")
     templates = templates or TEMPLATES
+    notices = [*templates, *NOTICES]
     added = ["own_license", "own_score", "own_line", "is_license_file", "license", "inherited_from"]
-    weight, unseen = _weights(files, text, templates)
+    counted, unseen = _weights(files, text, [*notices, *FULL_TEXTS])
+    weight = {t: counted[t] for _, body in templates for t in _terms_of(body)}
     vectors = _vectors(templates, weight)
 
     # Texts with a needed term; at any place of a text the terms stand between breaks.
@@ -169,6 +306,9 @@ def scan(
     scored = scored.select(
         "path", F.struct(best["minus"].alias("minus"), best["name"].alias("name"), F.col("line")).alias("best")
     )
+    longer = _longer(files, path, text, notices, counted, header_cut, file_cut, job)
+    if longer is not None:
+        scored = scored.unionByName(longer)
     header = F.when((F.col("best.line") >= 0) & (-F.col("best.minus") >= header_cut), F.col("best"))
     whole = F.when((F.col("best.line") < 0) & (-F.col("best.minus") >= file_cut), F.col("best"))
     own = job.write(

@@ -98,6 +98,30 @@ def test_licenses_equal_loops(spark):
     assert found["a/b/c/own.txt"] == "Apache-2.0" and found["g/long.txt"] == "MIT"
 
 
+def test_full_texts_and_wrapped_headers(spark):
+    full = {n: b for n, b in licenses.FULL_TEXTS}
+    gpl = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version."""
+    wrapped = "\n".join("// " + w for w in re.findall(r".{1,60}(?:\s|$)", dict(licenses.NOTICES)["Apache-2.0"]))
+    code = "\n".join(f"value{i} = reader{i}.open(name{i})" for i in range(40))
+    files = [
+        ("m/LICENSE", full["MIT"].replace("MIT License", "MIT License\n\nCopyright (c) 2024 Jane Doe\n")), ("m/x/y.txt", code),
+        ("g.c", f"/*\n * Reader of names\n *\n{gpl}\n */\n{code}"), ("a.cc", f"#!/bin/x\n{wrapped}\n{code}"),
+        ("j.py", f"# Copyright 2024 Jane Doe. Released under the MIT License.\n{code}"),
+        ("s.rs", f"// SPDX-License-Identifier: Apache-2.0\n{code}"), ("b/LICENSE.txt", "Copyright 2024 Jane Doe\n" + full["BSD-3-Clause"]),
+        ("n.txt", code), (None, None),
+    ]
+    out = licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()
+    got = {r["path"]: (r["license"], r["is_license_file"], r["inherited_from"]) for r in out}
+    assert got["m/LICENSE"] == ("MIT", True, None) and got["m/x/y.txt"] == ("MIT", False, "m")
+    assert got["b/LICENSE.txt"] == ("BSD-3-Clause", True, None)
+    assert {p: got[p][0] for p in ("g.c", "a.cc", "j.py", "s.rs", "n.txt")} == {
+        "g.c": "GPL-3.0", "a.cc": "Apache-2.0", "j.py": "MIT", "s.rs": "Apache-2.0", "n.txt": None}
+    assert {r["path"]: r["own_line"] for r in out}["g.c"] == 3
+
+
 def test_no_python_in_the_license_plan(spark):
     rows = spark.createDataFrame([("a/LICENSE", MIT)], "path string, text string").cache()
     plan = licenses.scan(rows)._jdf.queryExecution().toString()
