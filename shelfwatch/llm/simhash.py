@@ -239,8 +239,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     job = Scratch(docs.sparkSession, "simhash-keep")
     narrow = add_fingerprints(docs.select(key, text), text, shingle)
     marked = group(narrow, key, radius)
-    first = marked.filter(F.col(key).eqNullSafe(F.col("component_id")))
-    kept = job.write(first.groupBy(key, "component_id").count(), "kept")
+    first = F.col(key).eqNullSafe(F.col("component_id"))
+    # All rows of an id count, also those that do not head a group.
+    kept = marked.groupBy(key).agg(F.count("*").alias("count"), F.max(first).alias("first"))
+    kept = job.write(kept.filter("first"), "kept")
     # Merged at every size: the ids that stay grow with the documents, so a broadcast of
     # them, which the planner would choose for few, is no plan for many.
     chosen = kept.select(F.col(key).alias("__key")).hint("merge")

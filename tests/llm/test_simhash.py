@@ -106,6 +106,15 @@ def test_components_of_long_and_wide_graphs(spark):
     assert got == {**{i: 0 for i in range(200)}, **{1000 + i: 1000 for i in range(60)}}
 
 
+def test_keep_one_checks_all_rows_of_an_id(spark):
+    a, b = "these are the very same words here", "another text of quite other words"
+    for odd in (5, None):
+        least = 3 if odd else 7
+        rows = [(odd, a), (odd, b), (least, b)]
+        kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted((r["doc_id"] or -1, r["text"]) for r in kept) == sorted([(odd or -1, a), (least, b)])
+
+
 def test_keep_one_and_odd_ids(spark):
     text = "these are the very same words here"
     rows = [(3, text), (5, text), (9, "something else entirely now"), (9, "something else entirely now"),
