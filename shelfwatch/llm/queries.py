@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import decontaminate, embedding_join, licenses, packing, quality, secrets, simhash, toxicity, warc
+from shelfwatch.llm import (
+    decontaminate,
+    embedding_join,
+    licenses,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+    warc,
+    whitening,
+)
 from shelfwatch.llm.token_counts import count_tokens
 from shelfwatch.runtime import Scratch
 
@@ -137,6 +148,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components; a deviation beyond a long is null there only."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    exact = F.col("deviation")
+    return whitening.whiten(rows).select(
+        "vec_id",
+        "component",
+        "n",
+        exact.try_cast("bigint").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+        exact.alias("deviation_exact"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -148,4 +175,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    "op13_whitening": op13_whitening,
 }
