@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.llm import (
+    conversations,
     decontaminate,
     embedding_join,
     licenses,
@@ -148,6 +149,37 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a fifth of their rows dropped, emptied, cut, repeated or given to the user."""
+
+    def shown(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(shown("text"), "[.!?]", "")).otherwise(shown("text"))
+    return rows.filter(kind != 0).select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(shown("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and the cheapest repair."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversations.repair(damaged(rows)).withColumnRenamed("conv_id", "found")
+    ids = rows.select("conv_id").distinct()
+    zero, nothing = F.lit(0).cast("bigint"), F.lit("")
+    return ids.join(found, F.col("conv_id").eqNullSafe(F.col("found")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", nothing).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the eight leading components; a deviation beyond a long is null there only."""
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -175,5 +207,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    "op11_conversations": op11_conversations,
     "op13_whitening": op13_whitening,
 }
