@@ -14,6 +14,7 @@ from shelfwatch.llm import (
     embedding_join,
     licenses,
     packing,
+    pieces,
     quality,
     secrets,
     simhash,
@@ -180,6 +181,20 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document, and the text they decode to."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = pieces.decode(pieces.encode(docs, model), model)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the eight leading components; a deviation beyond a long is null there only."""
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -208,5 +223,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
     "op11_conversations": op11_conversations,
+    "op12_pieces": op12_pieces,
     "op13_whitening": op13_whitening,
 }
