@@ -4,18 +4,20 @@ Where no piece of a model goes on past a whitespace marker, a text falls into ch
 each a run of markers and the word after it, that are segmented independently. Each
 distinct chunk of the corpus is segmented once:
 
-* a task numbers the chunks of a block of documents in order of appearance and keeps
-  each document as the numbers at its positions; a block's list of distinct chunks is
-  dealt by hash into slices,
-* a slice holds all blocks' lists of its chunks; the first time a chunk appears there
-  the library segments it, and every block gets back the ids of its chunks,
-* each block puts the ids at the positions of its documents.
-
-So no text is shuffled and nothing that grows with the corpus is broadcast: lists of
-distinct chunks and ids travel, and documents as one or two bytes a word. A frequent
-chunk appears once per block, however often it occurs. A task holds one block, or the
-distinct chunks of one slice. ``SLICES`` is fixed, so a slice of a very large corpus
-grows as its vocabulary does: some tens of megabytes at 100 TB.
+* a first pass lists the distinct chunks of each block of documents, dealt by hash
+  into slices; a slice holds all blocks' lists of its chunks, the library segments a
+  chunk the first time it appears there, and every block gets back the ids,
+* a second pass numbers the chunks of each block in order of appearance and keeps a
+  document as the numbers at its positions; each block puts the ids in their places.
+
+So no text is shuffled or written and nothing that grows with the corpus is broadcast:
+lists of distinct chunks and ids travel, and documents as two or three bytes a word. A
+frequent chunk appears once per block, however often it occurs. A task holds one block,
+or the distinct chunks of one slice. ``SLICES`` is fixed, so a slice of a very large
+corpus grows as its vocabulary does: some tens of megabytes at 100 TB. Both passes must
+see the same documents in the same tasks, as reading files does: a table is written
+first unless the caller says that it is ``stored``, and a checksum of each block's list
+ends the job if the passes still differ.
 
 A model for which chunks are not independent (another kind than BPE, a normaliser
 that changes texts, user-defined pieces, pieces across markers) encodes whole texts.
@@ -37,18 +39,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwatch.runtime import Scratch
+from shelfwatch.runtime import materialize
 
 MARK = "▁"
 SLICES = 1 << 14
-BLOCK_CHARS = 1 << 24
+BLOCK_CHARS = 1 << 25
 #: Ids decoded at once.
 RUN_IDS = 1 << 18
 _CHUNK = re.compile(" +[^ ]*")
-_WORDS, _TEXT, _ORDER = range(3)
+_TEXT, _ORDER = range(2)
 
 
 @lru_cache(maxsize=4)
@@ -101,17 +102,30 @@ def encode_chunks(model: str, parts: list[str]) -> list[list[int]]:
     return [ids if part else mark for part, ids in zip(parts, sp.encode(parts, num_threads=1))]
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Numbers below 2^28 in 7-bit groups, the lowest first; small ones take a byte."""
+def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers below 2^28 in 7-bit groups, the lowest first, and where each ends."""
     values = values.astype(np.uint32)
     size = 1 + (values >> 7 > 0) + (values >> 14 > 0) + (values >> 21 > 0)
-    start = np.cumsum(size) - size
+    ends = np.cumsum(size)
+    start = ends - size
     out = np.zeros(int(size.sum()), np.uint8)
     for k in range(4):
         has = size > k
         group = (values[has] >> np.uint32(7 * k)) & np.uint32(127)
         out[start[has] + k] = group | ((size[has] > k + 1).astype(np.uint32) << np.uint32(7))
-    return out.tobytes()
+    return out, ends
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers below 2^28; small ones take a byte."""
+    return _groups(values)[0].tobytes()
+
+
+def _packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Rows of packed numbers, *sizes* of them in each."""
+    data, ends = _groups(values)
+    edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(data)])
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -132,54 +146,49 @@ def _open(schema: T.StructType) -> list[T.StructField]:
     return [T.StructField(f.name, f.dataType, True) for f in schema]
 
 
-def _cut(docs: DataFrame, text: str, rest: list[str]) -> DataFrame:
-    """Blocks of documents: lists of chunks, documents as numbers, and the order of the lists."""
+def _cut(docs: DataFrame, text: str, rest: list[str], lists: bool) -> DataFrame:
+    """Blocks of documents: the lists of their chunks, or documents as numbers and the order of the lists."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    kept = [] if lists else rest
+    own = ["__slice int", "__words string"] if lists else ["__kind int", "__codes binary"]
     schema = T.StructType([
-        *_open(docs.select(*rest).schema),
-        T.StructField("__block", T.LongType()),
-        T.StructField("__kind", T.IntegerType()),
-        T.StructField("__slice", T.IntegerType()),
-        T.StructField("__words", T.StringType()),
-        T.StructField("__codes", T.BinaryType()),
+        *_open(docs.select(*kept).schema),
+        *T.StructType.fromDDL(", ".join(["__block bigint", "__check bigint", *own])),
     ])
 
     def run(batches):
         shape = to_arrow_schema(schema)
-        types = [f.type for f in shape][: len(rest)]
+        types = [f.type for f in shape][: len(kept)]
         part = TaskContext.get().partitionId() << 32
         numbers, held, block = None, 0, part
 
-        def rows(n, kept, kind, slices, words, codes):
-            columns = kept or [pa.nulls(n, t) for t in types]
-            tail = [
-                pa.array(np.full(n, block)),
-                pa.array(np.full(n, kind, np.int32)),
-                pa.array(slices, pa.int32()),
-                pa.array(words, pa.string()),
-                pa.array(codes, pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays([*columns, *tail], schema=shape)
-
-        def lists():
+        def rows(n, columns, check, *own):
+            fixed = [pa.array(np.full(n, block)), pa.array([check] * n, pa.int64())]
+            typed = [pa.array(v, f.type) for v, f in zip(own, list(shape)[-len(own):])]
+            return pa.RecordBatch.from_arrays([*columns, *fixed, *typed], schema=shape)
+
+        def close():
             words = list(numbers)
-            place = np.array([zlib.crc32(w.encode()) % SLICES for w in words], np.int32)
+            marks = np.array([zlib.crc32(w.encode()) for w in words], np.int64)
+            check = int((marks * np.arange(1, len(marks) + 1)).sum())
+            place = marks % SLICES
             order = np.argsort(place, kind="stable")
-            yield rows(1, None, _ORDER, [None], [None], [pack(order)])
+            if not lists:
+                yield rows(1, [pa.nulls(1, t) for t in types], check, [_ORDER], [pack(order)])
+                return
             edges = np.flatnonzero(np.diff(place[order], prepend=-1, append=SLICES))
             some, size, first = [], 0, 0
             for k, (a, b) in enumerate(itertools.pairwise(edges.tolist())):
                 some.append(" ".join([words[i] for i in order[a:b].tolist()]))
                 size += len(some[-1])
                 if size > 1 << 22 or k == len(edges) - 2:
-                    here = place[order[edges[first : k + 1]]]
-                    yield rows(len(some), None, _WORDS, here, some, [None] * len(some))
+                    yield rows(len(some), [], check, place[order[edges[first : k + 1]]], some)
                     some, size, first = [], 0, k + 1
 
         for b in batches:
             bodies, a = b.column(text), 0
-            kept = [b.column(c).cast(t) for c, t in zip(rest, types)]
+            columns = [b.column(c).cast(t) for c, t in zip(kept, types)]
             while a < b.num_rows:
                 if numbers is None:
                     numbers = defaultdict(itertools.count().__next__)
@@ -187,47 +196,61 @@ def _cut(docs: DataFrame, text: str, rest: list[str]) -> DataFrame:
                 while a < b.num_rows and held < BLOCK_CHARS and a - first < 1000:
                     body = bodies[a].as_py() or ""
                     found = chunks(body)
-                    codes.append(pack(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))))
+                    at = np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))
+                    if not lists:
+                        codes.append(pack(at))
                     held += len(body) + 1
                     a += 1
-                n = a - first
-                yield rows(n, [c.slice(first, n) for c in kept], _TEXT, [None] * n, [None] * n, codes)
+                if not lists:
+                    n = a - first
+                    yield rows(n, [c.slice(first, n) for c in columns], None, [_TEXT] * n, codes)
                 if held >= BLOCK_CHARS:
-                    yield from lists()
+                    yield from close()
                     numbers, held, block = None, 0, block + 1
         if numbers is not None:
-            yield from lists()
+            yield from close()
 
-    return docs.select(*rest, text).mapInArrow(run, schema)
+    return docs.select(*kept, text).mapInArrow(run, schema)
 
 
 def _segmented(lists: DataFrame, model: str) -> DataFrame:
     """The ids of each block's chunks, each distinct chunk segmented once in its slice."""
+    schema = "__block bigint, __check bigint, __slice int, __counts binary, __ids binary"
 
     def run(batches):
-        known: dict[str, tuple[int, bytes]] = {}
+        known: dict[str, list[int]] = {}
         at = None
         for b in batches:
-            blocks, slices = b.column("__block"), b.column("__slice")
-            counts, ids = [], []
-            for slice_, words in zip(slices.to_pylist(), b.column("__words").to_pylist()):
-                if slice_ != at:
-                    known, at = {}, slice_
-                parts = words.split(" ")
-                fresh = [w for w in parts if w not in known]
-                for w, found in zip(fresh, encode_chunks(model, fresh) if fresh else ()):
-                    known[w] = len(found), pack(np.array(found, np.uint32))
-                got = [known[w] for w in parts]
-                counts.append(pack(np.array([n for n, _ in got], np.uint32)))
-                ids.append(b"".join([data for _, data in got]))
+            if not b.num_rows:
+                continue
+            slices = b.column("__slice").to_numpy()
+            parts = [w.split(" ") for w in b.column("__words").to_pylist()]
+            if slices[0] != at:
+                known = {}
+            fresh = list(dict.fromkeys(w for part in parts for w in part if w not in known))
+            known.update(zip(fresh, encode_chunks(model, fresh) if fresh else ()))
+            got = [[known[w] for w in part] for part in parts]
+            counts = [np.array([len(ids) for ids in some], np.uint32) for some in got]
+            flat = np.fromiter(itertools.chain.from_iterable(itertools.chain.from_iterable(got)), np.uint32)
+            sizes = np.array([int(c.sum()) for c in counts])
             yield pa.RecordBatch.from_arrays(
-                [blocks, slices, pa.array(counts, pa.binary()), pa.array(ids, pa.binary())],
-                ["__block", "__slice", "__counts", "__ids"],
+                [
+                    b.column("__block"),
+                    b.column("__check"),
+                    b.column("__slice"),
+                    _packed(np.concatenate(counts), np.array([len(c) for c in counts])),
+                    _packed(flat, sizes),
+                ],
+                ["__block", "__check", "__slice", "__counts", "__ids"],
             )
+            # Equal slices follow each other; what follows can only need the last one's chunks.
+            if slices[0] != slices[-1]:
+                last = np.flatnonzero(slices == slices[-1])
+                known = {w: known[w] for i in last for w in parts[i]}
+            at = slices[-1]
 
-    # Equal slices follow each other, so a task remembers the chunks of one at a time.
     rows = lists.repartition("__slice").sortWithinPartitions("__slice")
-    return rows.mapInArrow(run, "__block bigint, __slice int, __counts binary, __ids binary")
+    return rows.mapInArrow(run, schema)
 
 
 def _put_back(documents: DataFrame, ids: DataFrame, rest: list[str], result: str) -> DataFrame:
@@ -251,7 +274,14 @@ def _put_back(documents: DataFrame, ids: DataFrame, rest: list[str], result: str
         # From the numbers of chunks to their place in the lists.
         place = np.zeros(len(counts), np.int64)
         if len(order):
-            place[unpack(left["__codes"][int(order[0])].as_py())] = np.arange(len(counts))
+            row = int(order[0])
+            ranks = unpack(left["__codes"][row].as_py())
+            checks = set(right["__check"].unique().to_pylist())
+            if len(ranks) != len(counts) or checks - {left["__check"][row].as_py()}:
+                raise RuntimeError("the documents differ between two readings: they are no stored table")
+            place[ranks] = np.arange(len(counts))
+        elif len(texts):
+            raise RuntimeError("the documents differ between two readings: they are no stored table")
         offsets, pieces = [0], []
         for data in texts["__codes"]:
             at = place[unpack(data.as_py())]
@@ -286,15 +316,20 @@ def _whole(docs: DataFrame, model: str, text: str, rest: list[str], result: str)
     return docs.select(*rest, text).mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", result: str = "ids") -> DataFrame:
-    """Add each text's ids; the text goes. *model* is a path that every machine has."""
+def encode(
+    docs: DataFrame, model: str, text: str = "text", result: str = "ids", stored: bool = False
+) -> DataFrame:
+    """Add each text's ids; the text goes.
+
+    *model* is a path that every machine has. With *stored* the documents are a table of
+    files, read without a shuffle; otherwise they are written as one first.
+    """
     rest = [c for c in docs.columns if c not in (text, result)]
     if not separable(model):
         return _whole(docs, model, text, rest, result)
-    job = Scratch(docs.sparkSession, "pieces")
-    cut = job.write(_cut(docs, text, rest), "blocks")
-    lists = cut.filter(F.col("__kind") == _WORDS).select("__block", "__slice", "__words")
-    documents = cut.filter(F.col("__kind") != _WORDS).select(*rest, "__block", "__kind", "__codes")
+    if not stored:
+        docs = materialize(docs.select(*rest, text), "documents")
+    lists, documents = _cut(docs, text, rest, True), _cut(docs, text, rest, False)
     return _put_back(documents, _segmented(lists, model), rest, result)
 
 

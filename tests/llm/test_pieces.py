@@ -65,8 +65,7 @@ def test_whole_texts_and_empty_table(spark, monkeypatch):
 
 def test_each_distinct_chunk_is_segmented_once(spark, monkeypatch):
     frame = spark.createDataFrame([(i, f"the same words and w{i % 7}") for i in range(200)], "doc_id long, text string")
-    cut = pieces._cut(frame.repartition(4), "text", ["doc_id"])
-    lists = cut.filter("__kind = 0").select("__slice", "__words").collect()
+    lists = pieces._cut(frame.repartition(4), "text", ["doc_id"], True).select("__slice", "__words").collect()
     where = {}
     for r in lists:
         for w in r["__words"].split(" "):
