@@ -282,16 +282,15 @@ def _put_back(documents: DataFrame, ids: DataFrame, rest: list[str], result: str
             place[ranks] = np.arange(len(counts))
         elif len(texts):
             raise RuntimeError("the documents differ between two readings: they are no stored table")
-        offsets, pieces = [0], []
-        for data in texts["__codes"]:
-            at = place[unpack(data.as_py())]
+        found = [place[unpack(data.as_py())].astype(np.int32) for data in texts["__codes"]]
+        offsets = np.concatenate([[0], np.cumsum([int(counts[at].sum()) for at in found])]).astype(np.int64)
+        values = np.empty(int(offsets[-1]), np.int32)
+        for k, at in enumerate(found):
             n = counts[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            pieces.append(flat[np.arange(total) + np.repeat(starts[at] - (ends - n), n)])
-            offsets.append(offsets[-1] + total)
-        values = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
-        out = pa.ListArray.from_arrays(pa.array(np.array(offsets, np.int32)), pa.array(values))
+            before = np.cumsum(n) - n
+            size = int(offsets[k + 1] - offsets[k])
+            values[offsets[k] : offsets[k + 1]] = flat[np.arange(size) + np.repeat(starts[at] - before, n)]
+        out = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
         return pa.Table.from_arrays(
             [*[texts[c].cast(f.type) for c, f in zip(rest, shape)], out.cast(shape.field(result).type)], schema=shape
         )
@@ -341,15 +340,15 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", result: str = "decoded
     def run(batches):
         sp = processor(model)
         for b in batches:
-            column, out, first = b.column(ids), [], 0
+            column, first = b.column(ids), 0
             ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             while first < b.num_rows:
                 done = int(ends[first - 1]) if first else 0
                 last = max(first + 1, int(np.searchsorted(ends, done + RUN_IDS, "right")))
                 some = column.slice(first, last - first).to_pylist()
-                out.append(pa.array([sp.decode(v) if v else "" for v in some], pa.string()))
+                texts = pa.array([sp.decode(v) if v else "" for v in some], pa.string())
+                kept = [b.column(c).slice(first, last - first) for c in rest]
+                yield pa.RecordBatch.from_arrays([*kept, texts], schema.names)
                 first = last
-            texts = pa.concat_arrays(out) if out else pa.array([], pa.string())
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], texts], schema.names)
 
     return rows.select(*rest).mapInArrow(run, schema)
