@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from shelfwatch.functions.price import round_half_even
 from shelfwatch.schema import PRODUCT_VALUES, SNAPSHOT_SCHEMA
 
+#: The column of :func:`changed_rows` with the id a product had before.
+OLD_ID = "old_product_id"
+
 
 def previous_prices(history: DataFrame, run_id: int, *order: str) -> DataFrame:
     """Per URL the newest non-null price recorded before *run_id*.
@@ -49,20 +52,11 @@ def _one_row_per_url(batch: DataFrame, order: str | None) -> DataFrame:
     return rows.select("url", "row.*", "seen_price", "seen_id")
 
 
-def upsert(
-    snapshot: DataFrame, batch: DataFrame, run_id: int, now: Column, order: str | None = None
-) -> DataFrame:
-    """The snapshot after writing *batch* into it by ``url``.
-
-    A URL in the batch overwrites everything but ``first_seen_at``, also with
-    nulls; other rows are left alone. The result also carries the newest known
-    price and the one known before this run, so price movement needs no look into
-    the history. Give *order* if a URL may occur more than once in the batch; the
-    last row then wins.
-    """
-    old = snapshot.alias("old")
-    new = _one_row_per_url(batch, order).alias("new")
-    touched = F.col("new.url").isNotNull()
+def _laid_over(old: DataFrame, new: DataFrame, run_id: int, now: Column, how: str) -> DataFrame:
+    """The columns of the snapshot from old rows and one new row per URL, and the old id."""
+    old, new = old.alias("old"), new.alias("new")
+    # A row of a batch has a URL, or met no old row.
+    touched = F.col("new.url").isNotNull() | F.col("old.url").isNull()
 
     def pick(fresh: Column, name: str) -> Column:
         return F.when(touched, fresh).otherwise(F.col(f"old.{name}"))
@@ -80,8 +74,51 @@ def upsert(
         "prior_price": pick(known, "prior_price"),
         "prior_price_id": pick(known_id, "prior_price_id"),
     }
-    return old.join(new, F.col("old.url") == F.col("new.url"), "full").select(
-        *[columns[name].alias(name) for name in SNAPSHOT_SCHEMA.names]
+    return old.join(new, F.col("old.url") == F.col("new.url"), how).select(
+        *[columns[name].alias(name) for name in SNAPSHOT_SCHEMA.names],
+        F.col("old.source_product_id").alias(OLD_ID),
+    )
+
+
+def upsert(
+    snapshot: DataFrame, batch: DataFrame, run_id: int, now: Column, order: str | None = None
+) -> DataFrame:
+    """The snapshot after writing *batch* into it by ``url``.
+
+    A URL in the batch overwrites everything but ``first_seen_at``, also with
+    nulls; other rows are left alone. The result also carries the newest known
+    price and the one known before this run, so price movement needs no look into
+    the history. Give *order* if a URL may occur more than once in the batch; the
+    last row then wins.
+    """
+    return _laid_over(snapshot, _one_row_per_url(batch, order), run_id, now, "full").drop(OLD_ID)
+
+
+def changed_rows(
+    snapshot: DataFrame, batch: DataFrame, run_id: int, now: Column, order: str | None = None
+) -> DataFrame:
+    """The rows of :func:`upsert` that the batch touches, with the id their URL had before.
+
+    Without *order* each row of the batch is one row, so a URL that occurs twice shows.
+    """
+    return _laid_over(snapshot, _one_row_per_url(batch, order), run_id, now, "right")
+
+
+def id_changes(changed: DataFrame) -> DataFrame:
+    """What the rows of :func:`changed_rows` change in the table of ids: id, url, whether it holds.
+
+    A product that keeps its id changes nothing, so an ordinary batch has few rows here.
+    """
+    new, old = F.col("source_product_id"), F.col(OLD_ID)
+    entries = F.array(
+        F.struct(old.alias("id"), F.lit(False).alias("live")),
+        F.struct(new.alias("id"), F.lit(True).alias("live")),
+    )
+    return (
+        changed.filter(~new.eqNullSafe(old))
+        .select("url", F.explode(entries).alias("e"))
+        .filter(F.col("e.id").isNotNull())
+        .select(F.col("e.id").alias("source_product_id"), "url", F.col("e.live").alias("live"))
     )
 
 

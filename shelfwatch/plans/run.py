@@ -15,7 +15,7 @@ from shelfwatch.operators.clean import clean
 from shelfwatch.operators.derive import add_derived_columns
 from shelfwatch.operators.validate import accepted, rejected, validate
 from shelfwatch.plans.collect import collect_products
-from shelfwatch.plans.store import CatalogStore, ConstraintError, LateRunError, utc_now
+from shelfwatch.plans.store import CatalogStore, ConstraintError, utc_now
 from shelfwatch.runtime import materialize
 from shelfwatch.sources.records import to_records
 
@@ -74,9 +74,10 @@ def run_batch(
     *order* is the unique integer column of *records* giving arrival order. The
     store is made if it is not there. A failure before the data is stored fails the
     run and stores nothing, and the run is closed in the log whatever happens; a
-    batch that breaks a rule of the store is ``refused``. A report failure leaves
-    the stored data and the other reports, and makes the run ``partial``. With *key*
-    a batch that comes again is the same run.
+    batch that breaks a rule of the store is ``refused``. A failure of the analysis or
+    of a report leaves the stored data and the other reports, and makes the run
+    ``partial``. With *key* a batch that comes again is the same run, and is stored
+    after whatever was stored in between.
     """
     now = now or utc_now()
     outcome = RunOutcome(0)
@@ -96,13 +97,16 @@ def run_batch(
         )
     except Exception as failure:  # any failure up to here ends the run
         outcome.error = f"storing failed: {failure}"
-        refused = isinstance(failure, (ConstraintError, LateRunError))
+        refused = isinstance(failure, ConstraintError)
         return _close(store, outcome, REFUSED if refused else FAILED, crawl_stats, now)
 
-    changes = store.price_changes(outcome.run_id)
-    outcome.analysis = analyze(dataset, changes, top_n, order, unique_urls=True)
     report_failed = False
-    if report_dir:
+    try:
+        changes = store.price_changes(outcome.run_id)
+        outcome.analysis = analyze(dataset, changes, top_n, order, unique_urls=True)
+    except Exception as failure:  # the data is stored: a later run can analyse it
+        outcome.error, report_failed = f"analysis failed: {failure}", True
+    if report_dir and outcome.analysis is not None:
         report_failed = not _write_reports(outcome, store, dataset.drop(order), report_dir, source, now)
     status = run_status(
         outcome.records_accepted, outcome.records_rejected, report_failed=report_failed

@@ -2,12 +2,15 @@
 
 Data of a run is written under its own folder and becomes visible only with the
 run's ``stored`` event, which is written last. A run that dies before that leaves
-folders no reader looks at, and running it again overwrites them.
+folders no reader looks at, and running it again overwrites them. Runs get their place
+when they are stored, not when they begin: the ``stored`` event carries a commit
+number, and "newest" and "before" go by it. So a run that is taken up again after a
+younger one was stored loses nothing.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,89 +18,56 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.operators.prices import (
+    changed_rows,
+    id_changes,
     missing_values,
     movement,
     previous_prices,
     repeated_keys,
-    upsert,
-)
-from shelfwatch.runtime import remove_folder
-from shelfwatch.schema import (
-    HISTORY_SCHEMA,
-    PRODUCT_COLUMNS,
-    RUN_COLUMNS,
-    RUN_COUNTERS,
-    RUN_EVENT_SCHEMA,
-    SNAPSHOT_SCHEMA,
 )
+from shelfwatch.plans.parted import PartedTable, TableState
+from shelfwatch.plans.runlog import FINISHED, SEGMENT, STARTED, STORED, RunLog, summarize_runs, utc_now
+from shelfwatch.runtime import Scratch, remove_folder
+from shelfwatch.schema import HISTORY_SCHEMA, ID_SCHEMA, PRODUCT_COLUMNS, SNAPSHOT_SCHEMA
 
-STARTED, STORED, FINISHED = "started", "stored", "finished"
 DATASET = "dataset"
+PRODUCTS, IDS = "products", "ids"
 
 
 class ConstraintError(ValueError):
     """A batch would break a key or a required column; nothing of it is stored."""
 
 
-class LateRunError(ValueError):
-    """A run older than the newest stored one; storing it would hide its rows."""
-
-
-def utc_now() -> datetime:
-    """The run's clock: UTC, whole seconds, taken once on the driver."""
-    return datetime.now(timezone.utc).replace(microsecond=0)
-
-
 def _instant(now: datetime):
     return F.timestamp_seconds(F.lit(int(now.timestamp())))
 
 
-def summarize_runs(events: DataFrame) -> DataFrame:
-    """One row per run from its log events (``run_id, event, at, status, counters``)."""
-    closing = F.col("event") == FINISHED
-
-    def closed(column: str):
-        return F.max(F.when(closing, F.col(column)))
-
-    return (
-        events.filter(F.col("event") != STORED)
-        .groupBy(F.col("run_id").alias("id"))
-        .agg(
-            F.min(F.when(~closing, F.col("at"))).alias("started_at"),
-            closed("at").alias("finished_at"),
-            F.coalesce(closed("status"), F.lit("running")).alias("status"),
-            *[F.coalesce(closed(c), F.lit(0)).alias(c) for c in RUN_COUNTERS],
-        )
-        .select(*RUN_COLUMNS)
-    )
-
-
 class CatalogStore:
     """One catalogue under a root folder that every executor can reach.
 
     There is one writer at a time; readers may come and go. The snapshot lies in
-    *parts* by a hash of ``url``, and a run rewrites the parts that its batch
-    touches; the newest committed version of each part makes up the catalogue. A
-    small batch so costs a few parts and not the whole catalogue. The number is
-    fixed when the store is made: take one that gives parts of a few hundred
-    megabytes.
+    *parts* by a hash of ``url``, and what a run changes is laid over them (see
+    :mod:`shelfwatch.plans.parted`), so a run writes in proportion to its batch. A
+    second table, parted by a hash of the id, tells which product has an id; only
+    ids that are new or have moved are looked up there. The number of parts is fixed
+    when the store is made: take one that gives parts of a few hundred megabytes. With
+    *keep* the versions that no snapshot of the last *keep* stored runs needs are
+    deleted after each run.
     """
 
-    def __init__(self, spark: SparkSession, root: str, parts: int = 16):
+    def __init__(
+        self, spark: SparkSession, root: str, parts: int = 16, keep: int | None = None, segment: int = SEGMENT
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
+        self.log = RunLog(spark, self.root, segment)
         self._wanted_parts = parts
 
     # -- layout ----------------------------------------------------------------
-    def _path(self, table: str, run_id: int | None = None, event: str | None = None) -> str:
+    def _path(self, table: str, run_id: int | None = None) -> str:
         path = f"{self.root}/{table}"
-        if run_id is not None:
-            path += f"/run_id={run_id}"
-        return path + (f"/event={event}" if event else "")
-
-    def _table(self, table: str, schema: T.StructType, *partitions: T.StructField) -> DataFrame:
-        full = T.StructType([*schema.fields, *partitions])
-        return self.spark.read.schema(full).parquet(self._path(table))
+        return path if run_id is None else f"{path}/run_id={run_id}"
 
     def init(self) -> None:
         """Create what is missing of the store's tables."""
@@ -105,45 +75,22 @@ class CatalogStore:
         layout.coalesce(1).write.mode("ignore").parquet(self._path("layout"))
         history = self.spark.createDataFrame([], HISTORY_SCHEMA)
         history.write.mode("ignore").parquet(self._path("price_history", 0))
-        events = self.spark.createDataFrame([], RUN_EVENT_SCHEMA)
-        events.write.mode("ignore").parquet(self._path("run_log", 0, STARTED))
 
     @cached_property
     def parts(self) -> int:
         """Number of parts of the snapshot, as the store was made."""
         return self.spark.read.schema("parts int").parquet(self._path("layout")).first()["parts"]
 
-    # -- run log ---------------------------------------------------------------
-    def _events(self) -> DataFrame:
-        return self._table(
-            "run_log",
-            RUN_EVENT_SCHEMA,
-            T.StructField("run_id", T.LongType()),
-            T.StructField("event", T.StringType()),
-        )
+    @cached_property
+    def product_table(self) -> PartedTable:
+        return PartedTable(self.spark, self.root, PRODUCTS, SNAPSHOT_SCHEMA, ["url"], self.parts)
 
-    def _log(
-        self,
-        run_id: int,
-        event: str,
-        status: str,
-        now: datetime,
-        counters: dict | None = None,
-        key: str | None = None,
-        parts: list[int] | None = None,
-    ) -> None:
-        numbers = [
-            F.lit(int((counters or {}).get(c) or 0)).cast("bigint").alias(c) for c in RUN_COUNTERS
-        ]
-        row = self.spark.range(1).select(
-            _instant(now).alias("at"),
-            F.lit(status).alias("status"),
-            F.lit(key).cast("string").alias("key"),
-            F.array(*[F.lit(n) for n in parts or []]).cast("array<int>").alias("parts"),
-            *numbers,
-        )
-        row.coalesce(1).write.mode("overwrite").parquet(self._path("run_log", run_id, event))
+    @cached_property
+    def id_table(self) -> PartedTable:
+        keys = ["source_product_id", "url"]
+        return PartedTable(self.spark, self.root, IDS, ID_SCHEMA, keys, self.parts, live="live")
 
+    # -- run log ---------------------------------------------------------------
     def start_run(
         self, run_id: int | None = None, now: datetime | None = None, key: str | None = None
     ) -> int:
@@ -155,68 +102,63 @@ class CatalogStore:
         is in the log.
         """
         if run_id is None and key is not None:
-            known = self._events().filter((F.col("event") == STARTED) & (F.col("key") == key))
-            run_id = known.agg(F.min("run_id").alias("id")).first()["id"]
+            run_id = self.log.run_of_key(key)
         if run_id is None:
-            newest = self._events().agg(F.max("run_id").alias("id")).first()["id"]
-            run_id = (newest or 0) + 1
+            run_id = self.log.last_run() + 1
         elif self.is_stored(run_id):
             return run_id
-        self._log(run_id, STARTED, "running", now or utc_now(), key=key)
+        self.log.append(run_id, STARTED, "running", now or utc_now(), key=key)
         return run_id
 
     def finish_run(
         self, run_id: int, status: str, counters: dict[str, int], now: datetime | None = None
     ) -> None:
         """Close a run with its status and counters."""
-        self._log(run_id, FINISHED, status, now or utc_now(), counters)
+        self.log.append(run_id, FINISHED, status, now or utc_now(), counters)
 
     def runs(self) -> DataFrame:
         """All runs by id; a run that was never closed shows as ``running``."""
-        return summarize_runs(self._events()).orderBy("id")
+        return summarize_runs(self.log.events()).orderBy("id")
 
     def run(self, run_id: int) -> DataFrame:
         return self.runs().filter(F.col("id") == run_id).select("id", "started_at", "status")
 
     # -- committed versions ----------------------------------------------------
-    def _stored_runs(self) -> DataFrame:
-        return self._events().filter(F.col("event") == STORED).select("run_id")
-
     def is_stored(self, run_id: int) -> bool:
-        return not self._stored_runs().filter(F.col("run_id") == run_id).isEmpty()
-
-    def _versions(self, before: int | None = None) -> dict[int, int]:
-        """The newest committed run of each part, optionally older than a run."""
-        stored = self._events().filter(F.col("event") == STORED)
-        if before is not None:
-            stored = stored.filter(F.col("run_id") < before)
-        # As many rows as the snapshot has parts.
-        newest = stored.select("run_id", F.explode("parts").alias("part")).groupBy("part")
-        return {r["part"]: r["run"] for r in newest.agg(F.max("run_id").alias("run")).collect()}
-
-    def _part_path(self, run_id: int, part: int) -> str:
-        return f"{self._path('products', run_id)}/part={part}"
-
-    def _read_parts(self, versions: dict[int, int]) -> DataFrame:
-        if not versions:
-            return self.spark.createDataFrame([], SNAPSHOT_SCHEMA)
-        paths = [self._part_path(run, part) for part, run in sorted(versions.items())]
-        return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(*paths)
+        return self.log.stored_event(run_id) is not None
+
+    def _state(self, table: str, before: int | None = None) -> TableState:
+        """The versions of a table now, or before a run was stored."""
+        event = None if before is None else self.log.stored_event(before)
+        return self.log.state(event).get(table, TableState())
 
     def snapshot(self, before: int | None = None) -> DataFrame:
-        return self._read_parts(self._versions(before))
+        """The catalogue now, or as it was before a run was stored."""
+        return self.product_table.read(self._state(PRODUCTS, before))
 
     def _written(self, run_id: int) -> DataFrame:
-        """The parts a run wrote, as rows of the snapshot."""
-        path = self._path("products", run_id)
-        return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
+        """The rows of the snapshot that a stored run wrote."""
+        event = self.log.stored_event(run_id)
+        return self.product_table.written(run_id, self.log.versions_of(event, PRODUCTS))
 
     def remove_superseded(self, before: int) -> list[str]:
-        """Delete the versions that no snapshot from run *before* on needs; returns their folders."""
-        current = self._versions(before + 1)
-        stored = self._events().filter((F.col("event") == STORED) & (F.col("run_id") <= before))
-        pairs = stored.select("run_id", F.explode("parts").alias("part")).distinct().collect()
-        old = [self._part_path(r["run_id"], r["part"]) for r in pairs if current[r["part"]] != r["run_id"]]
+        """Delete the versions that no snapshot since run *before* was stored needs; returns their folders."""
+        event = self.log.stored_event(before)
+        # As many rows as there are stored runs up to that one.
+        runs = [r["run_id"] for r in self.log.stored_runs().filter(F.col("commit") <= event["commit"]).collect()]
+        last = self.log.state(event)
+        old = []
+        for name, table in ((PRODUCTS, self.product_table), (IDS, self.id_table)):
+            state = last.get(name, TableState())
+            state.add(event["commit"], before, self.log.versions_of(event, name), name in event["merged"])
+            needed = {table.base_path(run, part) for part, (_, run, _) in state.bases.items()}
+            needed |= {table.change_path(run) for _, run in state.changes}
+            for run in runs:
+                parts = self.log.numbers(table.base_path(run), "part")
+                paths = [table.base_path(run, p) for p in parts]
+                if self.log.exists(table.change_path(run)):
+                    paths.append(table.change_path(run))
+                old += [p for p in paths if p not in needed]
         for path in old:
             remove_folder(self.spark, path)
         return old
@@ -238,11 +180,15 @@ class CatalogStore:
 
     def history(self) -> DataFrame:
         """All observations of committed runs, with ``run_id``."""
-        rows = self._table("price_history", HISTORY_SCHEMA, T.StructField("run_id", T.LongType()))
-        return rows.join(self._stored_runs(), "run_id", "left_semi")
+        return self._committed_history().drop("commit")
+
+    def _committed_history(self) -> DataFrame:
+        schema = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("run_id", T.LongType())])
+        rows = self.spark.read.schema(schema).parquet(self._path("price_history"))
+        return rows.join(self.log.stored_runs(), "run_id").select(*schema.names, "commit")
 
     def previous_prices(self, run_id: int) -> DataFrame:
-        """Newest price per URL before *run_id*, read from the snapshot of that time.
+        """Newest price per URL before *run_id* was stored, read from the snapshot of that time.
 
         Equal to looking through the history (:func:`previous_prices`), at the cost
         of one product table instead of all observations ever made.
@@ -255,7 +201,10 @@ class CatalogStore:
         )
 
     def previous_prices_from_history(self, run_id: int) -> DataFrame:
-        return previous_prices(self.history(), run_id)
+        event = self.log.stored_event(run_id)
+        commit = event["commit"] if event else self.log.last_commit() + 1
+        rows = self._committed_history().withColumn("run_id", F.col("commit"))
+        return previous_prices(rows, commit)
 
     # -- writing a batch -------------------------------------------------------
     def write_batch(
@@ -270,32 +219,26 @@ class CatalogStore:
 
         Returns the number of rows of the batch. A broken constraint raises
         :class:`ConstraintError` and leaves the run invisible. A run that is
-        already stored is left as it is, so a replayed batch changes nothing; one
-        older than the newest stored run raises :class:`LateRunError`, since its
-        rows would not be seen.
+        already stored is left as it is, so a replayed batch changes nothing. Any
+        other run comes after all that are stored, whatever its id.
         """
         now = now or utc_now()
         if self.is_stored(run_id):
             return self._rows_of_run(run_id)
-        versions = self._versions()
-        if max(versions.values(), default=0) > run_id:
-            raise LateRunError(f"run {run_id} comes after a newer run was stored")
-        part = F.pmod(F.xxhash64("url"), F.lit(self.parts)).cast("int")
-        # At most as many numbers as the snapshot has parts.
-        touched = sorted(r["part"] for r in batch.select(part.alias("part")).distinct().collect())
-        merged = upsert(
-            self._read_parts({p: versions[p] for p in touched if p in versions}),
-            batch,
-            run_id,
-            _instant(now),
-            None if unique_urls else order,
+        job = Scratch(self.spark, "batch")
+        state = self.log.state()
+        products, ids = (state.get(t, TableState()) for t in (PRODUCTS, IDS))
+        commit = self.log.last_commit() + 1
+        touched = set(self.product_table.parts_of(batch))
+        changed = job.write(
+            changed_rows(
+                self.product_table.read(products, touched), batch, run_id, _instant(now),
+                None if unique_urls else order,
+            ),
+            "changed",
         )
-        placed = merged.withColumn("part", part).hint("rebalance", "part")
-        empty = self.spark.createDataFrame([], SNAPSHOT_SCHEMA)
-        if touched:
-            placed.write.mode("overwrite").partitionBy("part").parquet(self._path("products", run_id))
-        else:
-            empty.write.mode("overwrite").parquet(self._path("products", run_id))
+        moved = job.write(id_changes(changed), "moved")
+        self._check(changed, moved, ids, run_id, unique_urls)
         history = batch.select(
             F.col(order).cast("bigint").alias("seq"),
             "source_product_id",
@@ -306,24 +249,40 @@ class CatalogStore:
             _instant(now).alias("captured_at"),
         )
         history.write.mode("overwrite").parquet(self._path("price_history", run_id))
-        after = self._written(run_id) if touched else empty
-        rest = self._read_parts({p: r for p, r in versions.items() if p not in touched})
-        self._check(after, rest, run_id, unique_urls)
-        self._log(run_id, STORED, "stored", now, parts=touched)
+        written, merged = {}, []
+        for name, table, old, rows in (
+            (PRODUCTS, self.product_table, products, changed), (IDS, self.id_table, ids, moved)
+        ):
+            written[name], whole = table.write(old, rows, run_id, commit)
+            merged += [name] if whole else []
+        self.log.append(run_id, STORED, "stored", now, commit=commit, versions=written, merged=merged)
+        job.drop(changed, moved)
+        if self.keep is not None:
+            self._remove_old(commit)
         return self._rows_of_run(run_id)
 
-    def _check(self, written: DataFrame, rest: DataFrame, run_id: int, unique_urls: bool) -> None:
-        """Raise if the run broke a rule; the table of all violations stays in the store."""
-        # Rows the run did not touch were checked before, so a new clash of ids
-        # involves a row it touched: only those ids are looked for elsewhere.
-        touched = written.filter(F.col("touched_run") == run_id)
-        ids = touched.select("source_product_id").dropna().distinct()
-        everywhere = written.select("source_product_id").unionByName(rest.select("source_product_id"))
-        checks = missing_values(touched, "name", "url").unionByName(
-            repeated_keys(everywhere.join(ids, "source_product_id", "left_semi"), "source_product_id")
-        )
+    def _remove_old(self, commit: int) -> None:
+        oldest = self.log.stored_runs().filter(F.col("commit") == commit - self.keep).first()
+        if oldest is not None:
+            self.remove_superseded(oldest["run_id"])
+
+    def _check(
+        self, changed: DataFrame, moved: DataFrame, ids: TableState, run_id: int, unique_urls: bool
+    ) -> None:
+        """Raise if the run breaks a rule; the table of all violations stays in the store."""
+        # Stored rows were checked before, so a new clash of ids involves an id that is
+        # new or has moved: only the parts of the id table that hold one are read.
+        fresh = moved.filter("live")
+        touched = set(self.id_table.parts_of(fresh))
+        checks = missing_values(changed, "name", "url")
+        if touched:
+            wanted = fresh.select("source_product_id").distinct()
+            before = self.id_table.read(ids, touched).join(wanted, "source_product_id", "left_semi")
+            keys = ["source_product_id", "url"]
+            holders = before.join(moved.select(*keys), keys, "left_anti").select(*keys).unionByName(fresh.select(*keys))
+            checks = checks.unionByName(repeated_keys(holders, "source_product_id"))
         if unique_urls:
-            checks = checks.unionByName(repeated_keys(touched, "url"))
+            checks = checks.unionByName(repeated_keys(changed, "url"))
         n = checks.count()
         if n:
             path = self._path("violations", run_id)

@@ -73,13 +73,25 @@ SNAPSHOT_SCHEMA = _struct(
     prior_price=_D,
     prior_price_id=_S,
 )
+# Which entry of the products' ids is whose; false: the URL has another id by now.
+ID_SCHEMA = _struct(source_product_id=_S, url=_S, live=T.BooleanType())
+# An event of a run. `commit` numbers the stored runs in the order they became visible;
+# `versions` is what the run wrote of each part of a table, `merged` names the tables
+# whose changes hold all earlier ones.
+_WRITTEN = _struct(table=_S, part=T.IntegerType(), rows=_L, base=T.BooleanType())
 RUN_EVENT_SCHEMA = _struct(
+    seq=_L,
+    run_id=_L,
+    event=_S,
     at=_TS,
     status=_S,
     key=_S,
-    parts=T.ArrayType(T.IntegerType()),
+    commit=_L,
+    versions=T.ArrayType(_WRITTEN),
+    merged=T.ArrayType(_S),
     **{name: _L for name in RUN_COUNTERS},
 )
+VERSION_SCHEMA = _struct(table=_S, commit=_L, run_id=_L, part=T.IntegerType(), rows=_L, base=T.BooleanType())
 
 # --- fixed values: label sets, lookup tables and report column orders ---------
 CURRENCY_SYMBOLS = {"£": "GBP", "$": "USD", "€": "EUR", "₹": "INR", "¥": "JPY"}

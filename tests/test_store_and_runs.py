@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -12,8 +13,9 @@ from conftest import RECORD_DDL, record
 from shelfwatch.operators import report
 from shelfwatch.operators.derive import add_derived_columns
 from shelfwatch.operators.prices import constraint_violations, previous_prices
+from shelfwatch.plans import parted
 from shelfwatch.plans.run import run_batch, run_pages, run_status
-from shelfwatch.plans.store import CatalogStore, ConstraintError, LateRunError
+from shelfwatch.plans.store import CatalogStore, ConstraintError
 from shelfwatch.schema import CSV_REPORT_COLUMNS, PRODUCT_COLUMNS
 from shelfwatch.streaming.monitor import Monitor
 from test_listings import ROOT, card, page, pages, sidebar
@@ -131,26 +133,133 @@ def test_replayed_run_changes_nothing(spark, store):
     assert again == 3 and store.count_products() == 3 and store.history().count() == 3
 
 
-def _folders(root, run):
-    return sorted(p.name for p in (root / "catalog" / "products" / f"run_id={run}").glob("part=*"))
+def _files(table, run):
+    """Parts of the base a run wrote of a table, and its rows of changes."""
+    bases = table.spark._jvm.java.io.File(table.base_path(run)).list() or []
+    changes = table.spark._jvm.java.io.File(table.change_path(run)).exists()
+    rows = table.spark.read.parquet(table.change_path(run)).count() if changes else 0
+    return sum(n.startswith("part=") for n in bases), rows
 
 
-def test_small_batch_rewrites_its_part_only(spark, store, tmp_path):
-    many = [record(i, f"P{i}", f"p_{i}", 1.0 + i) for i in range(60)]
+def test_a_batch_writes_what_it_changes(spark, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "catalog"), parts=4)
+    store.init()
+    many = [record(i, f"P{i}", f"p_{i}", 1.0 + i) for i in range(400)]
     first = write(store, batch(spark, *many), 0)
-    assert len(_folders(tmp_path, first)) > 10
-    run = write(store, batch(spark, record(1, "P7 new", "p_7", 3.0)), 1)
-    assert len(_folders(tmp_path, run)) == 1
-    assert store.count_products() == 60 and store.snapshot(before=run).filter("price = 3.0").count() == 1
-    assert {r.price for r in store.products().filter("name = 'P7 new'").collect()} == {3.0}
+    assert _files(store.product_table, first) == (4, 0) and _files(store.id_table, first) == (4, 0)
+    # Scattered over all parts, and yet a row is written for each of its own only.
+    some = [record(i, f"P{i} new", f"p_{i}", 3.0) for i in range(0, 400, 40)]
+    run = write(store, batch(spark, *some), 1)
+    assert _files(store.product_table, run) == (0, 10) and _files(store.id_table, run) == (0, 0)
+    assert store.count_products() == 400 and store.snapshot(before=run).filter("price = 3.0").count() == 1
+    assert store.products().filter("name like '% new' and price = 3.0").count() == 10
     previous = {r.source_product_id: r.previous_price for r in store.previous_prices(run).collect()}
-    assert previous["p_7"] == 8.0 and len(previous) == 60
+    assert previous["p_40"] == 41.0 and len(previous) == 400
+    changes = store.price_changes(run)
+    assert changes.count() == 10 and {r.current_price for r in changes.collect()} == {3.0}
+    # A part whose changes would pass a quarter of it is written anew, with them.
+    most = [record(i, f"P{i}", f"p_{i}", 5.0) for i in range(0, 400, 3)]
+    last = write(store, batch(spark, *most), 2)
+    assert _files(store.product_table, last) == (4, 0) and store.price_changes(last).count() == len(most)
+    assert store.products().filter("price = 5.0").count() == len(most) + 1
     # A writer that asks for another number of parts gets the store's own.
     other = CatalogStore(spark, store.root, parts=3)
     other.init()
-    assert other.parts == 16
-    gone = store.remove_superseded(run)
-    assert len(gone) == 1 and store.count_products() == 60
+    assert other.parts == 4
+    gone = store.remove_superseded(last)
+    assert len(gone) == 4 + 1 and store.count_products() == 400
+
+
+def plain_catalogue(runs):
+    """url: (name, price, known price) after runs of (url, name, price)."""
+    now = {}
+    for rows in runs:
+        for url, name, price in rows:
+            known = price if price is not None else now.get(url, (None, None, None))[2]
+            now[url] = (name, price, known)
+    return now
+
+
+def test_many_small_batches_equal_a_plain_catalogue(spark, tmp_path, monkeypatch):
+    """Changes, bases and merged changes in every mixture, also as they were at any time."""
+    monkeypatch.setattr(parted, "MOST_CHANGES", 2)
+    store = CatalogStore(spark, str(tmp_path / "catalog"), parts=3, segment=8)
+    store.init()
+    draw, runs, ids = random.Random(3), [], []
+    for day in range(9):
+        size = 40 if day == 0 else draw.choice([1, 2, 3, 12])
+        picked = draw.sample(range(50), size)
+        rows = [record(i, f"P{i} {day}", f"p_{i}", draw.choice([None, 1.0 + day])) for i in picked]
+        ids.append(write(store, batch(spark, *rows), day, unique_urls=True))
+        runs.append([(r[2], r[1], r[3]) for r in rows])
+        reader = CatalogStore(spark, store.root, segment=8)
+        got = {r.url: (r["name"], r.price, r.known_price) for r in reader.snapshot().collect()}
+        assert got == plain_catalogue(runs), day
+    for day, run in enumerate(ids):
+        got = {r.url: r.known_price for r in store.snapshot(before=run).collect()}
+        assert got == {u: v[2] for u, v in plain_catalogue(runs[:day]).items()}
+        assert store.price_changes(run).count() == sum(
+            price is not None and plain_catalogue(runs[:day]).get(url, (0, 0, None))[2] is not None
+            for url, _, price in runs[day]
+        )
+    fast = sorted(tuple(r) for r in store.previous_prices(ids[-1]).collect())
+    assert fast == sorted(tuple(r) for r in store.previous_prices_from_history(ids[-1]).collect())
+
+
+def test_old_versions_go_with_keep(spark, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "catalog"), parts=2, keep=1)
+    store.init()
+    for day in range(4):
+        rows = [record(i, f"P{i}", f"p_{i}", float(day)) for i in range(10)]
+        run = write(store, batch(spark, *rows), day)
+    kept = sorted(p.name for p in (tmp_path / "catalog" / "products").glob("run_id=*") if list(p.glob("part=*")))
+    assert kept == [f"run_id={run - 1}", f"run_id={run}"] and store.count_products() == 10
+    assert store.previous_prices(run).first().previous_price == 2.0
+
+
+def test_the_log_reads_few_files_however_many_runs(spark, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "catalog"), segment=8)
+    store.init()
+    for day in range(30):
+        run = store.start_run(now=DAY, key=f"k/{day}")
+        store.finish_run(run, "success", {"records_found": day}, DAY)
+    reader = CatalogStore(spark, store.root, segment=8)
+    read = []
+    plain = reader.log._read_events
+    reader.log._read_events = lambda *a: read.append(plain(*a)) or read[-1]
+    assert reader.start_run(now=DAY) == 31 and reader.start_run(key="k/3") == 4
+    assert max(map(len, read)) <= 8
+    log = {r.id: r for r in reader.runs().collect()}
+    assert len(log) == 31 and log[30].records_found == 29
+    # A run taken up again is open until it is closed again.
+    assert log[4].status == "running" and log[5].status == "success"
+
+
+def test_ids_move_and_come_free(spark, store):
+    write(store, batch(spark, *[record(i, f"P{i}", f"p_{i}", 1.0) for i in range(20)]), 0)
+    moved = [record(1, "P1", "p_1", 1.0, source_product_id="other"), record(2, "N", "n_1", 1.0, source_product_id="p_1")]
+    write(store, batch(spark, *moved), 1, unique_urls=True)
+    run = store.start_run()
+    with pytest.raises(ConstraintError, match="other"):
+        store.write_batch(batch(spark, record(3, "N", "n_2", 1.0, source_product_id="other")), run, "ord")
+    write(store, batch(spark, record(1, "P1", "p_1", 1.0, source_product_id=None)), 2)
+    write(store, batch(spark, record(3, "N", "n_2", 1.0, source_product_id="other")), 3)
+    got = sorted(r.source_product_id for r in store.products().collect() if r.source_product_id)
+    assert got == sorted([f"p_{i}" for i in range(20)] + ["other"])
+
+
+def test_a_batch_reads_only_the_id_parts_it_touches(spark, store, monkeypatch):
+    write(store, batch(spark, *[record(i, f"P{i}", f"p_{i}", 1.0) for i in range(60)]), 0)
+    asked = []
+    for table in (store.product_table, store.id_table):
+        plain = table.read
+        monkeypatch.setattr(table, "read", lambda s, t=None, gone=False, plain=plain, table=table: (
+            asked.append((table.keys[0], t)) or plain(s, t, gone)))
+    write(store, batch(spark, record(1, "P1 new", "p_1", 2.0)), 1)
+    assert {k for k, _ in asked} == {"url"} and all(len(t) == 1 for _, t in asked)
+    asked.clear()
+    write(store, batch(spark, record(1, "New", "n_1", 2.0)), 2)
+    assert {k for k, _ in asked} == {"url", "source_product_id"} and all(len(t) == 1 for _, t in asked)
 
 
 def test_id_clash_with_an_untouched_part(spark, store):
@@ -163,13 +272,27 @@ def test_id_clash_with_an_untouched_part(spark, store):
     assert listed.count() == 9 and store.count_products() == 40
 
 
-def test_late_run_is_refused(spark, store):
+def test_a_run_stored_late_comes_after_the_others(spark, store):
     early = store.start_run(now=DAY)
-    write(store, batch(spark, FIRST[1]), 1)
-    with pytest.raises(LateRunError):
-        store.write_batch(batch(spark, FIRST[0]), early, "ord")
+    late = write(store, batch(spark, record(1, "Lamp", "lamp_1", 5.0), FIRST[1]), 1)
     out = run_batch(store, batch(spark, FIRST[0]), "ord", run_id=early)
-    assert out.status == "refused" and not out.ok and store.count_products() == 1
+    assert (out.status, out.run_id) == ("success", early) and late > early
+    assert {r["name"]: r.price for r in store.products().collect()} == {"Lamp": 51.77, "Desk": 53.74}
+    assert [r.previous_price for r in out.analysis.price_changes.collect()] == [5.0]
+    assert store.previous_prices(late).count() == 0 and store.previous_prices(early).count() == 2
+    for run in (late, early):
+        fast = sorted(tuple(r) for r in store.previous_prices(run).collect())
+        assert fast == sorted(tuple(r) for r in store.previous_prices_from_history(run).collect())
+
+
+def test_failed_analysis_closes_the_run(spark, store, sample, monkeypatch, tmp_path):
+    def broken(*_, **__):
+        raise RuntimeError("no analysis today")
+
+    monkeypatch.setattr("shelfwatch.plans.run.analyze", broken)
+    out = run_batch(store, sample, "ord", report_dir=str(tmp_path / "r"))
+    assert out.status == "partial" and out.ok and "no analysis" in out.error
+    assert store.runs().first().status == "partial" and store.count_products() == 3
 
 
 def test_a_key_names_a_run(spark, store):
@@ -380,6 +503,26 @@ def test_monitor_stops_at_a_failure_and_takes_the_batch_up_again(spark, store, t
     assert [r.status for r in store.runs().collect()] == ["success"]
 
 
+def test_monitor_keeps_a_batch_that_comes_back_after_a_newer_run(spark, store, tmp_path, monkeypatch):
+    landing = str(tmp_path / "landing")
+    batch(spark, *FIRST[:2]).write.json(landing)
+    stream = spark.readStream.schema(batch(spark, *FIRST).schema).json(landing)
+    monitor, write_batch = Monitor(store, "ord"), store.write_batch
+
+    def broken(*_, **__):
+        raise OSError("store is away")
+
+    monkeypatch.setattr(store, "write_batch", broken)
+    with pytest.raises(StreamingQueryException, match="store is away"):
+        monitor.run(stream, str(tmp_path / "offsets"))
+    monkeypatch.setattr(store, "write_batch", write_batch)
+    assert run_batch(store, batch(spark, FIRST[2]), "ord").run_id == 2
+    (out,) = monitor.run(stream, str(tmp_path / "offsets"))
+    assert (out.run_id, out.status) == (1, "success")
+    assert sorted(r["name"] for r in store.products().collect()) == ["Chair", "Desk", "Lamp"]
+    assert monitor.run(stream, str(tmp_path / "offsets")) == []
+
+
 def test_monitor_passes_over_a_refused_batch(spark, store, tmp_path):
     landing, schema = tmp_path / "landing", batch(spark, *FIRST).schema
     rows = [[FIRST[0], record(2, "Other", "other_9", 1.0, source_product_id="lamp_1")], [FIRST[1]]]
