@@ -165,6 +165,18 @@ snap AS (
     LEFT JOIN prev p ON p.url = coalesce(n.url, o.url)
     LEFT JOIN newest w ON w.url = coalesce(n.url, o.url))"""
 
+# Observations stored in groups, one commit after the other: {0} gives a row its commit,
+# {1} the run that commit belongs to.
+_STORED = """placed AS (SELECT *, ({0})::BIGINT AS g FROM obs),
+latest AS (
+  SELECT *, {1} AS run FROM (
+    SELECT *, row_number() OVER (PARTITION BY url ORDER BY g DESC, event_id DESC) AS rn FROM placed) WHERE rn = 1),
+stored AS (
+  SELECT l.url, any_value(l.name) AS name, any_value(l.price) AS price, any_value(l.run)::BIGINT AS touched_run,
+    arg_max(p.price, (p.g, p.event_id)) FILTER (p.price IS NOT NULL) AS known_price,
+    arg_max(p.price, (p.g, p.event_id)) FILTER (p.price IS NOT NULL AND p.g < l.g) AS prior_price
+  FROM latest l JOIN (SELECT url, price, g AS g, event_id FROM placed) p ON p.url = l.url GROUP BY l.url)"""
+
 _CHANGES = f"""SELECT c.name, c.category, p.previous_price, c.price AS current_price,
     round_even((c.price - p.previous_price) * 100, 0) / 100 AS change
   FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY event_id) AS rn FROM obs
@@ -449,6 +461,18 @@ ORDER BY price, event_id LIMIT 10""",
 WHERE event_type = 'signup' HAVING count(*) > 0
 UNION ALL SELECT 'unique source_product_id', user_id::VARCHAR, count(*) FROM events WHERE event_type <> 'error'
 GROUP BY user_id HAVING count(*) > 1""",
+    "late_run": _with(_OBS, _STORED.format(f"CASE WHEN run_id < {_LAST} THEN 2 ELSE 1 END", "3 - g")) + "SELECT * FROM stored",
+    "late_run_prices": _with(_OBS, _STORED.format(f"CASE WHEN run_id < {_LAST} THEN 2 ELSE 1 END", "3 - g"))
+    + """SELECT category, count(*) AS n, format('{:.2f}', sum(change))::DOUBLE AS total FROM (
+  SELECT n.category, round_even((s.price - s.prior_price) * 100, 0) / 100 AS change FROM stored s JOIN (
+    SELECT url, arg_max(category, event_id) AS category FROM placed WHERE g = 2 GROUP BY url) n USING (url)
+  WHERE s.touched_run = 1 AND s.price IS NOT NULL AND s.prior_price IS NOT NULL) GROUP BY category
+UNION ALL SELECT 'known before', count(*), format('{:.2f}', sum(price))::DOUBLE FROM (
+  SELECT arg_max(price, event_id) AS price FROM placed WHERE g = 1 AND price IS NOT NULL GROUP BY url)""",
+    "small_batches": _with(_OBS, _STORED.format(f"greatest(run_id - {_LAST} + 4, 1)", "g")) + "SELECT * FROM stored",
+    "id_clashes": _with(_OBS)
+    + """SELECT 'unique source_product_id' AS "constraint", source_product_id AS key, 2::BIGINT AS n FROM obs
+WHERE category = 'error' GROUP BY source_product_id""",
     "history_append": _with(_OBS)
     + f"""SELECT CASE WHEN run_id = {_LAST} THEN 2 ELSE 1 END::BIGINT AS run_id, count(*) AS n, count(price) AS priced,
   count(DISTINCT url) AS urls, format('{{:.2f}}', sum(price))::DOUBLE AS total,
@@ -474,7 +498,7 @@ FROM logged WHERE id = 2""",
   CASE WHEN run_id = {_LAST} THEN '2024-02-02 00:00:00' ELSE '2024-02-01 00:00:00' END AS captured_at,
   CASE WHEN run_id = {_LAST} THEN 2 ELSE 1 END::BIGINT AS run_id FROM obs""",
     "snapshot_count": _with(_OBS) + "SELECT count(DISTINCT url) AS products FROM obs",
-    "analysis_bundle": _with(_OBS)
+    "analysis_bundle": _with(_OBS, _PREVIOUS)
     + f"""SELECT 'kpi total_products' AS "table", 'all' AS label, count(*)::DOUBLE AS value FROM obs
 UNION ALL SELECT 'kpi unique_products', 'all', count(DISTINCT url) FROM obs
 UNION ALL SELECT 'kpi avg_price', 'all', format('{{:.2f}}', avg(price))::DOUBLE FROM obs
@@ -487,7 +511,8 @@ UNION ALL SELECT 'price', price_bucket, product_count FROM ({_band_counts("obs")
 UNION ALL SELECT * FROM (SELECT 'top', url, rating FROM obs WHERE rating IS NOT NULL
   ORDER BY rating DESC, price ASC NULLS LAST, event_id LIMIT 10)
 UNION ALL SELECT * FROM (SELECT 'cheapest', url, price FROM obs WHERE price IS NOT NULL
-  ORDER BY price, event_id LIMIT 10)""",
+  ORDER BY price, event_id LIMIT 10)
+UNION ALL SELECT 'changes', name, change FROM ({_CHANGES})""",
     "report_sizes": _with(_OBS)
     + f""", cleaned AS (
   SELECT * FROM (SELECT *, CASE WHEN run_id = {_LAST} THEN 2 ELSE 1 END::BIGINT AS run,

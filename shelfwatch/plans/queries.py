@@ -26,7 +26,7 @@ from shelfwatch.operators.walk import walk_listings
 from shelfwatch.plans import adapters as ad
 from shelfwatch.plans.collect import collect_products
 from shelfwatch.plans.run import report_tables, run_batch, run_status
-from shelfwatch.plans.store import FINISHED, STARTED, STORED, CatalogStore, summarize_runs
+from shelfwatch.plans.store import FINISHED, STARTED, STORED, CatalogStore, ConstraintError, summarize_runs
 from shelfwatch.runtime import scratch_dir
 from shelfwatch.schema import RECORD_COLUMNS, RUN_COUNTERS, SNAPSHOT_SCHEMA
 from shelfwatch.sources import listings as li
@@ -511,6 +511,69 @@ def _stored(spark: SparkSession, folder: str) -> tuple[CatalogStore, DataFrame]:
     return store, rows
 
 
+def _as_runs(spark: SparkSession, rows: DataFrame, runs: list[tuple[int, Column]]) -> CatalogStore:
+    """A catalogue holding parts of the rows as runs, stored in the order of the list."""
+    store = CatalogStore(spark, _scratch(spark, "catalog"))
+    store.init()
+    for run in sorted(run for run, _ in runs):
+        store.start_run(run, datetime(2024, 2, run, tzinfo=timezone.utc))
+    for run, part in runs:
+        now = datetime(2024, 2, run, tzinfo=timezone.utc)
+        store.write_batch(rows.filter(part), run, "event_id", now)
+        store.finish_run(run, "success", {}, now)
+    return store
+
+
+_KNOWN = ("url", "name", "price", "touched_run", "known_price", "prior_price")
+
+
+@query
+def late_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The first run fails and is stored after the second: it comes last and loses nothing."""
+    rows = ad.observations(spark, folder)
+    last = _last_run(rows)
+    store = _as_runs(spark, rows, [(2, F.col("run_id") == last), (1, F.col("run_id") < last)])
+    return store.snapshot().select(*_KNOWN)
+
+
+@query
+def late_run_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """What the run that was stored late knew of prices, and how they moved."""
+    rows = ad.observations(spark, folder)
+    last = _last_run(rows)
+    store = _as_runs(spark, rows, [(2, F.col("run_id") == last), (1, F.col("run_id") < last)])
+    moved = store.price_changes(1).groupBy("category").agg(
+        F.count("*").alias("n"), fp.money(F.sum("change")).alias("total")
+    )
+    known = store.previous_prices(1).agg(F.count("*").alias("n"), fp.money(F.sum("previous_price")).alias("total"))
+    return moved.unionByName(known.withColumn("category", F.lit("known before")))
+
+
+@query
+def small_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A base and three days of changes laid over it."""
+    rows = ad.observations(spark, folder)
+    last, day = _last_run(rows), F.col("run_id")
+    days = [(k + 2, day == last - 2 + k) for k in range(3)]
+    return _as_runs(spark, rows, [(1, day < last - 2), *days]).snapshot().select(*_KNOWN)
+
+
+@query
+def id_clashes(spark: SparkSession, folder: str) -> DataFrame:
+    """New pages that claim the ids of stored products, as the table of ids finds them."""
+    rows = ad.observations(spark, folder)
+    store = _as_runs(spark, rows, [(1, F.lit(True))])
+    claims = rows.filter(F.col("category") == "error").groupBy("source_product_id").agg(
+        *[F.min(c).alias(c) for c in rows.columns if c not in ("source_product_id", "url")]
+    )
+    claims = claims.withColumn("url", F.concat(F.lit(f"{ad.SHOP}/copy/"), F.col("source_product_id")))
+    try:
+        store.write_batch(claims, 2, "event_id")
+    except ConstraintError:
+        return store.violations(2)
+    return store.violations(2).limit(0)
+
+
 @query
 def history_append(spark: SparkSession, folder: str) -> DataFrame:
     store, _ = _stored(spark, folder)
@@ -670,11 +733,7 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def analysis_bundle(spark: SparkSession, folder: str) -> DataFrame:
     """Every table of the analysis in one list: table, label, value."""
     rows = add_derived_columns(ad.observations(spark, folder))
-    changes = rows.limit(0).select(
-        "name", "category", F.col("price").alias("previous_price"), F.col("price").alias("current_price"),
-        F.col("price").alias("change"),
-    )
-    found = an.analyze(rows, changes, order="event_id")
+    found = an.analyze(rows, price_changes(spark, folder), order="event_id")
 
     def part(name: str, table: DataFrame, label: str, value: str) -> DataFrame:
         return table.select(
@@ -748,13 +807,14 @@ def monitor_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, folder: str, root: str) -> tuple[DataFrame, DataFrame]:
-    """The observations as two files that arrive one after the other, and the stream of them."""
+    """The observations as two deliveries of as many files each, and the stream of them."""
     rows = ad.observations(spark, folder).withColumn("scraped_at", _ntz("seen_at"))
     rows = to_records(rows, keep=("event_id", "run_id"))
     last = _last_run(rows)
+    files = spark.sparkContext.defaultParallelism
     for part in (F.col("run_id") < last, F.col("run_id") == last):
-        rows.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+        rows.filter(part).repartition(files).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
     return rows, stream.parquet(f"{root}/landing")
 
 
@@ -772,15 +832,17 @@ class _FailsOnce(CatalogStore):
 
 @query
 def monitor_restart(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream whose first run fails, started again on its checkpoint: nothing is lost."""
+    """A stream whose first run fails, a plain run, and the stream again: nothing is lost."""
     root = _scratch(spark, "monitor")
-    _, stream = _landed(spark, folder, root)
+    rows, stream = _landed(spark, folder, root)
     monitor = Monitor(_FailsOnce(spark, f"{root}/catalog"), "event_id")
     try:
         monitor.run(stream, f"{root}/offsets")
     except StreamingQueryException as failure:
         if "the store is away" not in str(failure):
             raise
+    others = rows.withColumns({c: F.concat(c, F.lit("-other")) for c in ("url", "source_product_id")})
+    run_batch(CatalogStore(spark, f"{root}/catalog"), others, "event_id")
     return monitor.run(stream, f"{root}/offsets")[-1].analysis.price_changes
 
 

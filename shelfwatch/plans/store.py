@@ -293,6 +293,10 @@ class CatalogStore:
                 f"the first is {worst['constraint']}: {worst['key']} ({worst['n']})"
             )
 
+    def violations(self, run_id: int) -> DataFrame:
+        """The broken rules of a refused run: ``constraint, key, n``."""
+        return self.spark.read.schema("constraint string, key string, n bigint").parquet(self._path("violations", run_id))
+
     def _rows_of_run(self, run_id: int) -> int:
         path = self._path("price_history", run_id)
         return self.spark.read.schema(HISTORY_SCHEMA).parquet(path).count()
