@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 
 from shelfwatch.functions.text import blank_to_null
 from shelfwatch.functions.url import page_key
+from shelfwatch.operators.components import components
 from shelfwatch.runtime import Scratch
 
-#: Undecided rows that one task may go through in arrival order.
-LAST_ROWS = 100_000
+#: Rows of a component that are gone through in arrival order in one go.
+COMPONENT_ROWS = 10_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: str, descending: bool = False) -> DataFrame:
@@ -44,13 +45,18 @@ def dedup_two_keys(
     """Drop a row if its page or its id was already *kept*, in arrival order.
 
     A dropped row blocks nothing; an absent page or id matches nothing, so a row
-    with neither stays. The rule is greedy, so it is worked out in rounds: a row
-    first for both of its keys among the undecided rows is certain to stay, which
-    settles every row sharing a key with it. Copies of one (page, id) pair are
-    folded before the first round, so the rounds only see narrow rows and each pair
-    once; real catalogues, whose id is derived from the page, are done after one
-    round. Rows that wait for each other in a long chain would take a round a link:
-    once at most ``LAST_ROWS`` are undecided, one task goes through them in order.
+    with neither stays. Copies of one (page, id) pair are folded first, so what follows
+    sees narrow rows and each pair once; real catalogues, whose id is derived from the
+    page, are done after one round.
+
+    The rule is greedy, so it is worked out in rounds over the undecided rows. A row
+    that none before it shares a key with stays. A row that exactly one before it shares
+    a key with does the opposite of that one; such rows form chains, whose ends are found
+    by doubling, so a chain of n rows takes log2(n) steps. What shares a key with a row
+    that stays is dropped. When a round decides less than half, the rows left are split
+    into connected components, and each component of at most ``COMPONENT_ROWS`` is gone
+    through in arrival order; larger ones go on in rounds. (The rule on one dense
+    component, ordered against it, is sequential by nature and may take many rounds.)
     """
     job = Scratch(df.sparkSession, "dedup")
     keyed = df.select(
@@ -63,19 +69,23 @@ def dedup_two_keys(
     undecided = job.write(pairs, "pairs")
     left = undecided.count()
     winners = [keyed.filter(~has_key).select("ord")]
-    while left > LAST_ROWS:
-        stay = job.write(_certain(undecided), "stay")
+    while left:
+        placed = job.write(_placed(undecided), "placed")
+        stay = _decided(placed, job)
         winners.append(stay.select("ord"))
         rest = (
-            undecided.join(stay.select("ord"), "ord", "left_anti")
+            placed.join(stay.select("ord"), "ord", "left_anti")
             .join(stay.select("page").dropna(), "page", "left_anti")
             .join(stay.select("pid").dropna(), "pid", "left_anti")
+            .select("page", "pid", "ord")
         )
         before, undecided = undecided, job.write(rest, "undecided")
-        job.drop(before)
-        left = undecided.count()
-    if left:
-        winners.append(job.write(_in_order(undecided), "last"))
+        job.drop(before, placed)
+        was, left = left, undecided.count()
+        if left > was / 2:
+            done, undecided = _by_component(undecided, job)
+            winners.append(done)
+            left = undecided.count()
     kept = reduce(DataFrame.unionByName, winners).select(F.col("ord").alias(order))
     # Few rows go in practice: the planner can then broadcast the dropped numbers
     # (it knows their size on disk) and the wide rows are never shuffled.
@@ -83,28 +93,82 @@ def dedup_two_keys(
     return TwoKeyResult(df.join(dropped, order, "left_anti"), dropped)
 
 
-def _certain(rows: DataFrame) -> DataFrame:
-    """Rows that come first for their page and for their id; an absent key is no bar."""
-    first = rows
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows with the number of rows before them that share a key (0, 1, or 2 for more), and the only one."""
+    found = []
     for key in ("page", "pid"):
-        least = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("ord").alias("least"))
-        first = (
-            first.join(least, key, "left")
-            .filter(F.col("least").isNull() | (F.col("least") == F.col("ord")))
-            .drop("least")
+        # A task sends the two first rows of a key at most, however many it has.
+        rank = F.row_number().over(Window.partitionBy(key).orderBy("ord"))
+        firsts = rows.filter(F.col(key).isNotNull()).select(key, "ord").withColumn("rank", rank).filter("rank <= 2")
+        firsts = firsts.groupBy(key).agg(F.min("ord").alias(f"{key}_1"), F.max("ord").alias(f"{key}_2"))
+        rows = rows.join(firsts, key, "left")
+        first, second = F.col(f"{key}_1"), F.col(f"{key}_2")
+        place = F.when(first.isNull() | (F.col("ord") == first), 0).when(F.col("ord") == second, 1).otherwise(2)
+        found.append((place, first))
+    (page, page_1), (pid, pid_1) = found
+    return rows.select(
+        "page",
+        "pid",
+        "ord",
+        F.least(page + pid, F.lit(2)).alias("before"),
+        F.when(page == 1, page_1).otherwise(pid_1).alias("only"),
+    )
+
+
+def _decided(placed: DataFrame, job: Scratch) -> DataFrame:
+    """The rows that certainly stay: those without one before them, and those at an even place behind one."""
+    heads = placed.filter("before = 0").select("page", "pid", "ord")
+    open_ = placed.filter("before = 1").select("ord", "only", F.lit(True).alias("odd"))
+    closed: list[DataFrame] = []
+    while not open_.isEmpty():
+        known = reduce(DataFrame.unionByName, [open_, *closed])
+        known = known.select(F.col("ord").alias("at"), F.col("only").alias("next"), F.col("odd").alias("flip"))
+        step = open_.join(known, F.col("only") == F.col("at"), "left").select(
+            "ord",
+            F.coalesce("next", "only").alias("only"),
+            F.when(F.col("at").isNull(), F.col("odd")).otherwise(F.col("odd") != F.col("flip")).alias("odd"),
+            F.col("at").isNotNull().alias("moved"),
         )
-    return first
+        step = job.write(step, "chains")
+        closed.append(step.filter("not moved").select("ord", "only", "odd"))
+        open_ = step.filter("moved").select("ord", "only", "odd")
+    if not closed:
+        return job.write(heads, "stay")
+    even = reduce(DataFrame.unionByName, closed).filter("not odd")
+    behind = even.join(heads.select(F.col("ord").alias("only")), "only", "left_semi")
+    more = placed.join(behind.select("ord"), "ord", "left_semi").select("page", "pid", "ord")
+    return job.write(heads.unionByName(more), "stay")
+
+
+def _by_component(rows: DataFrame, job: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Numbers of the rows that stay in small components, and the rows of large ones."""
+    links = [
+        rows.join(rows.groupBy(key).agg(F.min("ord").alias("b")), key).select(F.col("ord").alias("a"), "b")
+        for key in ("page", "pid")
+    ]
+    groups = components(reduce(DataFrame.unionByName, links), job)
+    whole = rows.join(groups.withColumnRenamed("node", "ord"), "ord", "left")
+    whole = job.write(whole.withColumn("component", F.coalesce("component", "ord")), "components")
+    large = whole.groupBy("component").count().filter(F.col("count") > COMPONENT_ROWS)
+    large = job.write(large.select("component"), "large")
+    small = whole.join(large, "component", "left_anti")
+    rest = whole.join(large, "component", "left_semi").select("page", "pid", "ord")
+    return job.write(_in_order(small), "in-order"), job.write(rest, "undecided")
 
 
 def _in_order(rows: DataFrame) -> DataFrame:
-    """The rows that stay, found one after the other; for at most ``LAST_ROWS`` rows."""
+    """The rows of each component that stay, found one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages: set[str] = set()
         ids: set[str] = set()
+        at = None
         for b in batches:
             stay = []
-            for page, pid in zip(b.column("page").to_pylist(), b.column("pid").to_pylist()):
+            columns = [b.column(c).to_pylist() for c in ("component", "page", "pid")]
+            for component, page, pid in zip(*columns):
+                if component != at:
+                    pages, ids, at = set(), set(), component
                 free = page not in pages and pid not in ids
                 stay.append(free)
                 if free:
@@ -113,4 +177,5 @@ def _in_order(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("ord").filter(pa.array(stay, pa.bool_()))], ["ord"])
 
     schema = T.StructType([rows.schema["ord"]])
-    return rows.select("ord", "page", "pid").coalesce(1).sortWithinPartitions("ord").mapInArrow(run, schema)
+    ordered = rows.select("component", "ord", "page", "pid").repartition("component")
+    return ordered.sortWithinPartitions("component", "ord").mapInArrow(run, schema)

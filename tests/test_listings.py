@@ -291,19 +291,45 @@ def _greedy(rows):
     return kept
 
 
-@pytest.mark.parametrize("last_rows", [0, 100_000])
-def test_chains_and_absent_keys(spark, monkeypatch, last_rows):
-    monkeypatch.setattr("shelfwatch.operators.dedup.LAST_ROWS", last_rows)
+@pytest.mark.parametrize("component_rows", [0, 10_000])
+def test_chains_and_absent_keys(spark, monkeypatch, component_rows):
+    monkeypatch.setattr("shelfwatch.operators.dedup.COMPONENT_ROWS", component_rows)
     chain = [(n, f"u{n // 2}", f"k{(n + 1) // 2}") for n in range(9)]
     assert _kept(spark, chain) == [0, 2, 4, 6, 8]
     absent = [(1, None, None), (2, None, ""), (3, None, "a"), (4, None, "a"), (5, "u", None), (6, "u#x", "b"), (7, None, "b")]
     assert _kept(spark, absent) == _greedy(absent) == [1, 2, 3, 5, 7]
 
 
-def test_any_rows_as_one_after_the_other(spark, monkeypatch):
+@pytest.mark.parametrize("component_rows", [0, 5, 10_000])
+def test_any_rows_as_one_after_the_other(spark, monkeypatch, component_rows):
+    monkeypatch.setattr("shelfwatch.operators.dedup.COMPONENT_ROWS", component_rows)
     rnd = random.Random(3)
     rows = [(n, rnd.choice(["a", "b", "c", "d", "e", None]), rnd.choice(["x", "y", "z", "", None])) for n in range(60)]
     assert _kept(spark, rows) == _greedy(rows)
+    # Sparse keys leave chains and trees of every shape, in any order of arrival.
+    rows = [(n, f"u{rnd.randrange(40)}", f"k{rnd.randrange(40)}") for n in range(60)]
+    assert _kept(spark, rows) == _greedy(rows)
+    # Each page with three rows, each later row on another's page: two before most rows.
+    rows = [(n, f"u{n // 3}", f"k{(n + 1) // 3 if n % 3 else n}") for n in range(90)]
+    assert _kept(spark, rows) == _greedy(rows)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """Each row shares a key with the one before: log2(n) steps, and no task sees the whole chain."""
+    from shelfwatch.operators import dedup
+
+    written = []
+    plain = dedup.Scratch.write
+    monkeypatch.setattr(dedup.Scratch, "write", lambda self, df, label, *a: written.append(label) or plain(self, df, label, *a))
+    n = F.col("id")
+    chain = spark.range(0, 100_000, numPartitions=4).select(
+        n.alias("ord"),
+        F.concat(F.lit("u"), F.floor(n / 2)).alias("url"),
+        F.concat(F.lit("k"), F.floor((n + 1) / 2)).alias("source_product_id"),
+    )
+    kept = dedup_two_keys(chain, "ord").kept
+    assert kept.filter("ord % 2 = 1").isEmpty() and kept.count() == 50_000
+    assert written.count("chains") <= 18 and written.count("placed") == 1 and "in-order" not in written
 
 
 def test_a_page_with_very_many_cards(spark):
