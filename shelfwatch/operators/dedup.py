@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,7 +119,7 @@ def _placed(rows: DataFrame) -> DataFrame:
 def _decided(placed: DataFrame, job: Scratch) -> DataFrame:
     """The rows that certainly stay: those without one before them, and those at an even place behind one."""
     heads = placed.filter("before = 0").select("page", "pid", "ord")
-    open_ = placed.filter("before = 1").select("ord", "only", F.lit(True).alias("odd"))
+    open_ = _shortened(placed.filter("before = 1").select("ord", "only"), job)
     closed: list[DataFrame] = []
     while not open_.isEmpty():
         known = reduce(DataFrame.unionByName, [open_, *closed])
@@ -140,6 +141,31 @@ def _decided(placed: DataFrame, job: Scratch) -> DataFrame:
     return job.write(heads.unionByName(more), "stay")
 
 
+def _shortened(rows: DataFrame, job: Scratch) -> DataFrame:
+    """ord, only and odd of the chains' rows, each led past the rows of its own batch.
+
+    Rows lie in order of arrival, so a chain mostly stays within a batch and only its
+    links between batches are left to joins.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ord_, only = (b.column(c).to_numpy().copy() for c in ("ord", "only"))
+            odd = np.ones(len(ord_), bool)
+            while len(ord_):
+                at = np.minimum(np.searchsorted(ord_, only), len(ord_) - 1)
+                here = ord_[at] == only
+                if not here.any():
+                    break
+                odd = np.where(here, odd ^ odd[at], odd)
+                only = np.where(here, only[at], only)
+            yield pa.RecordBatch.from_arrays([b.column("ord"), pa.array(only), pa.array(odd)], ["ord", "only", "odd"])
+
+    kind = rows.schema["ord"].dataType.simpleString()
+    ordered = rows.repartitionByRange("ord").sortWithinPartitions("ord")
+    return job.write(ordered.mapInArrow(run, f"ord {kind}, only {kind}, odd boolean"), "batches")
+
+
 def _by_component(rows: DataFrame, job: Scratch) -> tuple[DataFrame, DataFrame]:
     """Numbers of the rows that stay in small components, and the rows of large ones."""
     links = [

@@ -127,12 +127,15 @@ class PartedTable:
             rows = rows.join(latest.select(*self.keys), self.keys, "left_anti").unionByName(latest)
         return rows.filter(self.live) if self.live and not gone else rows
 
-    def write(self, state: TableState, rows: DataFrame, run: int, commit: int) -> tuple[list[Version], bool]:
+    def write(
+        self, state: TableState, rows: DataFrame, run: int, commit: int, counts: dict[int, int] | None = None
+    ) -> tuple[list[Version], bool]:
         """Write one row per changed key; returns the versions made and whether they hold all changes.
 
-        *rows* is read several times: pass a stored table.
+        *rows* is read several times: pass a stored table. *counts* are its rows by part,
+        if the caller has them.
         """
-        counts = self.parts_of(rows)
+        counts = self.parts_of(rows) if counts is None else counts
         anew = {
             p for p, n in counts.items() if state.pending(p) + n > SHARE * state.bases.get(p, (0, 0, 0))[2]
         }
@@ -165,7 +168,8 @@ class PartedTable:
                 whole = whole.filter(self.live)
             path = self.base_path(run)
             whole.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(path)
-            sizes = self._sizes(path, anew)
+            fresh_only = not self.live and not any(p in state.bases or state.pending(p) for p in anew)
+            sizes = {p: counts[p] for p in anew} if fresh_only else self._sizes(path, anew)
             versions += [Version(p, n, True) for p, n in sizes.items()]
         return versions, merge
 

@@ -229,7 +229,8 @@ class CatalogStore:
         state = self.log.state()
         products, ids = (state.get(t, TableState()) for t in (PRODUCTS, IDS))
         commit = self.log.last_commit() + 1
-        touched = set(self.product_table.parts_of(batch))
+        in_batch = self.product_table.parts_of(batch)
+        touched = set(in_batch)
         changed = job.write(
             changed_rows(
                 self.product_table.read(products, touched), batch, run_id, _instant(now),
@@ -253,7 +254,9 @@ class CatalogStore:
         for name, table, old, rows in (
             (PRODUCTS, self.product_table, products, changed), (IDS, self.id_table, ids, moved)
         ):
-            written[name], whole = table.write(old, rows, run_id, commit)
+            # One row per URL: the rows of the batch are the rows that change.
+            counts = in_batch if unique_urls and name == PRODUCTS else None
+            written[name], whole = table.write(old, rows, run_id, commit, counts)
             merged += [name] if whole else []
         self.log.append(run_id, STORED, "stored", now, commit=commit, versions=written, merged=merged)
         job.drop(changed, moved)
