@@ -1,24 +1,23 @@
 """License scans: TF-IDF cosine of headers and license files to templates, then inheritance.
 
 Everything is DataFrame expressions. Terms are runs of a-z, 0-9, dots and
-characters beyond ASCII after lower-casing. Document frequencies are counted over
-all texts, for the terms of the templates; any other term weighs like one that no
-text has. A header is any line of a text; its best template at ``header_cut`` or
-above is the file's license. A text that as a whole reaches ``file_cut`` is a
-license file: it speaks for its directory and all below. A file without a header
-inherits from the nearest directory above it, its own first, that holds a license
-file.
-
-Lines that cannot reach the cut are left out before any term is counted: by the
-Cauchy-Schwarz inequality a line needs one of a template's heaviest terms, those
-without which the rest of the template weighs too little. The list of these terms
-follows from the counted frequencies.
-
-Wrapped, commented and longer notices are found besides: windows of up to 16
-consecutive lines that hold terms, copyright statements left out, against the
-templates and ``NOTICES``, and whole texts against ``FULL_TEXTS``. Here every term
-has its counted document frequency. A window's line is its first. The best score of
-both ways counts.
+characters beyond ASCII after lower-casing; every term has its counted document
+frequency over all texts. A header is a line of a text, a window of up to 16
+consecutive lines that hold terms, or a longer paragraph (lines with at most one
+without terms between two) as a whole, with copyright statements left out; its best
+template or notice at ``header_cut`` or above is the file's license, and its line is
+the first. A text that as a whole reaches ``file_cut`` for a template, a full text or
+a full text's profile (its weightiest terms) is a license file; a text is compared
+if it allows the cut for a template or full text, or holds half of the terms of a
+profile that are no function words. A license file is under that license, and speaks
+for its directory and all below. A file without a license of its own inherits from the
+nearest directory above it, its own first, that holds a license file.
+
+Each text is cut into terms once for the terms of the templates. By the
+Cauchy-Schwarz inequality a unit needs one of a template's heaviest terms, and enough
+of them: only texts that allow the cut are read again, and only units whose cosine over
+known terms reaches it are scored in full. The frequencies of their other terms are
+aggregated on each task before they meet the terms that are wanted.
 
 A null or empty text has no license of its own; a null path is a file in the root.
 Texts under one path are versions of a file, and the best counts. Of equal scores
@@ -33,6 +32,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,7 +91,22 @@ Permission is hereby granted, free of charge, to any person obtaining a copy of
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
 ]
-#: Lines with terms that a window holds at most, and the sizes of windows.
+# Whole license files by their weightiest terms: how often each occurs in the published text.
+PROFILES = [
+    ("Apache-2.0", "the 100 or 69 of 67 and 46 to 40 license 35 work 34 works 19 derivative 18 such 18 shall 15 conditions 13 copyright 13 form 13 source 12 contributor 10 entity 10 licensor 10 mean 10 use 10 including 9 may 9"),
+    ("CC0-1.0", "the 66 and 55 of 50 or 45 to 29 work 26 rights 22 affirmer 17 copyright 11 related 11 s 11 including 9 commons 8 law 8 purpose 8 applicable 7 cc0 7 creative 7 other 7 use 7 waiver 7 without 7"),
+    ("GPL-2.0", "the 194 to 108 of 104 or 77 you 76 and 72 program 71 a 57 license 46 software 35 free 28 work 24 distribute 19 copy 18 other 18 terms 18 may 17 code 16 distribution 16 public 16 source 16 general 15"),
+    ("GPL-3.0", "the 345 of 221 to 192 a 184 or 151 you 128 license 102 work 97 program 52 source 42 covered 41 code 34 terms 32 may 31 copyright 30 other 30 software 27 an 26 convey 26 copy 25 public 25 version 25"),
+    ("LGPL-2.1", "the 349 of 160 library 140 to 140 a 123 and 91 you 88 license 76 work 58 free 36 software 35 copy 30 public 29 general 27 use 27 other 26 terms 26 version 25 code 23 distribute 23 must 23 may 21"),
+    ("LGPL-3.0", "the 114 of 60 a 44 library 34 version 27 license 25 work 24 combined 21 gnu 21 application 14 public 12 code 11 general 11 copy 10 gpl 10 an 9 corresponding 9 lesser 9 may 9 3 8 source 8 terms 8"),
+    ("MPL-1.1", "the 229 of 158 or 123 code 98 to 95 license 81 a 77 you 74 contributor 54 covered 42 such 41 version 39 initial 27 modifications 27 developer 26 which 25 original 24 rights 24 source 24 terms 24 may 21 must 20"),
+    ("MPL-2.0", "the 130 of 115 license 69 or 67 to 62 a 55 you 50 this 49 software 39 covered 36 contributor 35 such 32 form 29 code 21 source 20 terms 20 means 18 version 17 may 16 its 14 rights 14 licenses 13"),
+]
+# Function words among them: they tell nothing about a license by themselves.
+FUNCTION_WORDS = set(
+    "a and any are as be by for from if in is it not of on or that the this to under with you your".split()
+)
+#: Lines with terms in the windows that are taken at every place; longer paragraphs count as a whole.
 LONGEST = 16
 _COPYRIGHT = r"(?i)\b(?:copyright|\(c\))[^.\n]*[.]?"
 
@@ -104,7 +119,7 @@ def _terms_of(text: str) -> list[str]:
 
 
 def _terms(text: Column) -> Column:
-    bare = F.transform(F.split(F.lower(text), _BREAK), lambda t: F.regexp_replace(t, r"^\.+|\.+$", ""))
+    bare = F.transform(F.split(F.lower(text), _BREAK), lambda t: F.btrim(t, F.lit(".")))
     return F.filter(bare, lambda t: t != "")
 
 
@@ -112,25 +127,17 @@ def _quoted(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _weights(docs: DataFrame, text: str, templates: list[tuple[str, str]]) -> tuple[dict[str, float], float]:
-    """Inverse document frequency of the templates' terms, and of a term no text has."""
-    vocabulary = sorted({t for _, body in templates for t in _terms_of(body)})
-    found = F.array_distinct(F.filter(_terms(F.coalesce(text, F.lit(""))), lambda t: t.isin(vocabulary)))
-    # At most as many rows as the templates have terms, and one for all texts.
-    rows = (
-        docs.select(F.explode(F.concat(F.array(F.lit("")), found)).alias("term")).groupBy("term").count().collect()
-    )
-    count = {r["term"]: r["count"] for r in rows}
-    total = count.get("", 0)
-    weight = {t: math.log((1 + total) / (1 + count.get(t, 0))) + 1 for t in vocabulary}
-    return weight, math.log(1 + total) + 1
+def _counts(body: str, profile: bool) -> Counter:
+    """Terms of a template with their numbers."""
+    parts = body.split()
+    return Counter(dict(zip(parts[::2], map(int, parts[1::2])))) if profile else Counter(_terms_of(body))
 
 
-def _vectors(templates: list[tuple[str, str]], weight: dict[str, float]) -> list[dict[str, float]]:
+def _vectors(templates: list[Counter], weight: dict[str, float]) -> list[dict[str, float]]:
     """Unit vectors of the templates."""
     out = []
-    for _, body in templates:
-        raw = {t: n * weight[t] for t, n in Counter(_terms_of(body)).items()}
+    for counts in templates:
+        raw = {t: n * weight[t] for t, n in counts.items()}
         norm = math.sqrt(sum(w * w for w in raw.values()))
         out.append({t: w / norm for t, w in raw.items()})
     return out
@@ -184,73 +191,135 @@ def _bounded(
     return known.filter("heads or rest")
 
 
-def _longer(
-    files: DataFrame, path: str, text: str, notices: list[tuple[str, str]], counted: dict[str, float],
+def _promising(
+    units: DataFrame, keys: list[str], vocabulary: DataFrame, first: int, last: int, cut: float
+) -> DataFrame:
+    """Keys of the units that may reach *cut* for one of the templates from *first* to before *last*.
+
+    ``terms`` holds a unit's known terms. The others can only make it longer, so the
+    cosine over the known ones is never less than the true one.
+    """
+    counted = units.select(*keys, F.explode("terms").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
+    w = F.col("n") * F.col("weight")
+    sums = [F.sum(w * F.col("entries")[k]).alias(f"d{k}") for k in range(first, last)]
+    known = counted.join(F.broadcast(vocabulary), "term").groupBy(*keys).agg(F.sum(w * w).alias("square"), *sums)
+    most = F.greatest(F.lit(0.0), *[F.col(f"d{k}") for k in range(first, last)])
+    return known.filter(most >= 0.999 * cut * F.sqrt("square")).select(*keys)
+
+
+def _idf(total: int, count: int) -> float:
+    return math.log((1 + total) / (1 + count)) + 1
+
+
+def _windows(lines: DataFrame, key: list[str], known: list[str]) -> DataFrame:
+    """Windows at every place, and long paragraphs: first line, size, lines, and their known terms."""
+    # Windows over known terms only. One with a line that holds none at an end scores less
+    # than the window without that line.
+    hits = lines.select(*key, "line", F.filter("terms", lambda t: t.isin(known)).alias("hits"))
+    order = Window.partitionBy(*key).orderBy("line")
+    marked = (
+        hits.withColumn("gap", F.col("line") - F.lag("line").over(order))
+        .withColumn("paragraph", F.sum(F.when(F.col("gap") > 2, 1).otherwise(0)).over(order))
+        .withColumn("ahead", F.collect_list(F.struct("line", "hits")).over(order.rowsBetween(0, LONGEST - 1)))
+    )
+    windows = (
+        marked.filter(F.size("hits") > 0)
+        .select(*key, "line", "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("size"))
+        .filter(F.size(F.element_at("ahead", F.col("size"))["hits"]) > 0)
+        .select(*key, "line", "size", F.slice("ahead", F.lit(1), F.col("size")).alias("ahead"))
+    )
+    paragraphs = (
+        marked.groupBy(*key, "paragraph")
+        .agg(F.min("line").alias("line"), F.sort_array(F.collect_list(F.struct("line", "hits"))).alias("ahead"))
+        .withColumn("size", F.size("ahead"))
+        .filter(F.col("size") > LONGEST)
+        .select(*key, "line", "size", "ahead")
+    )
+    return windows.unionByName(paragraphs).select(
+        *key, "line", "size", F.col("ahead.line").alias("parts"), F.flatten("ahead.hits").alias("terms")
+    )
+
+
+def _scored(
+    files: DataFrame, path: str, text: str, templates: list[tuple[str, str]],
     header_cut: float, file_cut: float, job: Scratch,
-) -> DataFrame | None:
-    """path and best (minus, name, line) of windows of lines, and of whole texts under line -1."""
+) -> DataFrame:
+    """path and best (minus, name, line) of lines, windows and paragraphs, and of whole texts under line -1."""
     spark = files.sparkSession
-    bodies = [*notices, *FULL_TEXTS]
-    of = len(notices)
-    vectors = _vectors(bodies, counted)
-    vocabulary = _vocabulary(spark, counted, vectors)
-    known = sorted(counted)
+    notices = [(name, _counts(body, False)) for name, body in [*templates, *NOTICES]]
+    whole = [(name, _counts(body, False)) for name, body in [*templates, *FULL_TEXTS]]
+    whole += [(name, _counts(body, True)) for name, body in PROFILES]
+    of, bodies = len(notices), [*notices, *whole]
+    known = sorted({t for _, counts in bodies for t in counts})
     key = ["path", "version"]
-    named = files.filter(F.col(text).isNotNull()).select(
+    named = files.select(
         F.coalesce(path, F.lit("")).alias("path"), F.xxhash64(text).alias("version"), F.col(text).alias("text")
     )
-    found = named.select(*key, F.filter(_terms(F.col("text")), lambda t: t.isin(known)).alias("terms"))
-    able = job.write(_bounded(found, key, "terms", vocabulary, (of, header_cut), (len(FULL_TEXTS), file_cut)), "able")
-    if able.isEmpty():
-        return None
+    # The one pass over all texts: which known terms each has.
+    found = F.array_distinct(F.filter(_terms(F.coalesce("text", F.lit(""))), lambda t: t.isin(known)))
+    found = job.write(named.select(*key, found.alias("terms")), "found")
+    total = found.count()
+    # At most as many rows as the templates have terms.
+    rows = found.select(F.explode("terms").alias("term")).groupBy("term").count().collect()
+    count = {r["term"]: r["count"] for r in rows}
+    weight = {t: _idf(total, count.get(t, 0)) for t in known}
+    vectors = _vectors([counts for _, counts in bodies], weight)
+    vocabulary = _vocabulary(spark, weight, vectors)
+    texts_end = len(bodies) - len(PROFILES)
+    needed = sorted({*_needed(vectors[:of], header_cut), *_needed(vectors[of:texts_end], file_cut)})
+    maybe = found.filter(F.arrays_overlap("terms", F.array(*[F.lit(t) for t in needed])))
+    heads, rest = (of, header_cut), (texts_end - of, file_cut)
+    told = [sorted(counts.keys() - FUNCTION_WORDS) for _, counts in bodies[texts_end:]]
+    half = [F.size(F.array_intersect("terms", F.array(*[F.lit(t) for t in some]))) * 2 >= len(some) for some in told]
+    alike = found.filter(reduce(Column.__or__, half)).select(*key, F.lit(True).alias("alike")).distinct()
+    able = _bounded(maybe, key, "terms", vocabulary, heads, rest).join(alike, key, "full")
+    able = able.select(
+        *key, F.coalesce("heads", F.lit(False)).alias("heads"), F.coalesce("rest", "alike").alias("rest"),
+        F.coalesce("alike", F.lit(False)).alias("alike"),
+    )
+    able = job.write(able.select(*key, "heads", (F.col("rest") | F.col("alike")).alias("rest")), "able")
     texts = job.write(named.join(able, key).dropDuplicates(key), "able-texts")
-    bare = F.regexp_replace("unit", _COPYRIGHT, " ")
     lines = (
         texts.filter("heads").select(*key, F.posexplode(F.split("text", "\n")).alias("line", "unit"))
-        .select(*key, "line", _terms(bare).alias("terms"))
+        .select(*key, "line", _terms(F.regexp_replace("unit", _COPYRIGHT, " ")).alias("terms"))
         .filter(F.size("terms") > 0)
     )
-    # Windows over known terms only. One with a line that holds none at an end scores less
-    # than the window without that line.
-    hits = lines.select(*key, "line", F.filter("terms", lambda t: t.isin(known)).alias("hits"))
-    ahead = Window.partitionBy(*key).orderBy("line").rowsBetween(0, LONGEST - 1)
-    windows = (
-        hits.select(*key, "line", "hits", F.collect_list(F.struct("line", "hits")).over(ahead).alias("ahead"))
-        .filter(F.size("hits") > 0)
-        .select(*key, "line", "ahead", F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("size"))
-        .filter(F.size(F.element_at("ahead", F.col("size"))["hits"]) > 0)
-        .select(*key, "line", "size", F.slice("ahead", F.lit(1), F.col("size")).alias("ahead"))
-        .select(*key, "line", "size", F.col("ahead.line").alias("parts"), F.flatten("ahead.hits").alias("terms"))
-    )
     unit = [*key, "line", "size"]
-    some = _bounded(windows, [*unit, "parts"], "terms", vocabulary, (of, header_cut), (0, 1.0))
-    some = job.write(some.select(*unit, F.explode("parts").alias("part")), "windows")
-    parts = lines.withColumnRenamed("line", "part")
-    whole = texts.filter("rest").select(
+    windows = _promising(_windows(lines, key, known), [*unit, "parts"], vocabulary, 0, of, header_cut)
+    windows = job.write(windows.select(*unit, F.explode("parts").alias("part")), "windows")
+    all_ = texts.filter("rest").select(
         *key, F.lit(-1).alias("line"), F.lit(0).alias("size"), _terms(F.col("text")).alias("terms")
     )
-    units = some.join(parts, [*key, "part"]).select(*unit, "terms").unionByName(whole)
-    terms = job.write(
-        units.select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count("*").alias("n")),
-        "unit-terms",
-    )
+    hits = all_.withColumn("terms", F.filter("terms", lambda t: t.isin(known)))
+    some = job.write(_promising(hits, key, vocabulary, of, len(bodies), file_cut), "whole-texts")
+    all_ = all_.join(some, key, "left_semi")
+    parts = lines.withColumnRenamed("line", "part")
+    units = windows.join(parts, [*key, "part"]).select(*unit, "terms").unionByName(all_)
+    terms = units.select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term")
+    terms = job.write(terms.agg(F.count("*").alias("n")), "unit-terms")
     # Document frequencies of the other terms of these units, over all texts.
     others = job.write(terms.select("term").distinct().join(F.broadcast(vocabulary), "term", "left_anti"), "others")
-    seen = files.select(F.explode(F.array_distinct(_terms(F.col(text)))).alias("term"))
-    seen = seen.join(others, "term", "left_semi").groupBy("term").count()
-    total = files.count()
-    other = seen.select("term", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("count"))) + 1).alias("seen"))
-    weighed = terms.join(F.broadcast(vocabulary), "term", "left").join(job.write(other, "frequencies"), "term", "left")
+    seen = named.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).groupBy("term").count()
+    other = seen.join(others, "term").select(
+        "term", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("count"))) + 1).alias("seen")
+    )
+    frequencies = job.write(other, "frequencies")
+    weighed = terms.join(F.broadcast(vocabulary), "term", "left").join(frequencies, "term", "left")
     w = F.col("n") * F.coalesce("weight", "seen")
     sums = [F.sum(F.coalesce(w * F.col("entries")[k], F.lit(0.0))).alias(f"dot{k}") for k in range(len(bodies))]
     scored = weighed.groupBy(*unit).agg(F.sum(w * w).alias("square"), *sums)
+    # Scores are rounded, so that ties are ties whatever the order of the sums.
     options = [
         F.struct((-F.round(F.col(f"dot{k}") / F.sqrt("square"), 9)).alias("minus"), F.lit(name).alias("name"))
         for k, (name, _) in enumerate(bodies)
     ]
     best = F.when(F.col("line") < 0, F.array_min(F.array(*options[of:]))).otherwise(F.array_min(F.array(*options[:of])))
-    scored = scored.select("path", "line", best.alias("b"))
-    return scored.select("path", F.struct("b.minus", "b.name", "line").alias("best"))
+    scored = scored.select("path", "line", best.alias("b")).select(
+        "path", F.struct("b.minus", "b.name", "line").alias("best")
+    )
+    scored = job.write(scored, "scored")
+    job.drop(found, able, texts, windows, some, terms, others, frequencies)
+    return scored
 
 
 def scan(
@@ -262,58 +331,15 @@ def scan(
     templates: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Add each file's own license, whether it is a license file, and the license in force."""
-    spark = files.sparkSession
-    job = Scratch(spark, "licenses")
-    templates = templates or TEMPLATES
-    notices = [*templates, *NOTICES]
+    job = Scratch(files.sparkSession, "licenses")
     added = ["own_license", "own_score", "own_line", "is_license_file", "license", "inherited_from"]
-    counted, unseen = _weights(files, text, [*notices, *FULL_TEXTS])
-    weight = {t: counted[t] for _, body in templates for t in _terms_of(body)}
-    vectors = _vectors(templates, weight)
-
-    # Texts with a needed term; at any place of a text the terms stand between breaks.
-    words = "|".join(re.escape(t) for t in _needed(vectors, min(header_cut, file_cut)))
-    needed = rf"(?iu)(?<![a-z0-9\x{{80}}-\x{{10FFFF}}])(?:{words})(?![a-z0-9\x{{80}}-\x{{10FFFF}}])"
-    body = F.col(text)
-    some = files.filter(body.rlike(needed)).select(
-        F.coalesce(path, F.lit("")).alias("path"), F.xxhash64(text).alias("version"), body.alias("text")
-    )
-    some = job.write(some, "texts")
-    lines = some.select("path", "version", F.posexplode(F.split("text", "\n")).alias("line", "unit"))
-    units = lines.filter(F.col("unit").rlike(needed)).unionByName(
-        some.select("path", "version", F.lit(-1).alias("line"), F.col("text").alias("unit"))
-    )
-    terms = (
-        units.select("path", "version", "line", F.explode(_terms(F.col("unit"))).alias("term"))
-        .groupBy("path", "version", "line", "term")
-        .agg(F.count("*").alias("n"))
-    )
-    # A broadcast as large as the templates.
-    known = terms.join(F.broadcast(_vocabulary(spark, weight, vectors)), "term", "left")
-    w = F.col("n") * F.coalesce("weight", F.lit(unseen))
-    zero = F.lit(0.0)
-    sums = [
-        F.sum(F.coalesce(w * F.col("entries")[k], zero)).alias(f"dot{k}") for k in range(len(templates))
-    ]
-    scored = known.groupBy("path", "version", "line").agg(F.sum(w * w).alias("square"), *sums)
-    options = F.array(*[
-        F.struct((F.col(f"dot{k}") / F.sqrt("square")).alias("score"), F.lit(name).alias("name"))
-        for k, (name, _) in enumerate(templates)
-    ])
-    # Scores are rounded, so that ties are ties whatever the order of the sums.
-    options = F.transform(options, lambda o: F.struct((-F.round(o["score"], 9)).alias("minus"), o["name"].alias("name")))
-    best = F.array_min(options)
-    scored = scored.select(
-        "path", F.struct(best["minus"].alias("minus"), best["name"].alias("name"), F.col("line")).alias("best")
-    )
-    longer = _longer(files, path, text, notices, counted, header_cut, file_cut, job)
-    if longer is not None:
-        scored = scored.unionByName(longer)
+    scored = _scored(files, path, text, templates or TEMPLATES, header_cut, file_cut, job)
     header = F.when((F.col("best.line") >= 0) & (-F.col("best.minus") >= header_cut), F.col("best"))
     whole = F.when((F.col("best.line") < 0) & (-F.col("best.minus") >= file_cut), F.col("best"))
     own = job.write(
         scored.groupBy("path").agg(F.min(header).alias("header"), F.min(whole).alias("whole")), "own"
     )
+    job.drop(scored)
 
     holders = own.filter("whole is not null").select(
         directory(F.col("path")).alias("holder"), F.struct("whole.minus", "whole.name", "path").alias("best")
@@ -336,16 +362,16 @@ def scan(
     rows = files.select(
         *rest, F.coalesce(path, F.lit("")).alias("__path"), directory(F.col(path)).alias("__folder")
     )
-    rows = rows.join(own.withColumnRenamed("path", "__path"), "__path", "left").join(
-        inherited.withColumnRenamed("folder", "__folder"), "__folder", "left"
-    )
-    own_name = F.coalesce("header.name", "whole.name")
+    own = own.select(F.col("path").alias("__path"), F.col("header").alias("__header"), F.col("whole").alias("__whole"))
+    inherited = inherited.select(F.col("folder").alias("__folder"), F.col("from_above").alias("__above"))
+    rows = rows.join(own, "__path", "left").join(inherited, "__folder", "left")
+    own_name = F.coalesce("__whole.name", "__header.name")
     return rows.select(
         *rest,
         own_name.alias("own_license"),
-        F.round(-F.coalesce("header.minus", "whole.minus"), 6).alias("own_score"),
-        F.col("header.line").cast("bigint").alias("own_line"),
-        F.col("whole").isNotNull().alias("is_license_file"),
-        F.coalesce(own_name, F.col("from_above.name")).alias("license"),
-        F.when(own_name.isNull(), F.col("from_above.holder")).alias("inherited_from"),
+        F.round(-F.coalesce("__whole.minus", "__header.minus"), 6).alias("own_score"),
+        F.col("__header.line").cast("bigint").alias("own_line"),
+        F.col("__whole").isNotNull().alias("is_license_file"),
+        F.coalesce(own_name, F.col("__above.name")).alias("license"),
+        F.when(own_name.isNull(), F.col("__above.holder")).alias("inherited_from"),
     )

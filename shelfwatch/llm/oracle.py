@@ -73,15 +73,14 @@ total AS (SELECT count(*) AS docs FROM docs),
 df AS (SELECT term, count(DISTINCT doc_id) AS df FROM lines GROUP BY term),
 idf AS (
   SELECT term, ln((1 + docs) / (1 + coalesce(df, 0))) + 1 AS weight
-  FROM (SELECT DISTINCT term FROM tterm) LEFT JOIN df USING (term), total),
+  FROM (SELECT DISTINCT term FROM tterm UNION SELECT term FROM df) LEFT JOIN df USING (term), total),
 raw AS (SELECT k, name, term, count(*) * any_value(weight) AS w FROM tterm JOIN idf USING (term) GROUP BY ALL),
 norm AS (SELECT k, sqrt(sum(w * w)) AS norm FROM raw GROUP BY k),
 units AS (
   SELECT doc_id, line, term, n FROM lines
   UNION ALL SELECT doc_id, -1, term, sum(n) FROM lines GROUP BY doc_id, term),
 weighed AS (
-  SELECT doc_id, line, term, n * coalesce(weight, ln(1 + docs) + 1) AS w
-  FROM units LEFT JOIN idf USING (term), total),
+  SELECT doc_id, line, term, n * weight AS w FROM units JOIN idf USING (term)),
 length AS (SELECT doc_id, line, sqrt(sum(w * w)) AS length FROM weighed GROUP BY ALL),
 dots AS (
   SELECT doc_id, line, name, sum(u.w * t.w / norm) AS dot FROM weighed u JOIN raw t USING (term) JOIN norm USING (k)
@@ -102,9 +101,9 @@ above AS (
   FROM (SELECT DISTINCT folder FROM files) f
     JOIN holders ON holder = '' OR folder = holder OR starts_with(folder, holder || '/')
   GROUP BY folder)
-SELECT f.doc_id, path, coalesce(h.name, w.name) AS own_license,
-  round(coalesce(h.score, w.score), 6) AS own_score, line AS own_line, w.name IS NOT NULL AS is_license_file,
-  coalesce(h.name, w.name, a.name) AS license,
+SELECT f.doc_id, path, coalesce(w.name, h.name) AS own_license,
+  round(coalesce(w.score, h.score), 6) AS own_score, line AS own_line, w.name IS NOT NULL AS is_license_file,
+  coalesce(w.name, h.name, a.name) AS license,
   CASE WHEN h.name IS NULL AND w.name IS NULL THEN a.holder END AS inherited_from
 FROM files f LEFT JOIN header h USING (doc_id) LEFT JOIN whole w USING (doc_id) LEFT JOIN above a USING (folder)"""
 

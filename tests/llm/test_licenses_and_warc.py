@@ -5,8 +5,10 @@ from __future__ import annotations
 import gzip
 import hashlib
 import math
+import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,13 +26,10 @@ def _terms(text):
 
 def _plain(files):
     """path -> (own, score, line, is_file, license, from), by loops."""
-    vocabulary = {t for _, body in licenses.TEMPLATES for t in _terms(body)}
-    df = Counter(t for _, text in files for t in set(_terms(text)) & vocabulary)
-    unseen = math.log(1 + len(files)) + 1
-    weight = {t: math.log((1 + len(files)) / (1 + df[t])) + 1 for t in vocabulary}
+    df = Counter(t for _, text in files for t in set(_terms(text)))
 
     def vector(text):
-        return {t: n * weight.get(t, unseen) for t, n in Counter(_terms(text)).items()}
+        return {t: n * (math.log((1 + len(files)) / (1 + df[t])) + 1) for t, n in Counter(_terms(text)).items()}
 
     def best(text, cut):
         v = vector(text)
@@ -61,7 +60,7 @@ def _plain(files):
             holders[d] = min(holders.get(d, (0, "~", "")), (*whole, path))
     out = {}
     for path, (head, whole) in own.items():
-        name, score = (head or whole or (None, None))[1], (head or whole or (None,))[0]
+        name, score = (whole or head or (None, None))[1], (whole or head or (None,))[0]
         above, source = folder(path), None
         while name is None and source is None:
             if above in holders:
@@ -122,6 +121,43 @@ def test_full_texts_and_wrapped_headers(spark):
     assert {r["path"]: r["own_line"] for r in out}["g.c"] == 3
 
 
+PUBLIC = Path("/usr/share/common-licenses")
+NAMED = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+         "MPL-2.0": "MPL-2.0", "MPL-1.1": "MPL-1.1", "CC0-1.0": "CC0-1.0"}
+
+
+@pytest.mark.skipif(not PUBLIC.exists(), reason="no license texts on this machine")
+@pytest.mark.parametrize("others", [20, 400])
+def test_published_texts_are_license_files(spark, others):
+    words = ["the", "of", "and", "in", "that", "is", "render", "total", "price", "anander", "oftion", "thing"]
+    draw = random.Random(4)
+    prose = [(f"p/{i}.txt", " ".join(draw.choice(words) for _ in range(80)) + f" w{i}.\nrow {i}") for i in range(others)]
+    files = [(f"{n}/LICENSE", (PUBLIC / n).read_text()) for n in NAMED] + [(f"{n}/src/a.py", "import os") for n in NAMED]
+    out = licenses.scan(spark.createDataFrame(files + prose, "path string, text string")).collect()
+    got = {r["path"]: (r["license"], r["is_license_file"], r["inherited_from"]) for r in out}
+    for n, name in NAMED.items():
+        assert got[f"{n}/LICENSE"] == (name, True, None) and got[f"{n}/src/a.py"] == (name, False, n)
+    assert all(got[p] == (None, False, None) for p, _ in prose)
+
+
+def test_a_notice_of_many_short_lines(spark):
+    body = max((b for n, b in licenses.NOTICES if n == "Apache-2.0"), key=len).split()
+    lines = "\n".join("# " + " ".join(body[i : i + 2]) for i in range(0, len(body), 2))
+    assert lines.count("\n") > 2 * licenses.LONGEST
+    code = "\n".join(f"value{i} = reader{i}.open(name{i})" for i in range(900))
+    files = [("a.py", f"import os\n\n\n\n{lines}\n\n\n\n{code}"), ("b.py", code)]
+    got = {r["path"]: r for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["a.py"]["license"] == "Apache-2.0" and got["a.py"]["own_score"] > 0.99 and got["b.py"]["license"] is None
+
+
+def test_clashing_names_pass_through(spark):
+    names = ["header", "whole", "from_above", "folder", "holder", "version", "best", "own_path", "terms"]
+    files = spark.createDataFrame([("a/LICENSE", MIT), ("a/b.txt", "x")], "path string, text string")
+    out = licenses.scan(files.selectExpr("*", *[f"'{n}!' AS {n}" for n in names], "'q' AS license")).collect()
+    assert [r["license"] for r in out] == ["MIT", "MIT"]
+    assert all(r[n] == f"{n}!" for r in out for n in names)
+
+
 def test_no_python_in_the_license_plan(spark):
     rows = spark.createDataFrame([("a/LICENSE", MIT)], "path string, text string").cache()
     plan = licenses.scan(rows)._jdf.queryExecution().toString()
