@@ -69,7 +69,7 @@ def test_far_blocks_are_skipped(spark):
     df = spark.createDataFrame(rows, "vec_id long, v array<float>").selectExpr("v", "vec_id least", "1L n")
     job = Scratch(spark, "test-blocks")
     epsilon = (2 - 2 * 0.9) ** 0.5
-    blocks = job.write(ej._numbered(job.write(ej._blocks(df, 8, epsilon, 10, 3), "raw")), "blocks")
+    blocks = job.write(ej._numbered(job.write(ej._blocks(df, ej.principal(df, 8), epsilon, 10, 3), "raw")), "blocks")
     places = sorted(r["place"] for r in blocks.select("place").collect())
     assert places == list(range(len(places))) and len(places) >= 18
     pairs = {(r["pa"], r["pb"]) for r in ej._near_blocks(blocks, 8, epsilon, job, fan=2).collect()}
@@ -81,3 +81,29 @@ def test_empty_and_single(spark):
     assert ej.join(empty).count() == 0
     one = spark.createDataFrame([(4, [1.0, 2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in ej.join(one).collect()] == [(4, 0, 4, True)]
+
+
+def test_double_input_and_clashing_names(spark):
+    rows = [(1, [1e200, 1e200, 0.0]), (2, [1.0, 1.0, 0.001]), (3, [0.0, 0.0, 1e-300]), (4, [1.0, 1.0, 0.001 + 1e-12])]
+    names = "vec_id long, embedding array<double>, n long, v string, met long, component string, least int, kept int"
+    df = spark.createDataFrame([(k, v, 7, "v", 8, "c", 9, 0) for k, v in rows], names)
+    out = {r["vec_id"]: r for r in ej.join(df).collect()}
+    assert {k: (r["n_links"], r["component_id"], r["kept"]) for k, r in out.items()} == {
+        1: (2, 1, True), 2: (2, 1, False), 3: (0, 3, True), 4: (2, 1, False)}
+    assert all((r["n"], r["v"], r["met"], r["component"], r["least"]) == (7, "v", 8, "c", 9) for r in out.values())
+
+
+def test_few_pairs_of_the_given_table_are_multiplied_in_full():
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist()
+    x = np.unique(np.array(table, np.float32), axis=0)
+    unit = ej._unit(x.astype(float))
+    axes = np.linalg.eigh(np.cov(unit.T))[1][:, ::-1]
+    work = ej.BlockJoin(axes, 0.9, len(x), "<f4")
+    side, ones = work.side(x.tobytes()), np.ones(len(x), np.int64)
+    out = work.meet(0, side, ones, 0, side, ones)
+    assert work.compared < work.all_pairs / 20
+    cosines = unit @ unit.T
+    np.fill_diagonal(cosines, 0)
+    assert (0 if out is None else out[2].sum()) == (cosines >= 0.9).sum()
