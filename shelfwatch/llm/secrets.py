@@ -2,8 +2,12 @@
 
 Three patterns give the base spans (``assign``, ``access``, ``hex``). Two Markov
 models of byte pairs, one of random strings and one of ordinary identifiers, then
-judge every other long run of token characters by the log-likelihood ratio a
-transition; runs above the cut become ``random`` spans. Base spans always stay.
+judge every long run of token characters by the log-likelihood ratio a transition;
+runs above the cut become ``random`` spans. Base spans always stay. A run that an
+``access`` or ``hex`` span covers in part is judged as a whole, and of the pieces
+around the span those become ``random`` spans for which random is the likelier
+source, so no end of a mixed key is left. ``assign`` spans end a run, since what
+surrounds them is names.
 
 The models are trained from samples whose label is known, never from the long runs
 that they are to judge: random are strings drawn over the usual key alphabets and
@@ -24,6 +28,7 @@ import random as rand
 import re
 import string
 import zlib
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -116,8 +121,26 @@ def base_spans(body: bytes) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _overlaps(a: int, b: int, spans: list[tuple[int, int, int]]) -> bool:
-    return any(s < b and a < e for s, _, e in spans)
+def _covered(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What sorted spans cover, as disjoint sorted intervals."""
+    out: list[tuple[int, int]] = []
+    for s, _, e in spans:
+        if out and s <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], e)
+        else:
+            out.append((s, e))
+    return out
+
+
+def _outside(a: int, b: int, cover: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The pieces of a..b that disjoint sorted intervals leave; one search, then the intervals met."""
+    out, i = [], bisect_left(cover, a, key=lambda c: c[1])
+    while i < len(cover) and cover[i][0] < b:
+        if cover[i][0] > a:
+            out.append((a, cover[i][0]))
+        a = max(a, cover[i][1])
+        i += 1
+    return [*out, (a, b)] if a < b else out
 
 
 @dataclass
@@ -204,8 +227,8 @@ def ordinary_samples(words: list[str], n: int, seed: int = 2) -> list[bytes]:
 
 def short_words(body: bytes) -> set[bytes]:
     """Words of a text outside its base spans that are shorter than any run that is judged."""
-    spans = base_spans(body)
-    return {m.group() for m in _WORD.finditer(body) if not (spans and _overlaps(m.start(), m.end(), spans))}
+    cover = _covered(base_spans(body))
+    return {m.group() for m in _WORD.finditer(body) if _outside(*m.span(), cover) == [m.span()]}
 
 
 def fit(
@@ -241,15 +264,24 @@ def fit(
     return train(random_samples(max_samples), ordinary_samples(words, max_samples))
 
 
+def _random_pieces(body: bytes, model: Markov, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Random runs, without what base spans cover of them."""
+    names, cover = _covered([s for s in base if s[1] == 0]), _covered(base)
+    out = []
+    for m in _CANDIDATE.finditer(body):
+        for a, b in _outside(*m.span(), names):
+            if b - a < SHORTEST_RUN or model.judge(body[a:b]) <= model.cut:
+                continue
+            left = _outside(a, b, cover)
+            out += left if left == [(a, b)] else [(s, e) for s, e in left if model.judge(body[s:e]) > 0]
+    return out
+
+
 def all_spans(body: bytes, model: Markov | None) -> list[tuple[int, int, int]]:
     """Base spans and those the models add, in code points, by start and kind."""
     found = base_spans(body)
     if model is not None:
-        base = list(found)
-        for m in _CANDIDATE.finditer(body):
-            if model.judge(m.group()) > model.cut and not (base and _overlaps(m.start(), m.end(), base)):
-                found.append((m.start(), 3, m.end()))
-        found.sort()
+        found = sorted(found + [(s, 3, e) for s, e in _random_pieces(body, model, found)])
     if not found or body.isascii():
         return found
     # Code points before a byte: bytes that do not continue a character.
