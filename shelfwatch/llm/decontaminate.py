@@ -1,11 +1,13 @@
 """Benchmark decontamination: n-gram windows of test items found in training texts.
 
 The windows of the items (``width`` consecutive words; a shorter item is one
-window) become a hash set. Its tables are sent to every task when they are within
-``block_windows`` windows; a larger benchmark goes in blocks of that size, each
-scanning the texts once. A task rolls the hashes of all word windows of its texts
-in numpy, looks them up, compares the words of every hit with the item's, and
-marks the words inside true hits.
+window) become a hash set: arrays of sorted hashes and of the places of their words
+in one buffer, about 40 bytes a window. It is sent to every task and holds at most
+about ``block_windows`` windows; a larger benchmark goes in blocks of that size,
+each scanning the texts once and written before the next block is read, so driver
+and tasks hold one block at a time. A task rolls the hashes of all word windows of
+its texts in numpy, looks them up, compares the words of every hit with the item's,
+and marks the words inside true hits.
 
 Words are runs of digits, letters and characters beyond ASCII, with A-Z lower-cased.
 Null texts and items have no words. Items that share a window each count; an item
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.llm.textbatch import LOWER, WORD_BYTE, mix, prefix_sums, runs, span_hash, spans
+from shelfwatch.runtime import Scratch
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -54,48 +57,57 @@ def _words(low: np.ndarray, start: np.ndarray, end: np.ndarray, first: int, size
 
 
 class Windows:
-    """The windows of some items: by length, sorted hashes and the words behind each."""
+    """The windows of some items: by length, sorted hashes and where the words behind each stand."""
 
     #: Bits of the first look-up table.
     BITS = 22
 
     def __init__(self, items: list[tuple[str | None, str | None]], width: int):
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.items: dict[bytes, list[str]] = defaultdict(list)
-        hashes: dict[int, list[np.ndarray]] = defaultdict(list)
-        for item, text in items:
-            body = np.frombuffer((text or "").encode(), np.uint8)
-            low, start, end, _, word = _word_table(body, np.array([0, len(body)]))
-            if not len(word):
-                continue
-            size = min(width, len(word))
-            hashes[size].append(_window_hash(word, size))
-            for first in range(len(word) - size + 1):
-                owners = self.items[_words(low, start, end, first, size)]
-                if item is not None and item not in owners:
-                    owners.append(item)
-        for size, found in hashes.items():
+        self.ids = [item for item, _ in items]
+        texts = [(text or "").encode() for _, text in items]
+        at = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        self.low, start, end, row, word = _word_table(np.frombuffer(b"".join(texts), np.uint8), at)
+        self.start, self.end, self.row = start.astype(np.int64), end.astype(np.int64), row.astype(np.int32)
+        # Windows do not cross items; an item with fewer words than the width is one window.
+        words = np.bincount(row, minlength=len(items)) if len(items) else np.zeros(0, np.int64)
+        sizes = np.minimum(words, width)
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            rolled = _window_hash(word, size)
+            first = np.flatnonzero((row[: len(rolled)] == row[size - 1 :]) & (sizes[row[: len(rolled)]] == size))
+            first = first[np.argsort(rolled[first], kind="stable")]
+            known = rolled[first]
             table = np.zeros(1 << self.BITS, bool)
-            known = np.unique(np.concatenate(found))
             table[(known >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
-            self.by_size[size] = table, known
+            self.by_size[size] = table, known, first
+
+    def owners(self, size: int, rolled: np.uint64, words: bytes) -> list[int]:
+        """The items that hold these very words as a window of *size*."""
+        _, known, first = self.by_size[size]
+        a, b = np.searchsorted(known, rolled, "left"), np.searchsorted(known, rolled, "right")
+        return [
+            int(self.row[p]) for p in first[a:b].tolist() if _words(self.low, self.start, self.end, p, size) == words
+        ]
 
     def scan(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, set[str], np.ndarray]]:
         """For each text: its words, how many are hit, the items found, hit byte spans."""
         low, start, end, row, word = _word_table(data, at)
         change = np.zeros(len(word) + 1, np.int64)
         found: dict[int, set[str]] = defaultdict(set)
-        for size, (table, known) in self.by_size.items():
+        met: dict[bytes, list[int]] = {}  # of these texts, so no larger than they are
+        for size, (table, known, _) in self.by_size.items():
             rolled = _window_hash(word, size)
             maybe = np.flatnonzero(table[(rolled >> np.uint64(64 - self.BITS)).astype(np.int64)])
             maybe = maybe[row[maybe] == row[maybe + size - 1]]
             place = np.minimum(np.searchsorted(known, rolled[maybe]), len(known) - 1)
             for first in maybe[known[place] == rolled[maybe]].tolist():
-                owners = self.items.get(_words(low, start, end, first, size))
-                if owners is not None:  # the words are the same, not only their hash
+                words = _words(low, start, end, first, size)
+                if words not in met:
+                    met[words] = self.owners(size, rolled[first], words)
+                if met[words]:  # the words are the same, not only their hash
                     change[first] += 1
                     change[first + size] -= 1
-                    found[int(row[first])].update(owners)
+                    found[int(row[first])].update(self.ids[k] for k in met[words] if self.ids[k] is not None)
         hit = np.cumsum(change[:-1]) > 0
         bounds = np.searchsorted(row, np.arange(len(at)))
         for i in range(len(at) - 1):
@@ -135,17 +147,24 @@ def find(
     item: str = "item_id",
     item_text: str = "text",
     width: int = 10,
-    block_windows: int = 4_000_000,
+    block_windows: int = 2_000_000,
     keep_text: bool = False,
 ) -> DataFrame:
     """Add the number of words, of hit words, the item ids found, and hit spans in bytes.
 
-    With one block nothing is shuffled. Several blocks chain: each adds its spans to
-    those found before, and the number of hit words comes from their union.
+    With one block nothing is shuffled or written. Of several blocks each adds its
+    spans to those found before, the number of hit words comes from their union, and
+    the rows are written between blocks.
     """
     added = ["n_words", "n_hit", "items", "hit_spans"]
     frame = docs.drop(*[c for c in added if c in docs.columns])
+    job, last = Scratch(docs.sparkSession, "decontaminate"), None
     for k, rows in enumerate(_blocks(benchmark, item, item_text, width, block_windows)):
+        if k:
+            written = job.write(frame, "block")
+            if last is not None:
+                job.drop(last)
+            frame = last = written
         frame = _scan(frame, Windows(rows, width), text, first=k == 0)
     return frame if keep_text else frame.drop(text)
 
