@@ -1,9 +1,11 @@
 """Token counts through a digest cache.
 
 A text's digest, after the normal form that cannot change its count (null becomes
-empty), is joined to the counts stored under the digest of the tokenizer. Only
-distinct texts without a stored count are encoded, each once, and their counts
-are appended to the cache. A row then finds its count by its digest.
+empty), is joined to the counts stored under the digest of the tokenizer. The
+distinct digests of a call are compared with the stored ones, without the texts;
+only texts whose digest is missing are then encoded, each once, and their counts
+are appended to the cache. A row finds its count by its digest. A call reads the
+cache's narrow rows and writes in proportion to its own documents.
 
 The cache is a Parquet folder that outlives a run: ``<cache>/tokenizer=<digest>``,
 one row a text. There is one writer at a time; a run that dies leaves the cache
@@ -85,14 +87,22 @@ def count_tokens(
     body = F.coalesce(text, F.lit(""))
     digest = F.unhex(F.sha2(body.cast("binary"), 256))
 
-    missing = docs.select(digest.alias("digest"), body.alias("body"))
+    texts, counts = docs.select(digest.alias("digest"), body.alias("body")), None
     known = store.rows()
     if known is not None:
-        missing = missing.join(known, "digest", "left_anti")
+        wanted = job.write(docs.select(digest.alias("digest")).distinct(), "wanted")
+        # Only counts of these digests are folded and kept for the rows below.
+        stored = known.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+        counts = job.write(stored, "stored")
+        misses = job.write(wanted.join(counts, "digest", "left_anti"), "misses")
+        job.drop(wanted)
+        texts = texts.join(misses, "digest", "left_semi")
     # Copies fold before the shuffle; each distinct text goes to one task.
-    store.append(_counted(missing.groupBy("digest").agg(F.first("body").alias("body")), tokenizer))
+    fresh = _counted(texts.groupBy("digest").agg(F.first("body").alias("body")), tokenizer)
+    fresh = job.write(fresh, "fresh")
+    store.append(fresh)
+    counts = fresh if counts is None else counts.unionByName(fresh)
 
-    counts = job.write(store.rows().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     rest = [c for c in docs.columns if c != text and c not in added]
     rows = docs.select(
         *rest, F.octet_length(body).cast("bigint").alias("n_bytes"), digest.alias("__digest")
