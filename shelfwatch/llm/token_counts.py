@@ -87,7 +87,7 @@ def count_tokens(
     body = F.coalesce(text, F.lit(""))
     digest = F.unhex(F.sha2(body.cast("binary"), 256))
 
-    texts, counts = docs.select(digest.alias("digest"), body.alias("body")), None
+    texts, counts, misses = docs.select(digest.alias("digest"), body.alias("body")), None, None
     known = store.rows()
     if known is not None:
         wanted = job.write(docs.select(digest.alias("digest")).distinct(), "wanted")
@@ -96,10 +96,13 @@ def count_tokens(
         counts = job.write(stored, "stored")
         misses = job.write(wanted.join(counts, "digest", "left_anti"), "misses")
         job.drop(wanted)
+    # Copies fold before the shuffle; each distinct text goes to one task. A few misses are
+    # broadcast below the fold, so that known texts stay where they are; many are joined
+    # to the folded texts by the same shuffle.
+    texts = texts.groupBy("digest").agg(F.min("body").alias("body"))
+    if misses is not None:
         texts = texts.join(misses, "digest", "left_semi")
-    # Copies fold before the shuffle; each distinct text goes to one task.
-    fresh = _counted(texts.groupBy("digest").agg(F.first("body").alias("body")), tokenizer)
-    fresh = job.write(fresh, "fresh")
+    fresh = job.write(_counted(texts, tokenizer), "fresh")
     store.append(fresh)
     counts = fresh if counts is None else counts.unionByName(fresh)
 
