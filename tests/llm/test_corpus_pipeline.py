@@ -30,7 +30,7 @@ def con():
 
 def test_every_query_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("name", [n for n in sorted(oracle_sql()) if n.startswith("op") and n[2].isdigit()])
