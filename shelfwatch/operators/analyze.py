@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.price import money, price_band, round_half_even
-from shelfwatch.functions.product import star_label
+from shelfwatch.functions.product import availability_status, star_label
 from shelfwatch.operators.ranks import exact_median
 from shelfwatch.runtime import materialize
 from shelfwatch.schema import PRICE_BANDS
@@ -40,6 +40,30 @@ def summarize(df: DataFrame) -> DataFrame:
     )
 
 
+def summarize_tally(tally: DataFrame) -> DataFrame:
+    """:func:`summarize` from counts: each row of *tally* stands for ``n`` products."""
+    price, rating, n = F.col("price"), F.col("rating"), F.col("n")
+
+    def counted(value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0))
+
+    return tally.groupBy(
+        "category",
+        "currency",
+        availability_status(F.col("availability")).alias("availability_status"),
+        F.rint("rating").alias("stars"),
+        price_band(price).alias("band"),
+    ).agg(
+        F.sum(n).alias("n"),
+        counted(price).alias("n_price"),
+        F.sum(price * n).alias("sum_price"),
+        F.min(price).alias("min_price"),
+        F.max(price).alias("max_price"),
+        counted(rating).alias("n_rating"),
+        F.sum(rating * n).alias("sum_rating"),
+    )
+
+
 def _total(name: str) -> Column:
     return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
 
@@ -49,13 +73,14 @@ def _mean(total: str, count: str) -> Column:
 
 
 def kpis(
-    df: DataFrame, summary: DataFrame | None = None, unique_urls: bool = False
+    df: DataFrame, summary: DataFrame | None = None, unique_urls: bool = False, weight: str | None = None
 ) -> DataFrame:
     """The headline figures as one row; an empty input gives zeros and nulls.
 
     Each distinct count and the median is an aggregation of its own over the one
     column it needs, so nothing is expanded and no value set sits in one task.
-    With *unique_urls* (cleaned rows) counting rows is enough for the URLs.
+    With *unique_urls* (cleaned rows) counting rows is enough for the URLs. With
+    *weight* a row stands for so many products; pass its *summary* then, too.
     """
     if summary is None:
         # Three passes follow; the columns they read are worked out once.
@@ -79,7 +104,7 @@ def kpis(
     else:
         urls = df.select("url").distinct().agg(F.count("url").alias("unique_products"))
     shelves = summary.select("category").distinct().agg(F.count("category").alias("categories"))
-    middle = exact_median(df, "price").select(money(F.col("median")).alias("median_price"))
+    middle = exact_median(df, "price", weight).select(money(F.col("median")).alias("median_price"))
     pieces = [totals, urls, shelves, most_common_currency(summary), middle]
     rows = pieces[0]
     for piece in pieces[1:]:

@@ -98,6 +98,13 @@ def _standardized(df: DataFrame) -> DataFrame:
     ).drop("_raw", "_stars", "_label", "_amount")
 
 
+def standardize(df: DataFrame) -> DataFrame:
+    """The per-row part of :func:`clean`, which a stream can go through, too: all rows stay."""
+    full, _ = add_missing_columns(normalize_headers(df))
+    keyed = full.withColumn("url", clean_url(F.col("url").cast("string")))
+    return _standardized(keyed).drop("_bad_price", "_bad_rating", "_relabelled")
+
+
 def clean(df: DataFrame, order: str) -> Cleaned:
     """Clean raw records; *order* names the unique column giving arrival order.
 

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.price import round_half_even
-from shelfwatch.schema import PRODUCT_VALUES, SNAPSHOT_SCHEMA
+from shelfwatch.schema import PRODUCT_VALUES, SNAPSHOT_SCHEMA, TALLY_KEYS
 
 #: The column of :func:`changed_rows` with the id a product had before.
 OLD_ID = "old_product_id"
+#: The column of :func:`changed_rows` with the counted values a product had before; null if it is new.
+OLD_VALUES = "old_values"
 
 
 def previous_prices(history: DataFrame, run_id: int, *order: str) -> DataFrame:
@@ -77,6 +79,9 @@ def _laid_over(old: DataFrame, new: DataFrame, run_id: int, now: Column, how: st
     return old.join(new, F.col("old.url") == F.col("new.url"), how).select(
         *[columns[name].alias(name) for name in SNAPSHOT_SCHEMA.names],
         F.col("old.source_product_id").alias(OLD_ID),
+        F.when(F.col("old.url").isNotNull(), F.struct(*[F.col(f"old.{c}").alias(c) for c in TALLY_KEYS])).alias(
+            OLD_VALUES
+        ),
     )
 
 
@@ -91,13 +96,13 @@ def upsert(
     the history. Give *order* if a URL may occur more than once in the batch; the
     last row then wins.
     """
-    return _laid_over(snapshot, _one_row_per_url(batch, order), run_id, now, "full").drop(OLD_ID)
+    return _laid_over(snapshot, _one_row_per_url(batch, order), run_id, now, "full").drop(OLD_ID, OLD_VALUES)
 
 
 def changed_rows(
     snapshot: DataFrame, batch: DataFrame, run_id: int, now: Column, order: str | None = None
 ) -> DataFrame:
-    """The rows of :func:`upsert` that the batch touches, with the id their URL had before.
+    """The rows of :func:`upsert` that the batch touches, with the id and values their URL had before.
 
     Without *order* each row of the batch is one row, so a URL that occurs twice shows.
     """

@@ -44,9 +44,12 @@ def values_at_ranks(
     value: str,
     ranks: Callable[[Column], Column],
     coarse: Callable[[Column], Column] = octave_slice,
+    weight: str | None = None,
 ) -> DataFrame:
     """The values at the 0-based *ranks* (an array made from the row count).
 
+    With *weight*, a column of whole numbers, a row stands for so many rows.
+
     Equal values are counted together first. Passes over the counts then narrow
     each rank to a coarse slice, and to one of 65 536 equal parts of what is left,
     until few distinct values are; only those are put in order. The counts are
@@ -57,7 +60,7 @@ def values_at_ranks(
     counted = job.write(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).alias("v"))
-        .agg(F.count("*").alias("n"))
+        .agg((F.sum(weight) if weight else F.count("*")).alias("n"))
         .withColumn("slice", coarse(F.col("v"))),
         "counted",
     )
@@ -113,11 +116,12 @@ def _within(counted: DataFrame, targets: DataFrame) -> DataFrame:
     return counted.join(sent, "slice").filter(F.col("v").between(F.col("low"), F.col("high")))
 
 
-def exact_median(df: DataFrame, value: str) -> DataFrame:
+def exact_median(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
     """One row ``median``: the middle value or the mean of the two middle ones."""
     middle = values_at_ranks(
         df,
         value,
         lambda n: F.array(F.floor((n - 1) / 2).cast("bigint"), F.floor(n / 2).cast("bigint")),
+        weight=weight,
     )
     return middle.agg(F.avg("value").alias("median"))

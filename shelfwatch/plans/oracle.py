@@ -177,6 +177,8 @@ stored AS (
     arg_max(p.price, (p.g, p.event_id)) FILTER (p.price IS NOT NULL AND p.g < l.g) AS prior_price
   FROM latest l JOIN (SELECT url, price, g AS g, event_id FROM placed) p ON p.url = l.url GROUP BY l.url)"""
 
+_DAILY = _STORED.format(f"greatest(run_id - {_LAST} + 4, 1)", "g")
+
 _CHANGES = f"""SELECT c.name, c.category, p.previous_price, c.price AS current_price,
     round_even((c.price - p.previous_price) * 100, 0) / 100 AS change
   FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY event_id) AS rn FROM obs
@@ -247,6 +249,11 @@ def _band(column: str) -> str:
     return _BAND.format(column)
 
 
+def _shelf(rows: str) -> str:
+    """The rows of a table of products as the analytics read them."""
+    return f"cat AS (SELECT *, {_STATUS.format('availability')} AS availability_status FROM {rows})"
+
+
 def _labels(pairs: list[tuple[str, str]], source: str) -> str:
     rows = [
         f"SELECT {pos}::BIGINT AS pos, '{label}' AS label, {value} AS value FROM {source}"
@@ -469,7 +476,28 @@ GROUP BY user_id HAVING count(*) > 1""",
   WHERE s.touched_run = 1 AND s.price IS NOT NULL AND s.prior_price IS NOT NULL) GROUP BY category
 UNION ALL SELECT 'known before', count(*), format('{:.2f}', sum(price))::DOUBLE FROM (
   SELECT arg_max(price, event_id) AS price FROM placed WHERE g = 1 AND price IS NOT NULL GROUP BY url)""",
-    "small_batches": _with(_OBS, _STORED.format(f"greatest(run_id - {_LAST} + 4, 1)", "g")) + "SELECT * FROM stored",
+    "small_batches": _with(_OBS, _DAILY) + "SELECT * FROM stored",
+    "store_kpis": _with(_OBS, _DAILY, _shelf("latest"), _KPIS) + "SELECT * FROM kpi",
+    "store_categories": _with(_OBS, _DAILY, _shelf("latest"), _SUMMARY) + "SELECT * FROM agg",
+    "store_distributions": _with(_OBS, _DAILY)
+    + "\nUNION ALL ".join(
+        f"""SELECT '{at}' AS at, * FROM (
+  WITH {_shelf(rows)}
+  SELECT 'availability' AS "table", availability_status AS label, count(*) AS n FROM cat GROUP BY ALL
+  UNION ALL SELECT 'rating', round_even(rating, 0)::BIGINT || ' star', count(*) FROM cat
+    WHERE rating IS NOT NULL GROUP BY round_even(rating, 0)
+  UNION ALL SELECT 'price', band, n FROM (
+    SELECT price_bucket AS band, product_count AS n FROM ({_band_counts("cat")})))"""
+        for at, rows in (
+            ("before", """(SELECT * FROM (SELECT * EXCLUDE rn, row_number() OVER (
+    PARTITION BY url ORDER BY g DESC, event_id DESC) AS rn FROM (SELECT *, 0 AS rn FROM placed WHERE g < 4)) WHERE rn = 1)"""),
+            ("after", "latest"),
+        )
+    ),
+    "run_clock": _with(_OBS)
+    + f"""SELECT run_id, t AS started, t AS first, t AS last, t AS touched, n FROM (
+  SELECT run_id, '2024-05-0' || run_id || ' 12:34:56' AS t, n FROM (
+    SELECT CASE WHEN run_id = {_LAST} THEN 2 ELSE 1 END::BIGINT AS run_id, count(DISTINCT url) AS n FROM obs GROUP BY 1))""",
     "id_clashes": _with(_OBS)
     + """SELECT 'unique source_product_id' AS "constraint", source_product_id AS key, 2::BIGINT AS n FROM obs
 WHERE category = 'error' GROUP BY source_product_id""",
@@ -587,6 +615,7 @@ FROM obs""",
     "monitor_batches": _RUN_CHANGES,
     "monitor_stream": _RUN_CHANGES,
     "monitor_restart": _RUN_CHANGES,
+    "moves_stream": _RUN_CHANGES,
     "monitor_limited": _with(_OBS)
     + f"""SELECT 1::BIGINT AS id, 'success' AS status, count(*) AS records_found, count(*) AS records_accepted,
   count(DISTINCT url) AS products FROM obs WHERE run_id < {_LAST}""",

@@ -27,11 +27,12 @@ from shelfwatch.plans import adapters as ad
 from shelfwatch.plans.collect import collect_products
 from shelfwatch.plans.run import report_tables, run_batch, run_status
 from shelfwatch.plans.store import FINISHED, STARTED, STORED, CatalogStore, ConstraintError, summarize_runs
-from shelfwatch.runtime import scratch_dir
+from shelfwatch.runtime import materialize, scratch_dir
 from shelfwatch.schema import RECORD_COLUMNS, RUN_COUNTERS, SNAPSHOT_SCHEMA
 from shelfwatch.sources import listings as li
 from shelfwatch.sources.records import normalize_headers, read_mixed_json, read_records, to_records
 from shelfwatch.streaming.monitor import Monitor
+from shelfwatch.streaming.moves import write_moves
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -549,13 +550,70 @@ def late_run_prices(spark: SparkSession, folder: str) -> DataFrame:
     return moved.unionByName(known.withColumn("category", F.lit("known before")))
 
 
+def _daily(spark: SparkSession, folder: str) -> CatalogStore:
+    """A catalogue of all days but three, and three runs of one day each."""
+    rows = ad.observations(spark, folder)
+    last, day = _last_run(rows), F.col("run_id")
+    days = [(k + 2, day == last - 2 + k) for k in range(3)]
+    return _as_runs(spark, rows, [(1, day < last - 2), *days])
+
+
 @query
 def small_batches(spark: SparkSession, folder: str) -> DataFrame:
     """A base and three days of changes laid over it."""
+    return _daily(spark, folder).snapshot().select(*_KNOWN)
+
+
+@query
+def store_kpis(spark: SparkSession, folder: str) -> DataFrame:
+    """The headline figures of the stored catalogue, from the counts its runs kept."""
+    return _daily(spark, folder).kpis()
+
+
+@query
+def store_categories(spark: SparkSession, folder: str) -> DataFrame:
+    return an.by_category(_daily(spark, folder).summary())
+
+
+@query
+def store_distributions(spark: SparkSession, folder: str) -> DataFrame:
+    """Availability, ratings and price bands before the last run and after it."""
+    store = _daily(spark, folder)
+    parts = []
+    for when, before in (("before", 4), ("after", None)):
+        summary = materialize(store.summary(before), "summary")
+        for name, table in (
+            ("availability", an.availability_breakdown(summary)),
+            ("rating", an.rating_distribution(summary)),
+            ("price", an.price_distribution(summary)),
+        ):
+            label, n = table.columns
+            parts.append(
+                table.select(
+                    F.lit(when).alias("at"), F.lit(name).alias("table"), F.col(label).alias("label"),
+                    F.col(n).cast("bigint").alias("n"),
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def run_clock(spark: SparkSession, folder: str) -> DataFrame:
+    """Every time a run writes is the one its clock showed at the start, whole seconds of UTC."""
+    store = CatalogStore(spark, _scratch(spark, "catalog"))
     rows = ad.observations(spark, folder)
-    last, day = _last_run(rows), F.col("run_id")
-    days = [(k + 2, day == last - 2 + k) for k in range(3)]
-    return _as_runs(spark, rows, [(1, day < last - 2), *days]).snapshot().select(*_KNOWN)
+    last = _last_run(rows)
+    for part, day in ((F.col("run_id") < last, 1), (F.col("run_id") == last, 2)):
+        run_batch(store, rows.filter(part), "event_id", now=datetime(2024, 5, day, 12, 34, 56, tzinfo=timezone.utc))
+    seen = store.history().groupBy("run_id").agg(
+        F.min("captured_at").alias("first"), F.max("captured_at").alias("last"), F.count("*").alias("n")
+    )
+    runs = store.runs().select(F.col("id").alias("run_id"), F.col("started_at").alias("started"))
+    touched = store.snapshot().groupBy(F.col("touched_run").alias("run_id")).agg(
+        F.min("last_seen_at").alias("touched")
+    )
+    times = ("started", "first", "last", "touched")
+    return runs.join(seen, "run_id").join(touched, "run_id").withColumns({c: _utc_text(F.col(c)) for c in times})
 
 
 @query
@@ -818,6 +876,15 @@ def _landed(spark: SparkSession, folder: str, root: str) -> tuple[DataFrame, Dat
     return rows, stream.parquet(f"{root}/landing")
 
 
+@query
+def moves_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The price changes of two micro-batches, from state kept by URL."""
+    root = _scratch(spark, "moves")
+    _, stream = _landed(spark, folder, root)
+    write_moves(stream, "event_id", f"{root}/moves", f"{root}/offsets").awaitTermination()
+    return spark.read.parquet(f"{root}/moves").drop("url")
+
+
 class _FailsOnce(CatalogStore):
     """A store whose first write fails, as a lost connection would make it."""
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwatch.operators import analyze
 from shelfwatch.operators.prices import (
     changed_rows,
     id_changes,
@@ -27,11 +28,12 @@ from shelfwatch.operators.prices import (
 )
 from shelfwatch.plans.parted import PartedTable, TableState
 from shelfwatch.plans.runlog import FINISHED, SEGMENT, STARTED, STORED, RunLog, summarize_runs, utc_now
-from shelfwatch.runtime import Scratch, remove_folder
+from shelfwatch.plans.tallies import Tallies, tally_changes, tally_rows, total
+from shelfwatch.runtime import Scratch, materialize, remove_folder
 from shelfwatch.schema import HISTORY_SCHEMA, ID_SCHEMA, PRODUCT_COLUMNS, SNAPSHOT_SCHEMA
 
 DATASET = "dataset"
-PRODUCTS, IDS = "products", "ids"
+PRODUCTS, IDS, TALLIES = "products", "ids", "tallies"
 
 
 class ConstraintError(ValueError):
@@ -49,10 +51,11 @@ class CatalogStore:
     *parts* by a hash of ``url``, and what a run changes is laid over them (see
     :mod:`shelfwatch.plans.parted`), so a run writes in proportion to its batch. A
     second table, parted by a hash of the id, tells which product has an id; only
-    ids that are new or have moved are looked up there. The number of parts is fixed
-    when the store is made: take one that gives parts of a few hundred megabytes. With
-    *keep* the versions that no snapshot of the last *keep* stored runs needs are
-    deleted after each run.
+    ids that are new or have moved are looked up there. Counts of products by their
+    values (:mod:`shelfwatch.plans.tallies`) give the figures of the whole catalogue
+    without reading it. The number of parts is fixed when the store is made: take one
+    that gives parts of a few hundred megabytes. With *keep* the versions that no
+    snapshot of the last *keep* stored runs needs are deleted after each run.
     """
 
     def __init__(
@@ -90,6 +93,10 @@ class CatalogStore:
         keys = ["source_product_id", "url"]
         return PartedTable(self.spark, self.root, IDS, ID_SCHEMA, keys, self.parts, live="live")
 
+    @cached_property
+    def tallies(self) -> Tallies:
+        return Tallies(self.spark, self.root)
+
     # -- run log ---------------------------------------------------------------
     def start_run(
         self, run_id: int | None = None, now: datetime | None = None, key: str | None = None
@@ -148,7 +155,7 @@ class CatalogStore:
         runs = [r["run_id"] for r in self.log.stored_runs().filter(F.col("commit") <= event["commit"]).collect()]
         last = self.log.state(event)
         old = []
-        for name, table in ((PRODUCTS, self.product_table), (IDS, self.id_table)):
+        for name, table in ((PRODUCTS, self.product_table), (IDS, self.id_table), (TALLIES, self.tallies)):
             state = last.get(name, TableState())
             state.add(event["commit"], before, self.log.versions_of(event, name), name in event["merged"])
             needed = {table.base_path(run, part) for part, (_, run, _) in state.bases.items()}
@@ -178,6 +185,22 @@ class CatalogStore:
     def count_products(self) -> int:
         return self.product_count().first()["products"]
 
+    # -- figures of the whole catalogue ----------------------------------------
+    def tally(self, before: int | None = None) -> DataFrame:
+        """Products per combination of counted values, now or before a run was stored."""
+        state = self._state(TALLIES, before)
+        # A store made before there were counts gets them with its next run.
+        return self.tallies.read(state) if state.bases else tally_rows(self.snapshot(before))
+
+    def summary(self, before: int | None = None) -> DataFrame:
+        """What the tables of :mod:`shelfwatch.operators.analyze` are sums over."""
+        return analyze.summarize_tally(self.tally(before))
+
+    def kpis(self, before: int | None = None) -> DataFrame:
+        """The headline figures of the catalogue as one row."""
+        tally = materialize(self.tally(before), "tally")
+        return analyze.kpis(tally, analyze.summarize_tally(tally), unique_urls=True, weight="n")
+
     def history(self) -> DataFrame:
         """All observations of committed runs, with ``run_id``."""
         return self._committed_history().drop("commit")
@@ -227,7 +250,7 @@ class CatalogStore:
             return self._rows_of_run(run_id)
         job = Scratch(self.spark, "batch")
         state = self.log.state()
-        products, ids = (state.get(t, TableState()) for t in (PRODUCTS, IDS))
+        products, ids, counts_before = (state.get(t, TableState()) for t in (PRODUCTS, IDS, TALLIES))
         commit = self.log.last_commit() + 1
         in_batch = self.product_table.parts_of(batch)
         touched = set(in_batch)
@@ -258,6 +281,11 @@ class CatalogStore:
             counts = in_batch if unique_urls and name == PRODUCTS else None
             written[name], whole = table.write(old, rows, run_id, commit, counts)
             merged += [name] if whole else []
+        delta = tally_changes(changed)
+        if products.bases and not counts_before.bases:
+            delta = total(tally_rows(self.product_table.read(products)).unionByName(delta))
+        written[TALLIES], whole = self.tallies.write(counts_before, delta, run_id)
+        merged += [TALLIES] if whole else []
         self.log.append(run_id, STORED, "stored", now, commit=commit, versions=written, merged=merged)
         job.drop(changed, moved)
         if self.keep is not None:

@@ -73,6 +73,9 @@ SNAPSHOT_SCHEMA = _struct(
     prior_price=_D,
     prior_price_id=_S,
 )
+# The values whose combinations are counted over the whole catalogue.
+TALLY_KEYS = ["category", "currency", "availability", "price", "rating"]
+TALLY_SCHEMA = _struct(**{c: _PRODUCT[c] for c in TALLY_KEYS}, n=_L)
 # Which entry of the products' ids is whose; false: the URL has another id by now.
 ID_SCHEMA = _struct(source_product_id=_S, url=_S, live=T.BooleanType())
 # An event of a run. `commit` numbers the stored runs in the order they became visible;
