@@ -208,7 +208,8 @@ class CatalogStore:
     def _committed_history(self) -> DataFrame:
         schema = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("run_id", T.LongType())])
         rows = self.spark.read.schema(schema).parquet(self._path("price_history"))
-        return rows.join(self.log.stored_runs(), "run_id").select(*schema.names, "commit")
+        # A row a run: joined by run, all observations of a large run would meet in one task.
+        return rows.join(F.broadcast(self.log.stored_runs()), "run_id").select(*schema.names, "commit")
 
     def previous_prices(self, run_id: int) -> DataFrame:
         """Newest price per URL before *run_id* was stored, read from the snapshot of that time.

@@ -554,3 +554,16 @@ def test_monitor_stops_after_a_number_of_runs(spark, store, tmp_path):
     assert store.count_products() == 2
     rest = monitor.run(stream(), str(tmp_path / "offsets"))
     assert [o.run_id for o in rest] == [3] and store.count_products() == 3
+
+
+def test_history_is_not_dealt_by_run(spark, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "catalog"))
+    store.init()
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, -1)
+    try:
+        plan = store.history()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
