@@ -96,6 +96,42 @@ def test_toxicity_long_text_is_read_to_its_end(spark, net):
     assert out[2] > 0.5 > out[1] and out[3] == out[4]
 
 
+def test_toxicity_learns_from_long_texts(spark):
+    calm = " ".join(["calm"] * 3200)
+    rows = [(i, calm + (" wretch" if i % 2 else ""), "en", i % 2) for i in range(40)]
+    rows += [(100 + i, "calm", "en", 0) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    out = toxicity.score(df, toxicity.fit(df.drop("toxic"), df.select("doc_id", "toxic"))).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 * (r["doc_id"] < 100) for r in out)
+
+
+def test_toxicity_learns_from_every_row(spark):
+    # Each shard alone is too small to know the rare word; all labelled texts count for the vocabulary.
+    rows = _texts(400, 4, _insult) + [(1000 + i, f"calm field rareword {WORDS[i]}", "en", 1) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    docs, labels = df.drop("toxic"), df.select("doc_id", "toxic")
+    net = toxicity.fit(docs, labels, shard_rows=60)
+    body = np.frombuffer(b"rareword", np.uint8)
+    assert set(toxicity.hashed_words(body, np.array([0, 8]))[0][:, 0].tolist()) <= set(net.known.tolist())
+    held = spark.createDataFrame(_texts(150, 9, _insult), "doc_id long, text string, lang string, y int")
+    assert np.mean([r["predicted"] == r["y"] for r in toxicity.score(held, net).collect()]) > 0.95
+    # The order and the tasks of the rows do not matter.
+    again = toxicity.fit(docs.orderBy("text").repartition(3), labels.repartition(2), shard_rows=60)
+    assert (again.embedding == net.embedding).all() and again.thresholds == net.thresholds
+
+
+def test_toxicity_trains_in_blocks(spark, net, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, len(net.embedding), (toxicity.VIEWS, n)) for n in (0, 1, 7, 40, 3)]
+    views = np.concatenate(texts, axis=1)
+    seq, begin = toxicity.padded(views, np.repeat(np.arange(5), [t.shape[1] for t in texts]), 5)
+    best, where = toxicity._tops(net, seq, begin)
+    monkeypatch.setattr(toxicity, "BLOCK", 5)
+    small, there = toxicity._tops(net, seq, begin)
+    assert np.allclose(best, small, atol=1e-5) and (where == there).mean() > 0.95
+    assert np.allclose(np.maximum(best + net.bias, 0), net.maxima(seq, begin), atol=1e-5)
+
+
 def test_toxicity_odd_tables(spark, net):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert toxicity.score(empty, net).count() == 0
