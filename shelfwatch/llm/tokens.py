@@ -44,7 +44,7 @@ class Memory:
     def fill(self, chunks: set, work) -> None:
         """Have results for all *chunks* at hand; *work* makes those not known."""
         new = chunks.difference(self.young)
-        again = new.intersection(self.old)
+        again = self.old.keys() & new  # goes through the smaller one
         if len(self.young) + len(new) > KEPT:
             kept = {c: self.young[c] for c in chunks.difference(new)}
             self.old, self.young = {**self.young, **{c: self.old[c] for c in again}}, kept
@@ -107,7 +107,9 @@ def _byte_letters() -> dict[str, int]:
 
 
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-_ASCII_WORDS = re.compile(_CONTRACTIONS + "|[a-z]+|[0-9]|[^a-z0-9]+")
+#: The words of chunks in lower case, a chunk a line.
+_ASCII_WORDS = re.compile(_CONTRACTIONS + "|[a-z]+|[0-9]|[^a-z0-9\n]+")
+_ASCII = re.compile(b"[!-~]+")
 #: Latin-1 without white space and controls; lower-casing and composition leave it Latin-1.
 _LATIN = re.compile("[!-~\xa1-\xff]+")
 
@@ -171,23 +173,30 @@ class WordIds:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _new(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        quick, words, sizes, slow = [], [], [], []
+        ascii_only, latin, slow = [], [], []
         for chunk in chunks:
-            text = chunk.decode()
-            if self.fast is None or b"<|" in chunk or not _LATIN.fullmatch(text):
+            if self.fast is None or b"<|" in chunk:
                 slow.append(chunk)
-                continue
-            low = text.lower()
+            elif _ASCII.fullmatch(chunk):
+                ascii_only.append(chunk)
+            else:
+                (latin if _LATIN.fullmatch(chunk.decode()) else slow).append(chunk)
+        # Words end in a zero byte, chunks in a line's end, which goes when their words are counted.
+        lines = _ASCII_WORDS.sub("\\g<0>\0", b"\n".join(ascii_only).lower().decode())
+        others = []
+        for chunk in latin:
+            low = chunk.decode().lower()
             own = _ASCII_WORDS.findall(low) if low.isascii() else self.latin_words.findall(low)
-            quick.append(chunk)
-            words += own
-            sizes.append(len(own))
+            others.append("\0".join(own) + "\0")
+        lines = "\n".join([lines] * bool(lines) + others)
         found = {}
-        if words:
-            ids = self.fast.encode_to_numpy("\0".join(words) + "\0", disallowed_special=())
-            ends = np.flatnonzero(self.ends[ids])[np.cumsum(sizes) - 1] + 1
+        if lines:
+            mark = np.frombuffer((lines + "\n").encode("latin-1"), np.uint8)
+            words = np.cumsum(mark == 0)[mark == 10]
+            ids = self.fast.encode_to_numpy(lines.replace("\n", ""), disallowed_special=())
+            ends = np.flatnonzero(self.ends[ids])[words - 1] + 1
             flat, last = ids.astype("<u4").tobytes(), 0
-            for chunk, end in zip(quick, (4 * ends).tolist()):
+            for chunk, end in zip(ascii_only + latin, (4 * ends).tolist()):
                 found[chunk] = flat[last:end]
                 last = end
         if slow:
