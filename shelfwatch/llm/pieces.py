@@ -37,6 +37,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -332,21 +333,64 @@ def encode(
     return _put_back(documents, _segmented(lists, model), rest, result)
 
 
+@lru_cache(maxsize=4)
+def surfaces(model: str) -> tuple[pa.Array, np.ndarray] | None:
+    """The text of each id with its markers as spaces, and which ids are plain pieces.
+
+    None if the library does more to plain pieces than joining them and taking the first marker away.
+    """
+    from sentencepiece import sentencepiece_model_pb2
+
+    sp = processor(model)
+    spec = sentencepiece_model_pb2.ModelProto()
+    spec.ParseFromString(sp.serialized_model_proto())
+    rules = spec.normalizer_spec
+    if (
+        spec.denormalizer_spec.precompiled_charsmap
+        or spec.trainer_spec.treat_whitespace_as_suffix
+        or not rules.add_dummy_prefix
+        or rules.remove_extra_whitespaces
+    ):
+        return None
+    normal = spec.SentencePiece.Type.Value("NORMAL")
+    plain = np.array([p.type == normal for p in spec.pieces])
+    return pa.array([p.piece.replace(MARK, " ") for p in spec.pieces], pa.string()), plain
+
+
+def _texts(model: str, some: pa.ListArray) -> pa.Array:
+    """The texts of lists of ids; lists with other than plain pieces go to the library one by one."""
+    sp, known, flat = processor(model), surfaces(model), some.flatten()
+    if known is None or flat.null_count:
+        return pa.array([sp.decode(v) if v else "" for v in some.to_pylist()], pa.string())
+    table, plain = known
+    ends = np.cumsum(some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    ids = flat.to_numpy()
+    inside = (ids >= 0) & (ids < len(plain))
+    odd = np.concatenate([[0], np.cumsum(~(inside & plain[np.where(inside, ids, 0)]))])[offsets]
+    lists = pa.ListArray.from_arrays(pa.array(offsets), table.take(pa.array(np.where(inside, ids, 0))))
+    joined = pc.binary_join(lists, "")
+    texts = pc.if_else(pc.starts_with(joined, " "), pc.utf8_slice_codeunits(joined, 1), joined)
+    rest = odd[1:] > odd[:-1]
+    if rest.any():
+        whole = [sp.decode(some[i].as_py()) for i in np.flatnonzero(rest).tolist()]
+        texts = pc.replace_with_mask(texts, pa.array(rest), pa.array(whole, pa.string()))
+    return texts
+
+
 def decode(rows: DataFrame, model: str, ids: str = "ids", result: str = "decoded") -> DataFrame:
     """Add the text that the library makes of the ids; null ids have an empty text."""
     rest = [c for c in rows.columns if c != result]
     schema = T.StructType([*_open(rows.select(*rest).schema), T.StructField(result, T.StringType())])
 
     def run(batches):
-        sp = processor(model)
         for b in batches:
             column, first = b.column(ids), 0
             ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             while first < b.num_rows:
                 done = int(ends[first - 1]) if first else 0
                 last = max(first + 1, int(np.searchsorted(ends, done + RUN_IDS, "right")))
-                some = column.slice(first, last - first).to_pylist()
-                texts = pa.array([sp.decode(v) if v else "" for v in some], pa.string())
+                texts = _texts(model, column.slice(first, last - first))
                 kept = [b.column(c).slice(first, last - first) for c in rest]
                 yield pa.RecordBatch.from_arrays([*kept, texts], schema.names)
                 first = last

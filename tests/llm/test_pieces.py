@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import sentencepiece
 
@@ -83,3 +84,31 @@ def test_registered_query(spark, tmp_path):
         digests = [hashlib.sha256(v.encode()).hexdigest() for v in (",".join(map(str, ids)), back)]
         want[i] = (len(ids), *digests)
     assert {r["doc_id"]: tuple(r)[1:] for r in op12_pieces(spark, str(tmp_path)).collect()} == want
+
+
+def test_joined_pieces_equal_the_library(spark):
+    sp = pieces.processor(MODEL)
+    rng = np.random.default_rng(5)
+    size, mark = sp.get_piece_size(), sp.piece_to_id(pieces.MARK)
+    rows = [rng.integers(0, size, n).tolist() for n in (1, 2, 3, 50, 400)]
+    rows += [[], None, [mark], [mark, mark, 900], [0], [1, mark, 900], list(range(size)), [900, 2, 901]]
+    rows += [sp.encode(t) for t in ("a  b", "  lead", "tail  ", "é\u2581ü \x00 日本", "🙂 ok", "\n\tx")]
+    got = pieces._texts(MODEL, pa.array(rows, pa.list_(pa.int32()))).to_pylist()
+    assert got == [sp.decode(r) if r else "" for r in rows]
+    assert pieces.surfaces(MODEL) is not None
+    cut = pa.array(rows, pa.list_(pa.int32())).slice(3, 6)
+    assert pieces._texts(MODEL, cut).to_pylist() == got[3:9]
+
+
+def test_plain_texts_are_not_decoded_one_by_one(monkeypatch):
+    """Ids of plain pieces do not pass through Python lists."""
+    sp = pieces.processor(MODEL)
+    ids = pa.array([sp.encode("some plain words")], pa.list_(pa.int32()))
+
+    class Refuses:
+        def decode(self, _):
+            raise AssertionError("decoded alone")
+
+    pieces.surfaces(MODEL)
+    monkeypatch.setattr(pieces, "processor", lambda _: Refuses())
+    assert pieces._texts(MODEL, ids).to_pylist() == ["some plain words"]
