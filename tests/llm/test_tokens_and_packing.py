@@ -177,3 +177,24 @@ def test_configurations_reach_the_fractional_optimum():
     shapes, amount = packing.configurations(np.array([600, 900, 1100]), np.array([30.0, 20.0, 10.0]), 2048)
     assert (shapes @ np.array([600, 900, 1100]) <= 2048).all()
     assert np.allclose(shapes.T @ amount, [30, 20, 10]) and amount.sum() == pytest.approx(25.0, abs=1.5)
+
+
+def test_new_chunks_in_bulk_equal_the_library():
+    own = WordIds(WORDS)
+    texts = ["it's", "IT'S42x", "a--b''t", "déjà", "ÀÉ'll", "x<|y", "日本", "\x00z", "q\x7fq", "'", "µ²½", "Z9'Re!"]
+    chunks = [t.encode() for t in texts]
+    found = own._new(chunks)
+    assert [found[c] for c in chunks] == own.whole(texts)
+    for some in ([chunks[0]], [chunks[3]], [chunks[6]], []):
+        assert own._new(some) == {c: found[c] for c in some}
+
+
+def test_memory_does_not_go_through_all_older_chunks():
+    class Old(dict):
+        def __iter__(self):
+            raise AssertionError("went through all")
+
+    memory = Memory()
+    memory.old = Old((i, -i) for i in range(1000))
+    memory.fill({5, 2000}, lambda new: [(c, 1) for c in new])
+    assert memory.young == {5: -5, 2000: 1}
