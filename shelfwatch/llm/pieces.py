@@ -8,12 +8,13 @@ distinct chunk of the corpus is segmented once:
   into slices; a slice holds all blocks' lists of its chunks, the library segments a
   chunk the first time it appears there, and every block gets back the ids,
 * a second pass numbers the chunks of each block in order of appearance and keeps a
-  document as the numbers at its positions; each block puts the ids in their places.
+  document as the numbers at its positions; where a block's ids and documents meet,
+  the ids are held and the documents pass, a run at a time.
 
 So no text is shuffled or written and nothing that grows with the corpus is broadcast:
 lists of distinct chunks and ids travel, and documents as two or three bytes a word. A
-frequent chunk appears once per block, however often it occurs. A task holds one block,
-or the distinct chunks of one slice. ``SLICES`` is fixed, so a slice of a very large
+frequent chunk appears once per block, however often it occurs. A task holds the distinct
+chunks of one block or of one slice. ``SLICES`` is fixed, so a slice of a very large
 corpus grows as its vocabulary does: some tens of megabytes at 100 TB. Both passes must
 see the same documents in the same tasks, as reading files does: a table is written
 first unless the caller says that it is ``stored``, and a checksum of each block's list
@@ -33,7 +34,9 @@ import itertools
 import re
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from shelfwatch.llm.textbatch import utf8
 from shelfwatch.runtime import materialize
 
 MARK = "▁"
@@ -49,8 +53,10 @@ SLICES = 1 << 14
 BLOCK_CHARS = 1 << 25
 #: Ids decoded at once.
 RUN_IDS = 1 << 18
+#: Bytes of numbered chunks put back at once.
+RUN_CODES = 1 << 17
 _CHUNK = re.compile(" +[^ ]*")
-_TEXT, _ORDER = range(2)
+_LIST, _ORDER, _TEXT = range(3)
 
 
 @lru_cache(maxsize=4)
@@ -216,7 +222,7 @@ def _cut(docs: DataFrame, text: str, rest: list[str], lists: bool) -> DataFrame:
 
 def _segmented(lists: DataFrame, model: str) -> DataFrame:
     """The ids of each block's chunks, each distinct chunk segmented once in its slice."""
-    schema = "__block bigint, __check bigint, __slice int, __counts binary, __ids binary"
+    schema = "__block bigint, __check bigint, __kind int, __slice int, __codes binary, __ids binary"
 
     def run(batches):
         known: dict[str, list[int]] = {}
@@ -238,11 +244,12 @@ def _segmented(lists: DataFrame, model: str) -> DataFrame:
                 [
                     b.column("__block"),
                     b.column("__check"),
+                    pa.array(np.full(b.num_rows, _LIST, np.int32)),
                     b.column("__slice"),
                     _packed(np.concatenate(counts), np.array([len(c) for c in counts])),
                     _packed(flat, sizes),
                 ],
-                ["__block", "__check", "__slice", "__counts", "__ids"],
+                ["__block", "__check", "__kind", "__slice", "__codes", "__ids"],
             )
             # Equal slices follow each other; what follows can only need the last one's chunks.
             if slices[0] != slices[-1]:
@@ -254,49 +261,77 @@ def _segmented(lists: DataFrame, model: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _put_back(documents: DataFrame, ids: DataFrame, rest: list[str], result: str) -> DataFrame:
+def _restored(batches, shape: pa.Schema, rest: list[str], model: str | None) -> Iterator[pa.RecordBatch]:
+    """Documents with their ids from rows sorted by block and kind; with *model* also their texts.
+
+    Of a block its lists and their order are held, and documents pass in runs of ``RUN_CODES`` bytes.
+    """
+    differ = RuntimeError("the documents differ between two readings: they are no stored table")
+    at = counts = starts = flat = None
+    lists: tuple[list, list, set] = ([], [], set())
+    for b in batches:
+        blocks, kinds = b.column("__block").to_numpy(), b.column("__kind").to_numpy()
+        edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+        for first, last in itertools.pairwise([0, *edges.tolist(), b.num_rows] if b.num_rows else []):
+            kind, some = kinds[first], b.slice(first, last - first)
+            if blocks[first] != at:
+                at, counts, lists = blocks[first], None, ([], [], set())
+            if kind == _LIST:
+                lists[0].extend(some.column("__codes").to_pylist())
+                lists[1].extend(some.column("__ids").to_pylist())
+                lists[2].update(some.column("__check").unique().to_pylist())
+                continue
+            if kind == _ORDER:
+                listed = unpack(b"".join(lists[0])).astype(np.int64)
+                flat = unpack(b"".join(lists[1])).astype(np.int32)
+                ranks = unpack(some.column("__codes")[0].as_py())
+                if len(ranks) != len(listed) or lists[2] - {some.column("__check")[0].as_py()}:
+                    raise differ
+                # From the order of the lists to the numbers of the chunks.
+                counts, starts = np.zeros_like(listed), np.zeros_like(listed)
+                counts[ranks], starts[ranks] = listed, np.cumsum(listed) - listed
+                lists = ([], [], set())
+                continue
+            if counts is None:
+                raise differ
+            codes, ends = utf8(some.column("__codes"))
+            a = 0
+            while a < some.num_rows:
+                e = max(a + 1, int(np.searchsorted(ends, ends[a] + RUN_CODES, "right")) - 1)
+                part = codes[ends[a] : ends[e]]
+                numbers = unpack(part.tobytes())
+                n = counts[numbers]
+                before = np.concatenate([[0], np.cumsum(n)])
+                # A number ends with its only byte below 128.
+                words = np.concatenate([[0], np.cumsum(part < 128)])[ends[a : e + 1] - ends[a]]
+                values = flat[np.arange(before[-1]) + np.repeat(starts[numbers] - before[:-1], n)]
+                ids = pa.ListArray.from_arrays(pa.array(before[words].astype(np.int32)), pa.array(values))
+                columns = [some.column(c).slice(a, e - a).cast(f.type) for c, f in zip(rest, shape)]
+                columns.append(ids.cast(shape.field(len(rest)).type))
+                if model is not None:
+                    columns.append(_texts(model, ids))
+                yield pa.RecordBatch.from_arrays(columns, schema=shape)
+                a = e
+
+
+def _put_back(
+    documents: DataFrame, ids: DataFrame, rest: list[str], result: str, model: str, decoded: str | None
+) -> DataFrame:
     """The ids at the positions of each document, block by block."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = T.StructType([
         *_open(documents.select(*rest).schema),
         T.StructField(result, T.ArrayType(T.IntegerType())),
+        *([T.StructField(decoded, T.StringType())] if decoded else []),
     ])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        shape = to_arrow_schema(schema)
-        right = right.sort_by("__slice")
-        counts = unpack(b"".join(right["__counts"].to_pylist())).astype(np.int64)
-        flat = unpack(b"".join(right["__ids"].to_pylist())).astype(np.int32)
-        starts = np.cumsum(counts) - counts
-        kinds = left["__kind"].to_numpy()
-        order = np.flatnonzero(kinds == _ORDER)
-        texts = left.filter(pa.array(kinds == _TEXT))
-        # From the numbers of chunks to their place in the lists.
-        place = np.zeros(len(counts), np.int64)
-        if len(order):
-            row = int(order[0])
-            ranks = unpack(left["__codes"][row].as_py())
-            checks = set(right["__check"].unique().to_pylist())
-            if len(ranks) != len(counts) or checks - {left["__check"][row].as_py()}:
-                raise RuntimeError("the documents differ between two readings: they are no stored table")
-            place[ranks] = np.arange(len(counts))
-        elif len(texts):
-            raise RuntimeError("the documents differ between two readings: they are no stored table")
-        found = [place[unpack(data.as_py())].astype(np.int32) for data in texts["__codes"]]
-        offsets = np.concatenate([[0], np.cumsum([int(counts[at].sum()) for at in found])]).astype(np.int64)
-        values = np.empty(int(offsets[-1]), np.int32)
-        for k, at in enumerate(found):
-            n = counts[at]
-            before = np.cumsum(n) - n
-            size = int(offsets[k + 1] - offsets[k])
-            values[offsets[k] : offsets[k + 1]] = flat[np.arange(size) + np.repeat(starts[at] - before, n)]
-        out = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
-        return pa.Table.from_arrays(
-            [*[texts[c].cast(f.type) for c, f in zip(rest, shape)], out.cast(shape.field(result).type)], schema=shape
-        )
+    def run(batches):
+        yield from _restored(batches, to_arrow_schema(schema), rest, model if decoded else None)
 
-    return documents.groupBy("__block").cogroup(ids.groupBy("__block")).applyInArrow(run, schema)
+    # Sorted, a block's lists come before its order, and that before its documents.
+    rows = documents.unionByName(ids, allowMissingColumns=True).repartition("__block")
+    return rows.sortWithinPartitions("__block", "__kind", "__slice").mapInArrow(run, schema)
 
 
 def _whole(docs: DataFrame, model: str, text: str, rest: list[str], result: str) -> DataFrame:
@@ -317,25 +352,42 @@ def _whole(docs: DataFrame, model: str, text: str, rest: list[str], result: str)
 
 
 def encode(
-    docs: DataFrame, model: str, text: str = "text", result: str = "ids", stored: bool = False
+    docs: DataFrame,
+    model: str,
+    text: str = "text",
+    result: str = "ids",
+    stored: bool = False,
+    decoded: str | None = None,
 ) -> DataFrame:
     """Add each text's ids; the text goes.
 
     *model* is a path that every machine has. With *stored* the documents are a table of
-    files, read without a shuffle; otherwise they are written as one first.
+    files, read without a shuffle; otherwise they are written as one first. *decoded* names
+    a column for what :func:`decode` makes of the ids, added in the tasks that have them.
     """
-    rest = [c for c in docs.columns if c not in (text, result)]
+    rest = [c for c in docs.columns if c not in (text, result, decoded)]
     if not separable(model):
-        return _whole(docs, model, text, rest, result)
+        rows = _whole(docs, model, text, rest, result)
+        return decode(rows, model, result, decoded) if decoded else rows
     if not stored:
         docs = materialize(docs.select(*rest, text), "documents")
     lists, documents = _cut(docs, text, rest, True), _cut(docs, text, rest, False)
-    return _put_back(documents, _segmented(lists, model), rest, result)
+    return _put_back(documents, _segmented(lists, model), rest, result, model, decoded)
+
+
+class Surfaces(NamedTuple):
+    """What ids read as: their bytes with markers as spaces, then the same without a first marker."""
+
+    table: pa.LargeBinaryArray
+    #: Ids that only add their bytes: plain pieces and single bytes.
+    known: np.ndarray
+    #: Single bytes beyond ASCII, whose neighbours decide what they read as.
+    high: np.ndarray
 
 
 @lru_cache(maxsize=4)
-def surfaces(model: str) -> tuple[pa.Array, np.ndarray] | None:
-    """The text of each id with its markers as spaces, and which ids are plain pieces.
+def surfaces(model: str) -> Surfaces | None:
+    """The bytes of each id.
 
     None if the library does more to plain pieces than joining them and taking the first marker away.
     """
@@ -352,30 +404,54 @@ def surfaces(model: str) -> tuple[pa.Array, np.ndarray] | None:
         or rules.remove_extra_whitespaces
     ):
         return None
-    normal = spec.SentencePiece.Type.Value("NORMAL")
+    kinds = spec.SentencePiece.Type
+    normal, byte = kinds.Value("NORMAL"), kinds.Value("BYTE")
     plain = np.array([p.type == normal for p in spec.pieces])
-    return pa.array([p.piece.replace(MARK, " ") for p in spec.pieces], pa.string()), plain
+    single = np.array([p.type == byte for p in spec.pieces])
+    # A byte is spelled <0x0A>; it is never a marker.
+    read = [
+        bytes([int(p.piece[3:5], 16)]) if p.type == byte else p.piece.replace(MARK, " ").encode()
+        for p in spec.pieces
+    ]
+    bare = [t[1:] if p.type == normal and p.piece.startswith(MARK) else t for p, t in zip(spec.pieces, read)]
+    high = single & np.array([t[:1] > b"\x7f" for t in read])
+    return Surfaces(pa.array(read + bare, pa.large_binary()), plain | single, high)
 
 
 def _texts(model: str, some: pa.ListArray) -> pa.Array:
-    """The texts of lists of ids; lists with other than plain pieces go to the library one by one."""
-    sp, known, flat = processor(model), surfaces(model), some.flatten()
-    if known is None or flat.null_count:
+    """The texts of lists of ids; lists with other ids than pieces and bytes go to the library one by one."""
+    sp, model_reads, flat = processor(model), surfaces(model), some.flatten()
+    if model_reads is None or flat.null_count:
         return pa.array([sp.decode(v) if v else "" for v in some.to_pylist()], pa.string())
-    table, plain = known
-    ends = np.cumsum(some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    table, known, high = model_reads
+    sizes = some.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    edges = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     ids = flat.to_numpy()
-    inside = (ids >= 0) & (ids < len(plain))
-    odd = np.concatenate([[0], np.cumsum(~(inside & plain[np.where(inside, ids, 0)]))])[offsets]
-    lists = pa.ListArray.from_arrays(pa.array(offsets), table.take(pa.array(np.where(inside, ids, 0))))
-    joined = pc.binary_join(lists, "")
-    texts = pc.if_else(pc.starts_with(joined, " "), pc.utf8_slice_codeunits(joined, 1), joined)
-    rest = odd[1:] > odd[:-1]
-    if rest.any():
-        whole = [sp.decode(some[i].as_py()) for i in np.flatnonzero(rest).tolist()]
-        texts = pc.replace_with_mask(texts, pa.array(rest), pa.array(whole, pa.string()))
-    return texts
+    inside = (ids >= 0) & (ids < len(known))
+    ids = np.where(inside, ids, 0)
+
+    def having(member: np.ndarray) -> np.ndarray:
+        count = np.concatenate([[0], np.cumsum(member)])[edges]
+        return count[1:] > count[:-1]
+
+    odd, unsure = having(~(inside & known[ids])), having(high[ids])
+    # The first id of a list reads as it does without its marker.
+    ids[edges[:-1][sizes > 0]] += len(known)
+    # Taken one after the other, the bytes of the ids are those of the texts.
+    _, ends, data = table.take(pa.array(ids)).buffers()
+    at = np.frombuffer(ends, np.int64)[: len(ids) + 1][edges]
+    data = data or pa.py_buffer(b"")
+    for i in np.flatnonzero(unsure & ~odd).tolist():
+        try:
+            str(memoryview(data)[at[i] : at[i + 1]], "utf-8")
+        except UnicodeDecodeError:
+            odd[i] = True
+    # What is left out of the mask is UTF-8; the others are replaced before they are taken for text.
+    raw = pa.Array.from_buffers(pa.large_binary(), len(some), [None, pa.py_buffer(at), data])
+    if odd.any():
+        whole = [sp.decode(some[i].as_py()).encode() for i in np.flatnonzero(odd).tolist()]
+        raw = pc.replace_with_mask(raw, pa.array(odd), pa.array(whole, pa.large_binary()))
+    return raw.cast(pa.binary()).view(pa.string())
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", result: str = "decoded") -> DataFrame:

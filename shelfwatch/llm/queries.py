@@ -187,7 +187,7 @@ def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document, and the text they decode to."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = pieces.decode(pieces.encode(docs, model, stored=True), model)
+    rows = pieces.encode(docs, model, stored=True, decoded="decoded")
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return rows.select(
         "doc_id",

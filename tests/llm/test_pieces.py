@@ -112,3 +112,60 @@ def test_plain_texts_are_not_decoded_one_by_one(monkeypatch):
     pieces.surfaces(MODEL)
     monkeypatch.setattr(pieces, "processor", lambda _: Refuses())
     assert pieces._texts(MODEL, ids).to_pylist() == ["some plain words"]
+
+
+def test_bytes_equal_the_library():
+    """Single bytes, whole characters of bytes and broken ones, at the start and within."""
+    sp = pieces.processor(MODEL)
+    byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+    mark, word = sp.piece_to_id(pieces.MARK), sp.encode("some word")
+    runs = ["\n", " ", " a", "\0", "é", "東", "🙂", "▁", "�"]
+    rows = [[byte[b] for b in run.encode()] for run in runs]
+    rows += [[byte[b] for b in run] for run in (b"\xe6", b"\x9d\xb1", b"\xed\xa0\x80", b"\xc0\x80", b"\xf4\x90\x80\x80", b"\xffa")]
+    rows += [a + b for a in rows for b in ([mark], word, [byte[10]])] + [word + r + word for r in rows] + [[mark, *r] for r in rows]
+    rows += [[byte[0xE6], 2, byte[0x9D], byte[0xB1]], [byte[0xE6], *word, byte[0x9D], byte[0xB1]]]
+    got = pieces._texts(MODEL, pa.array(rows, pa.list_(pa.int32()))).to_pylist()
+    assert got == [sp.decode(r) for r in rows]
+
+
+def test_texts_with_bytes_are_not_decoded_one_by_one(monkeypatch):
+    """Line ends are byte pieces; a text with them is joined like others."""
+    texts = ["one line\nanother\n\nthe last", "\n🙂 rare \x07\n", "plain"]
+    ids = pa.array([pieces.processor(MODEL).encode(t) for t in texts], pa.list_(pa.int32()))
+
+    class Refuses:
+        def decode(self, _):
+            raise AssertionError("decoded alone")
+
+    pieces.surfaces(MODEL)
+    monkeypatch.setattr(pieces, "processor", lambda _: Refuses())
+    assert pieces._texts(MODEL, ids).to_pylist() == texts
+
+
+def test_blocks_pass_in_runs(monkeypatch):
+    """Documents of a block leave in small batches, whatever the block holds."""
+    words = ["a", "bb", "the"]
+    ids = pieces.encode_chunks(MODEL, words)
+    lists = [1, pieces._LIST, 9, pieces.pack(np.array([len(i) for i in ids])), pieces.pack(np.concatenate(ids))]
+    order = [1, pieces._ORDER, 9, pieces.pack(np.array([2, 0, 1])), None]  # so 2 is "a", 0 is "bb", 1 is "the"
+    numbers = [[i % 3] * (i % 50) for i in range(1000)]
+    texts = [[1, pieces._TEXT, None, pieces.pack(np.array(n, np.uint32)), None] for n in numbers]
+    names = ["__block", "__kind", "__check", "__codes", "__ids"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    rows = [lists, order, *texts]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+    shape = pa.schema([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+    monkeypatch.setattr(pieces, "RUN_CODES", 100)
+    for cut in (1002, 7, 1):
+        batches = [whole.slice(a, cut) for a in range(0, 1002, cut)]
+        got = list(pieces._restored(iter(batches), shape, [], MODEL))
+        assert max(b.num_rows for b in got) <= 100 and len(got) > 200
+        found = [r for b in got for r in b.to_pylist()]
+        assert [r["decoded"] for r in found] == [" ".join(["bb", "the", "a"][k] for k in n) for n in numbers]
+        assert [r["ids"] for r in found] == [[j for k in n for j in ids[[1, 2, 0][k]]] for n in numbers]
+
+
+def test_registered_query_holds_no_block_as_a_group(spark, tmp_path):
+    spark.createDataFrame([(1, "a\nb")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = op12_pieces(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and plan.count("MapInArrow") == 4
