@@ -114,3 +114,13 @@ def test_a_hot_url_is_split(spark):
         total = an.price_changes(rows, before).agg(F.count("*").alias("n"), F.max("name"), F.sum("change"))
         assert total.collect()[0].n == 300_000
         assert "skew=true" in plan(total)
+
+
+def test_first_per_key_sorts_by_a_hash_first(spark):
+    """Keys that begin alike are not compared text by text to sort them."""
+    rows = [(1, "https://shop.example/a"), (0, "https://shop.example/b"), (2, "https://shop.example/a"), (3, None), (4, None)]
+    found = first_per_key(spark.createDataFrame(rows, "n long, url string"), ["url"], "n")
+    assert sorted(r["n"] for r in found.collect()) == [0, 1, 3] and found.columns == ["n", "url"]
+    text = plan(found)
+    sorts = re.findall(r"Sort \[(\w+)#", text)
+    assert sorts and "url" not in sorts and "xxhash64(url#" in text
